@@ -46,26 +46,22 @@ class Ranges:
     names: tuple[str, ...]
     kind: T.DataType
 
-    def number(self) -> Column:
-        """Range of a row: how many cut points are at or below its key.
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Add the range of each row: how many cut points are at or below its key.
 
-        A binary search inside one expression; no join, no Python.
+        A binary search, one projection per step: the search stays inside the
+        generated code of the stage, without join or Python. (A single expression
+        would repeat the position found so far twice per step, so double its size
+        with each.)
         """
-        steps = []
-        step = 1
-        while step <= self.size:
-            steps.insert(0, F.lit(step))
-            step *= 2
-        if not steps:
-            return F.lit(0)
         cuts = F.from_json(F.lit(self.cuts), T.ArrayType(self.kind))
         key = _key(self.names)
-
-        def advance(found: Column, jump: Column) -> Column:
-            at_or_below = F.get(cuts, found + jump - 1) <= key
-            return F.when(at_or_below, found + jump).otherwise(found)
-
-        return F.aggregate(F.array(*steps), F.lit(0), advance)
+        found = F.col(_RANGE)
+        out = df.withColumn(_RANGE, F.lit(0))
+        for step in reversed([1 << i for i in range(self.size.bit_length())]):
+            below = F.get(cuts, found + (step - 1)) <= key
+            out = out.withColumn(_RANGE, found + F.when(below, step).otherwise(0))
+        return out
 
 
 def _key(names: Sequence[str]) -> Column:
@@ -129,42 +125,42 @@ def number_rows(
     sort = order if unique else [*order, _TIE]
     plan = plan_ranges(tied.select(*sort), ranges, total)
 
-    ranged = tied.withColumn(_RANGE, plan.number())
+    ranged = plan.assign(tied)
     offset, largest = _offsets(ranged.groupBy(_RANGE).agg(F.count("*").alias("n")))
     planned = -(-total // ranges)
     if not unique and largest > HOT_FACTOR * max(planned, rows_per_range):
-        return _number_copies(tied, sort, columns, plan, offset, name)
+        folded = tied.groupBy(*columns, _TIE).agg(F.count("*").alias("_copies"))
+        spread = _spread(plan.assign(folded), ranges, total)
+        return _number_copies(spread, sort, offset, name).select(*columns, name)
 
     in_range = Window.partitionBy(_RANGE).orderBy(*sort)
-    numbered = ranged.withColumn(name, offset + F.row_number().over(in_range))
+    numbered = _spread(ranged, ranges, total).withColumn(name, offset + F.row_number().over(in_range))
     return numbered.select(*columns, name)
 
 
+def _spread(ranged: DataFrame, ranges: int, total: int) -> DataFrame:
+    """More tasks than the session's default where the table asks for them."""
+    default = int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(ranges, -(-total // ROWS_PER_RANGE))
+    return ranged.repartition(tasks, _RANGE) if tasks > default else ranged
+
+
 def _number_copies(
-    tied: DataFrame,
-    sort: Sequence[str],
-    columns: Sequence[str],
-    plan: Ranges,
-    offset: Column,
-    name: str,
+    folded: DataFrame, sort: Sequence[str], offset: Column, name: str
 ) -> DataFrame:
     """Number folded copies by weight, then unfold them in chunks."""
-    folded = tied.groupBy(*columns, _TIE).agg(F.count("*").alias("_copies"))
-    ranged = folded.withColumn(_RANGE, plan.number())
     up_to = (
         Window.partitionBy(_RANGE)
         .orderBy(*sort)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     # last number of the copies of a row
-    weighted = ranged.withColumn("_last", offset + F.sum("_copies").over(up_to))
+    weighted = folded.withColumn("_last", offset + F.sum("_copies").over(up_to))
     first = F.col("_last") - F.col("_copies") + 1
     chunks = weighted.withColumn(
         "_from", F.explode(F.sequence(first, F.col("_last"), F.lit(UNFOLD_CHUNK).cast("bigint")))
     ).withColumn("_to", F.least(F.col("_from") + UNFOLD_CHUNK - 1, F.col("_last")))
-    spread = chunks.repartition("_from")
-    unfolded = spread.withColumn(name, F.explode(F.sequence("_from", "_to")))
-    return unfolded.select(*columns, name)
+    return chunks.repartition("_from").withColumn(name, F.explode(F.sequence("_from", "_to")))
 
 
 def partition_bounds(df: DataFrame, column: str) -> DataFrame:

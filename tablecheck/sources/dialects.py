@@ -126,6 +126,33 @@ def staging_name(table: str) -> str:
     return f"{schema}{dot}TC_{uuid.uuid4().hex[:16].upper()}"
 
 
+def unique_key_sql(db_type: str, table: str, key: Sequence[str]) -> str:
+    """The unique index that a keyed update needs to be fast, or to work at all."""
+    kind = canonical_type(db_type)
+    columns = ", ".join(quoted(kind, k) for k in key)
+    return f"CREATE UNIQUE INDEX IX_{table.split('.')[-1]} ON {table} ({columns})"
+
+
+def _require_key(columns: Sequence[str], key: Sequence[str]) -> None:
+    missing = [k for k in key if k not in columns]
+    if missing or not key:
+        raise ValueError(f"key columns are not in the updates: {missing or 'no key'}")
+
+
+def insert_new_sql(
+    db_type: str, table: str, staging: str, columns: Sequence[str], key: Sequence[str]
+) -> str:
+    """One statement that inserts the rows whose key ``table`` does not hold yet."""
+    kind = canonical_type(db_type)
+    _require_key(columns, key)
+    listed = ", ".join(quoted(kind, c) for c in columns)
+    matched = " AND ".join(f"t.{quoted(kind, k)} = s.{quoted(kind, k)}" for k in key)
+    return (
+        f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {staging} s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {matched})"
+    )
+
+
 def merge_sql(
     db_type: str, table: str, staging: str, columns: Sequence[str], key: Sequence[str]
 ) -> str:
@@ -134,9 +161,7 @@ def merge_sql(
     MySQL and PostgreSQL need a unique index on the key.
     """
     kind = canonical_type(db_type)
-    missing = [k for k in key if k not in columns]
-    if missing or not key:
-        raise ValueError(f"key columns are not in the updates: {missing or 'no key'}")
+    _require_key(columns, key)
     names = [quoted(kind, c) for c in columns]
     keys = [quoted(kind, k) for k in key]
     others = [n for n in names if n not in keys]

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.sources.dialects import (
     FETCH_SIZE,
+    insert_new_sql,
     merge_sql,
     quoted,
     staging_name,
     type_of_url,
+    unique_key_sql,
 )
 
 Options = Mapping[str, str]
@@ -115,7 +117,8 @@ def write_jdbc(
 ) -> None:
     """Write through one connection per partition.
 
-    A retried task writes its rows again: use ``merge_jdbc`` where that matters.
+    A retried task writes its rows again: where that matters use
+    ``append_once_jdbc`` or ``merge_jdbc``.
     """
     writer = df.write.format("jdbc").mode(mode).option("dbtable", table)
     if partitions:
@@ -138,9 +141,36 @@ def merge_jdbc(
 ) -> None:
     """Update rows of ``table`` by key and insert new ones. ``df`` has one row per key.
 
-    Executors append to a staging table; the database drops what a retried task
-    wrote twice and merges in one transaction. So the target changes once or not
-    at all, and running the job again gives the same table.
+    Put a unique index on the key first (``add_unique_key``): without it some
+    databases refuse, others compare all rows with all rows.
+    """
+    _through_staging(df, options, table, key, merge_sql, partitions, extra)
+
+
+def append_once_jdbc(
+    df: DataFrame,
+    options: Options,
+    table: str,
+    key: str | Sequence[str],
+    partitions: int | None = None,
+    **extra: str,
+) -> None:
+    """Append the rows whose key is new; safe to run again after a failure."""
+    _through_staging(df, options, table, key, insert_new_sql, partitions, extra)
+
+
+def _through_staging(
+    df: DataFrame,
+    options: Options,
+    table: str,
+    key: str | Sequence[str],
+    statement: Callable[..., str],
+    partitions: int | None,
+    extra: Options,
+) -> None:
+    """Executors append to a staging table; the database drops what a retried task
+    wrote twice and takes the rest over in one transaction. So the target changes
+    once or not at all, and running the job again gives the same table.
     """
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
@@ -154,7 +184,7 @@ def merge_jdbc(
             options,
             [
                 f"INSERT INTO {staged} SELECT DISTINCT * FROM {written}",
-                merge_sql(kind, table, staged, df.columns, keys),
+                statement(kind, table, staged, df.columns, keys),
             ],
         )
     finally:
@@ -162,11 +192,11 @@ def merge_jdbc(
             drop_table(spark, options, name)
 
 
-def append_once_jdbc(
-    df: DataFrame, options: Options, table: str, key: str | Sequence[str], **extra: str
+def add_unique_key(
+    spark: SparkSession, options: Options, table: str, key: str | Sequence[str]
 ) -> None:
-    """Append rows whose key is new; safe to run again after a failure."""
-    merge_jdbc(df, options, table, key, **extra)
+    keys = [key] if isinstance(key, str) else list(key)
+    execute(spark, options, [unique_key_sql(type_of_url(options["url"]), table, keys)])
 
 
 def table_exists(spark: SparkSession, options: Options, table: str) -> bool:

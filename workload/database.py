@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablecheck.session import is_single_process
 from tablecheck.sources.dialects import options_from_url
-from tablecheck.sources.jdbc import write_jdbc
+from tablecheck.sources.jdbc import add_unique_key, write_jdbc
 
 SETTING = "spark.tablecheck.jdbc"
 EMBEDDED = "jdbc:derby:memory:tablecheck;create=true"
@@ -39,9 +39,19 @@ def text_types(df: DataFrame, size: int = 200) -> dict[str, str]:
     return {"createTableColumnTypes": kinds} if texts else {}
 
 
-def load(df: DataFrame, table: str, types: dict[str, str] | None = None) -> dict[str, str]:
-    """Put all rows of ``df`` into a table of the database; returns its options."""
+def load(
+    df: DataFrame,
+    table: str,
+    types: dict[str, str] | None = None,
+    key: str | None = None,
+) -> dict[str, str]:
+    """Put all rows of ``df`` into a table of the database; returns its options.
+
+    ``key`` gets a unique index.
+    """
     options = database(df.sparkSession)
     types = text_types(df) if types is None else types
     write_jdbc(df, options, table, "overwrite", PARTITIONS, **types)
+    if key:
+        add_unique_key(df.sparkSession, options, table, key)
     return options

@@ -189,9 +189,16 @@ def jdbc_append_roundtrip(spark, sf):
 def jdbc_copy_once(spark, sf):
     """The same copy run twice; the second run adds nothing."""
     customers = table(spark, sf, "customer")
-    options = load(customers.limit(0), "TCQ_ONCE")
+    options = load(customers.limit(0), "TCQ_ONCE", key="c_custkey")
     for _ in range(2):
-        jobs.copy_job(customers, options, "TCQ_ONCE", "c_custkey", **text_types(customers))
+        jobs.copy_job(
+            customers,
+            options,
+            "TCQ_ONCE",
+            key="c_custkey",
+            partitions=PARTITIONS,
+            **text_types(customers),
+        )
     return jdbc.read_jdbc(spark, options, "TCQ_ONCE")
 
 
@@ -224,7 +231,7 @@ QUERIES["upsert_by_key"] = _upserted
 @query
 def jdbc_merge(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    options = load(orders, "TCQ_MERGE")
+    options = load(orders, "TCQ_MERGE", key="o_orderkey")
     updates = _order_updates(orders)
     for _ in range(2):  # a repeated merge changes nothing
         jdbc.merge_jdbc(
@@ -626,7 +633,7 @@ def null_check_state_job(spark, sf):
 def jdbc_null_check_state_job(spark, sf):
     """The whole job in the database: partitioned pending scan, keyed merge."""
     orders = stateful_orders(spark, sf).select("o_orderkey", "checked", "jcsjc")
-    options = load(orders, "TCQ_STATE", types={})
+    options = load(orders, "TCQ_STATE", types={}, key="o_orderkey")
     source = jdbc.read_jdbc_partitioned(spark, options, "TCQ_STATE", "o_orderkey", PARTITIONS)
     jobs.state_check_job(
         source,
@@ -656,7 +663,7 @@ def result_writeback(spark, sf):
         key.alias("spark_job_id"), F.col("legal").cast("string").alias("result"), "score"
     )
     old = new.select("spark_job_id", F.lit("").alias("result"), F.lit(0.0).alias("score"))
-    options = load(old, "TCQ_RESULT")
+    options = load(old, "TCQ_RESULT", key="spark_job_id")
     jdbc.merge_jdbc(new, options, "TCQ_RESULT", "spark_job_id", PARTITIONS, **text_types(new))
     return jdbc.read_jdbc(spark, options, "TCQ_RESULT")
 
@@ -694,6 +701,6 @@ def linreg_tuned(spark, sf):
         "l_extendedprice",
     ).select("l_orderkey", "l_linenumber", "l_partkey", "features", "label")
     train, test = regression.split_by_key(rows, ["l_orderkey", "l_linenumber", "l_partkey"])
-    model = regression.fit_tuned(train.select("features", "label"))
+    model = regression.fit_tuned(train.select("features", "label"), parallelism=4)
     scored = regression.score(model, test, ["l_orderkey", "l_linenumber"])
     return scored.withColumn("features", vector_to_array("features"))
