@@ -33,3 +33,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{scratch_root(spark)}/tablecheck-{uuid.uuid4().hex}/{name}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_path`` that is no longer needed."""
+    if not re.search(r"/tablecheck-[0-9a-f]{32}/[^/]+$", path):
+        raise ValueError(f"not a scratch path: {path}")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

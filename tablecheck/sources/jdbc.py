@@ -44,12 +44,13 @@ def read_bounds(
     """Smallest and largest partition column and row count, computed by the database."""
     name = quoted(type_of_url(options["url"]), column)
     condition = f" WHERE {where}" if where else ""
-    return read_jdbc_query(
+    row = read_jdbc_query(
         spark,
         options,
         f"SELECT MIN({name}) AS lower_bound, MAX({name}) AS upper_bound, "
         f"COUNT(*) AS row_count FROM {table}{condition}",
     ).toDF("lower_bound", "upper_bound", "row_count")
+    return row.withColumn("row_count", F.col("row_count").cast("bigint"))
 
 
 def read_jdbc_partitioned(

@@ -267,3 +267,13 @@ def test_scratch_folder(spark):
             session.scratch_root(Settings(spark_master=master))
         with pytest.raises(RuntimeError):
             database(Settings(spark_master=master))
+
+
+def test_drop_scratch_takes_scratch_only(spark):
+    path = session.scratch_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    session.drop_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        session.drop_scratch(spark, "/tmp")

@@ -19,14 +19,19 @@ EMBEDDED = "jdbc:derby:memory:tablecheck;create=true"
 PARTITIONS = 4
 
 
+# Times come back as they were written, whatever the time zone of the session.
+READ_OPTIONS = {"preferTimestampNTZ": "true"}
+
+
 def database(spark: SparkSession) -> dict[str, str]:
     url = spark.conf.get(f"{SETTING}.url", None)
     if url:
         user = spark.conf.get(f"{SETTING}.user", None)
-        return options_from_url(url, user, spark.conf.get(f"{SETTING}.password", None))
+        password = spark.conf.get(f"{SETTING}.password", None)
+        return options_from_url(url, user, password, **READ_OPTIONS)
     if not is_single_process(spark):
         raise RuntimeError(f"set {SETTING}.url to a database that all executors reach")
-    return options_from_url(EMBEDDED)
+    return options_from_url(EMBEDDED, **READ_OPTIONS)
 
 
 def text_types(df: DataFrame, size: int = 200) -> dict[str, str]:

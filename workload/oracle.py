@@ -113,7 +113,7 @@ SELECT id, cast(json_object(
     'mail', coalesce(trim(mail), ' '), 'id_card', coalesce(trim(id_card), ' ')) AS varchar) AS json
 FROM ({DIRTY})"""
 ORACLE["null_legal_rows"] = f"SELECT * FROM ({GRADED}) WHERE quality IS NOT NULL"
-ORACLE["null_illegal_rows"] = f"SELECT * FROM ({GRADED}) WHERE quality IS NULL"
+ORACLE["null_illegal_rows"] = f"SELECT doc_id, lang FROM ({GRADED}) WHERE quality IS NULL"
 ORACLE["blank_legal_rows"] = f"SELECT * FROM ({DIRTY}) WHERE phone <> ''"
 ORACLE["blank_illegal_rows"] = f"SELECT * FROM ({DIRTY}) WHERE phone = ''"
 SAMPLE = f"""
@@ -243,7 +243,7 @@ ORACLE["format_timestamp"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events"""
 ORACLE["encrypt_column"] = f"""
 SELECT id, phone AS from_fixed, phone AS from_own,
-  CASE WHEN phone IS NOT NULL THEN true END AS sealed FROM ({DIRTY})"""
+  phone IS NOT NULL AS sealed FROM ({DIRTY})"""
 ORACLE["decrypt_column"] = f"SELECT id, cast(NULL AS varchar) AS plain FROM ({DIRTY})"
 
 # Checks with state
@@ -261,6 +261,11 @@ ORACLE["blank_check_with_state"] = f"""
 SELECT o_orderkey, checked,
   CASE WHEN jcsjc IS NULL AND checked <> '' THEN timestamp '{CHECK_TIME}' ELSE jcsjc END AS jcsjc
 FROM ({STATEFUL})"""
+ORACLE["regex_check_job"] = f"""
+SELECT 'marks' AS sink, count(*) AS total FROM ({ORACLE['invalid_marks']})
+UNION ALL SELECT 'macro', count(*) FROM ({ORACLE['macro_summary']})
+UNION ALL SELECT 'detail', count(*) FROM ({ORACLE['illegal_detail']})
+UNION ALL SELECT 'result', 1"""
 ORACLE["pending_state_counts"] = two_way(ORACLE["pending_sentinel"], "checked IS NOT NULL")
 ORACLE["result_writeback"] = f"""
 SELECT 'job-' || cast(o_custkey AS varchar) AS spark_job_id, cast(legal AS varchar) AS result, score

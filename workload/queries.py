@@ -289,7 +289,7 @@ def null_legal_rows(spark, sf):
 
 @query
 def null_illegal_rows(spark, sf):
-    return graded_documents(spark, sf).where(~P.not_null("quality"))
+    return graded_documents(spark, sf).where(~P.not_null("quality")).drop("quality")
 
 
 @query
@@ -584,7 +584,7 @@ def encrypt_column(spark, sf):
         "id",
         decrypt_text("fixed", EXAMPLE_KEY, EXAMPLE_IV).alias("from_fixed"),
         decrypt_text("own", EXAMPLE_KEY).alias("from_own"),
-        (F.col("fixed") != F.col("phone")).alias("sealed"),
+        (~F.col("fixed").eqNullSafe(F.col("phone"))).alias("sealed"),
     )
 
 
@@ -646,6 +646,33 @@ def jdbc_null_check_state_job(spark, sf):
     return jdbc.read_jdbc(spark, options, "TCQ_STATE")
 
 
+@query
+def regex_check_job(spark, sf):
+    """The whole job with all four sinks; returns the rows each of them got."""
+    folder = scratch_path(spark, "job")
+    names = ("marks", "macro", "detail", "result")
+
+    def sink(name):
+        return lambda df: df.write.parquet(f"{folder}/{name}")
+
+    jobs.regex_check_job(
+        stateful_orders(spark, sf),
+        Rule("checked", regex=PRIORITY, message="bad priority"),
+        "o_orderkey",
+        job_id=JOB_ID,
+        task_name="regex check",
+        check_time=CHECK_TIME,
+        sinks=jobs.CheckSinks(**{name: sink(name) for name in names}),
+    )
+    counts = [
+        checks.row_count(spark.read.parquet(f"{folder}/{name}")).select(
+            F.lit(name).alias("sink"), "total"
+        )
+        for name in names
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
 @query
 def pending_state_counts(spark, sf):
     """Counts and score of the pending rows only."""
