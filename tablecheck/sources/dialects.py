@@ -139,6 +139,12 @@ def _require_key(columns: Sequence[str], key: Sequence[str]) -> None:
         raise ValueError(f"key columns are not in the updates: {missing or 'no key'}")
 
 
+def insert_all_sql(db_type: str, table: str, staging: str, columns: Sequence[str]) -> str:
+    """One statement that appends the named columns of all staged rows."""
+    listed = ", ".join(quoted(canonical_type(db_type), c) for c in columns)
+    return f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {staging}"
+
+
 def insert_new_sql(
     db_type: str, table: str, staging: str, columns: Sequence[str], key: Sequence[str]
 ) -> str:

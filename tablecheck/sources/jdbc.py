@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.sources.dialects import (
     FETCH_SIZE,
+    insert_all_sql,
     insert_new_sql,
     merge_sql,
     quoted,
@@ -19,6 +20,8 @@ from tablecheck.sources.dialects import (
 
 Options = Mapping[str, str]
 
+ROW_POSITION = "tc_row_position"
+
 
 def _reader(spark: SparkSession, options: Options) -> DataFrameReader:
     return spark.read.format("jdbc").option("fetchsize", FETCH_SIZE).options(**options)
@@ -118,8 +121,8 @@ def write_jdbc(
 ) -> None:
     """Write through one connection per partition.
 
-    A retried task writes its rows again: where that matters use
-    ``append_once_jdbc`` or ``merge_jdbc``.
+    A retried task writes its rows again; the functions below do not let that
+    reach the target.
     """
     writer = df.write.format("jdbc").mode(mode).option("dbtable", table)
     if partitions:
@@ -127,12 +130,36 @@ def write_jdbc(
     writer.options(**options, **extra).save()
 
 
+def append_jdbc(
+    df: DataFrame,
+    options: Options,
+    table: str,
+    partitions: int | None = None,
+    isolation: str | None = None,
+    **extra: str,
+) -> None:
+    """Append all rows, equal ones included, each exactly once.
+
+    Staged rows carry their position, by which rows of a retried task are told
+    from equal rows. ``df`` has to give its rows in the same order when a task
+    runs again, as a scan does; write it to a table first where it does not.
+    """
+    kind = type_of_url(options["url"])
+    numbered = df.withColumn(ROW_POSITION, F.monotonically_increasing_id())
+    write_jdbc(df.limit(0), options, table, "append", **extra)  # makes a missing table
+
+    def statement(staged: str) -> str:
+        return insert_all_sql(kind, table, staged, df.columns)
+
+    _through_staging(numbered, options, table, statement, partitions, isolation, extra)
+
+
 def write_marks_jdbc(marks: DataFrame, options: Options, table: str, **extra: str) -> None:
     """Append to the mark table, isolation level SERIALIZABLE."""
-    write_jdbc(marks, options, table, "append", isolationLevel="SERIALIZABLE", **extra)
+    append_jdbc(marks, options, table, isolation="SERIALIZABLE", **extra)
 
 
-def merge_jdbc(
+def append_once_jdbc(
     df: DataFrame,
     options: Options,
     table: str,
@@ -140,15 +167,16 @@ def merge_jdbc(
     partitions: int | None = None,
     **extra: str,
 ) -> None:
-    """Update rows of ``table`` by key and insert new ones. ``df`` has one row per key.
+    """Append the rows whose key is new; the whole job may run again after a failure."""
+    kind, keys = type_of_url(options["url"]), _names(key)
 
-    Put a unique index on the key first (``add_unique_key``): without it some
-    databases refuse, others compare all rows with all rows.
-    """
-    _through_staging(df, options, table, key, merge_sql, partitions, extra)
+    def statement(staged: str) -> str:
+        return insert_new_sql(kind, table, staged, df.columns, keys)
 
+    _through_staging(df, options, table, statement, partitions, None, extra)
 
-def append_once_jdbc(
+
+def merge_jdbc(
     df: DataFrame,
     options: Options,
     table: str,
@@ -156,38 +184,43 @@ def append_once_jdbc(
     partitions: int | None = None,
     **extra: str,
 ) -> None:
-    """Append the rows whose key is new; safe to run again after a failure."""
-    _through_staging(df, options, table, key, insert_new_sql, partitions, extra)
+    """Update rows of ``table`` by key and insert new ones. ``df`` has one row per key.
+
+    Put a unique index on the key first (``add_unique_key``): without it some
+    databases refuse, others compare all rows with all rows.
+    """
+    kind, keys = type_of_url(options["url"]), _names(key)
+
+    def statement(staged: str) -> str:
+        return merge_sql(kind, table, staged, df.columns, keys)
+
+    _through_staging(df, options, table, statement, partitions, None, extra)
+
+
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
 def _through_staging(
     df: DataFrame,
     options: Options,
     table: str,
-    key: str | Sequence[str],
-    statement: Callable[..., str],
+    statement: Callable[[str], str],
     partitions: int | None,
+    isolation: str | None,
     extra: Options,
 ) -> None:
     """Executors append to a staging table; the database drops what a retried task
     wrote twice and takes the rest over in one transaction. So the target changes
-    once or not at all, and running the job again gives the same table.
+    once or not at all.
     """
     spark = df.sparkSession
-    keys = [key] if isinstance(key, str) else list(key)
-    kind = type_of_url(options["url"])
     written, staged = staging_name(table), staging_name(table)
     try:
         write_jdbc(df, options, written, "overwrite", partitions, **extra)
         write_jdbc(df.limit(0), options, staged, "overwrite", **extra)
-        execute(
-            spark,
-            options,
-            [
-                f"INSERT INTO {staged} SELECT DISTINCT * FROM {written}",
-                statement(kind, table, staged, df.columns, keys),
-            ],
-        )
+        distinct = f"INSERT INTO {staged} SELECT DISTINCT * FROM {written}"
+        execute(spark, options, [distinct, statement(staged)], isolation)
     finally:
         for name in (written, staged):
             drop_table(spark, options, name)
@@ -196,8 +229,7 @@ def _through_staging(
 def add_unique_key(
     spark: SparkSession, options: Options, table: str, key: str | Sequence[str]
 ) -> None:
-    keys = [key] if isinstance(key, str) else list(key)
-    execute(spark, options, [unique_key_sql(type_of_url(options["url"]), table, keys)])
+    execute(spark, options, [unique_key_sql(type_of_url(options["url"]), table, _names(key))])
 
 
 def table_exists(spark: SparkSession, options: Options, table: str) -> bool:
@@ -214,7 +246,12 @@ def drop_table(spark: SparkSession, options: Options, table: str) -> None:
         execute(spark, options, [f"DROP TABLE {table}"])
 
 
-def execute(spark: SparkSession, options: Options, statements: Sequence[str]) -> None:
+def execute(
+    spark: SparkSession,
+    options: Options,
+    statements: Sequence[str],
+    isolation: str | None = None,
+) -> None:
     """Run statements in one transaction, once, from the driver. No rows pass it."""
     jvm = spark._jvm
     login = jvm.java.util.Properties()
@@ -229,6 +266,9 @@ def execute(spark: SparkSession, options: Options, statements: Sequence[str]) ->
         raise ValueError("the JDBC driver does not accept the URL")
     try:
         connection.setAutoCommit(False)
+        if isolation:
+            level = getattr(jvm.java.sql.Connection, f"TRANSACTION_{isolation}")
+            connection.setTransactionIsolation(level)
         statement = connection.createStatement()
         for sql in statements:
             statement.execute(sql)

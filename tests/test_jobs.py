@@ -89,10 +89,8 @@ def test_state_job_in_the_database(spark, sf_dir):
             jdbc.read_jdbc_partitioned(spark, options, "T_STATE_JOB", "o_orderkey", 4),
             P.not_null("checked"),
             check_time=TIME,
-            drop=("checked_twice",),
-            merge=lambda u: jdbc.merge_jdbc(
-                u.select("o_orderkey", "jcsjc"), options, "T_STATE_JOB", "o_orderkey"
-            ),
+            keep=["o_orderkey"],
+            merge=lambda u: jdbc.merge_jdbc(u, options, "T_STATE_JOB", "o_orderkey"),
         )
 
     assert tuple(run()) == (3750, 3000, 750, 80.0)
@@ -127,5 +125,8 @@ def test_copy(spark):
     for _ in range(2):
         jobs.copy_job(df, options, "T_COPY", key="id", partitions=2)
     assert jdbc.read_jdbc(spark, options, "T_COPY").count() == 10
-    jobs.copy_job(df, options, "T_COPY2", mode="overwrite")
-    assert jdbc.read_jdbc(spark, options, "T_COPY2").count() == 10
+    for mode, rows in (("overwrite", 10), ("append", 20), ("overwrite", 10)):
+        jobs.copy_job(df, options, "T_COPY2", mode=mode)
+        assert jdbc.read_jdbc(spark, options, "T_COPY2").count() == rows
+    with pytest.raises(ValueError):
+        jobs.copy_job(df, options, "T_COPY2", mode="ignore")

@@ -165,6 +165,30 @@ def test_failed_merge_changes_nothing(spark):
     assert rows(jdbc.read_jdbc(spark, options, "T_FAIL")) == [(1, "a")]
 
 
+def test_append_keeps_equal_rows_but_not_those_of_a_retry(spark, monkeypatch):
+    options = load(spark.range(0), "T_APPEND")
+    df = spark.range(6).select((F.col("id") % 2).alias("id"))
+    jdbc.append_jdbc(df, options, "T_APPEND")
+    assert rows(jdbc.read_jdbc(spark, options, "T_APPEND")) == [(0,)] * 3 + [(1,)] * 3
+    real = jdbc.write_jdbc
+
+    def twice(frame, options, table, mode="append", partitions=None, **extra):
+        real(frame, options, table, mode, partitions, **extra)
+        if mode == "overwrite":
+            real(frame, options, table, "append", partitions, **extra)
+
+    monkeypatch.setattr(jdbc, "write_jdbc", twice)
+    jdbc.append_jdbc(df, options, "T_APPEND", isolation="SERIALIZABLE")
+    assert rows(jdbc.read_jdbc(spark, options, "T_APPEND")) == [(0,)] * 6 + [(1,)] * 6
+
+
+def test_append_makes_a_missing_table(spark):
+    options = database(spark)
+    jdbc.drop_table(spark, options, "T_NEW")
+    jdbc.append_jdbc(spark.range(3), options, "T_NEW")
+    assert jdbc.read_jdbc(spark, options, "T_NEW").count() == 3
+
+
 def test_append_once_keeps_old_rows(spark):
     options = load(spark.createDataFrame([(1, "a")], "k int, v string"), "T_ONCE", key="k")
     new = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")

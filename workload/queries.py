@@ -181,7 +181,9 @@ def sql_over_view(spark, sf):
 def jdbc_append_roundtrip(spark, sf):
     customers = table(spark, sf, "customer")
     options = load(customers.limit(0), "TCQ_APPEND")
-    jobs.copy_job(customers, options, "TCQ_APPEND", partitions=PARTITIONS)
+    jobs.copy_job(
+        customers, options, "TCQ_APPEND", partitions=PARTITIONS, **text_types(customers)
+    )
     return jdbc.read_jdbc(spark, options, "TCQ_APPEND")
 
 
@@ -204,8 +206,11 @@ def jdbc_copy_once(spark, sf):
 
 @query
 def jdbc_overwrite_roundtrip(spark, sf):
-    load(table(spark, sf, "supplier"), "TCQ_OVERWRITE")
-    options = load(table(spark, sf, "customer"), "TCQ_OVERWRITE")
+    customers = table(spark, sf, "customer")
+    options = load(table(spark, sf, "supplier"), "TCQ_OVERWRITE")
+    jobs.copy_job(
+        customers, options, "TCQ_OVERWRITE", mode="overwrite", **text_types(customers)
+    )
     return jdbc.read_jdbc(spark, options, "TCQ_OVERWRITE")
 
 
@@ -250,7 +255,7 @@ def _marks(spark, sf):
 def mark_table_roundtrip(spark, sf):
     rows = _marks(spark, sf)
     options = load(rows.limit(0), "TCQ_MARKS")
-    jdbc.write_marks_jdbc(rows, options, "TCQ_MARKS")
+    jdbc.write_marks_jdbc(rows, options, "TCQ_MARKS", **text_types(rows))
     return jdbc.read_jdbc(spark, options, "TCQ_MARKS")
 
 
@@ -639,8 +644,9 @@ def jdbc_null_check_state_job(spark, sf):
         source,
         P.not_null("checked"),
         check_time=CHECK_TIME,
+        keep=["o_orderkey"],
         merge=lambda updates: jdbc.merge_jdbc(
-            updates.select("o_orderkey", "jcsjc"), options, "TCQ_STATE", "o_orderkey", PARTITIONS
+            updates, options, "TCQ_STATE", "o_orderkey", PARTITIONS
         ),
     )
     return jdbc.read_jdbc(spark, options, "TCQ_STATE")
