@@ -154,6 +154,18 @@ def append_jdbc(
     _through_staging(numbered, options, table, statement, partitions, isolation, extra)
 
 
+def replace_jdbc(
+    df: DataFrame,
+    options: Options,
+    table: str,
+    partitions: int | None = None,
+    **extra: str,
+) -> None:
+    """Make the table anew with all rows, each exactly once."""
+    write_jdbc(df.limit(0), options, table, "overwrite", **extra)
+    append_jdbc(df, options, table, partitions, **extra)
+
+
 def write_marks_jdbc(marks: DataFrame, options: Options, table: str, **extra: str) -> None:
     """Append to the mark table, isolation level SERIALIZABLE."""
     append_jdbc(marks, options, table, isolation="SERIALIZABLE", **extra)

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +65,49 @@ def test_masks(spark, mask):
     assert {r.x: r.y for r in rows} == cases
 
 
+def starred(text, start, end):
+    return text[:start] + "*" * (end - start) + text[end:]
+
+
+def expected_masks(text):
+    """The four masks of one text, spelled out per character."""
+    phone = text
+    if re.fullmatch("0?1[34578][0-9]{9}", text):
+        phone = starred(text, 3, 7)
+    elif len(text) > 3:
+        phone = text[:3] + "".join("*" if c in "0123456789" else c for c in text[3:])
+    card = text
+    if re.fullmatch("[0-9]{15}", text):
+        card = starred(text, 6, 12)
+    elif re.fullmatch("[0-9]{17}[0-9|x]", text):
+        card = starred(text, 6, 14)
+    mail = starred(text, 0, text.index("@")) if "@" in text else text
+    return {
+        "name": text[:1] + "*" * (len(text) - 1) if text else text,
+        "phone": phone,
+        "id_card": card,
+        "mail": mail,
+    }
+
+
+def test_masks_of_random_texts(spark):
+    rng = random.Random(3)
+    alphabets = ["0123456789", "01348x|X", "ab@.", "é张 \n'\"$\\*", "013 -"]
+    texts = {""}
+    for _ in range(4000):
+        size = rng.choice([0, 1, 2, 3, 4, 7, 11, 12, 15, 18, 30])
+        texts.add("".join(rng.choice(rng.choice(alphabets)) for _ in range(size)))
+        texts.add("".join(rng.choice("0123456789") for _ in range(rng.choice([15, 17]))) + rng.choice(["", "x", "X", "|"]))
+        texts.add(rng.choice(["0", ""]) + rng.choice(["13", "16", "17"]) + "".join(rng.choice("0123456789") for _ in range(9)))
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = df.select("x", *[masks.MASKS[m]("x").alias(m) for m in MASK_CASES])
+    for row in got.collect():
+        assert {m: row[m] for m in MASK_CASES} == expected_masks(row.x)
+    masks.register_sql_masks(spark)
+    calls = ", ".join(f"{SQL_NAMES[m]}(x) AS {m}" for m in MASK_CASES)
+    assert spark.sql(f"SELECT x, {calls} FROM {{df}}", df=df).exceptAll(got).count() == 0
+
+
 @pytest.mark.parametrize("mask", MASK_CASES)
 def test_sql_masks_do_the_same(spark, mask):
     masks.register_sql_masks(spark)

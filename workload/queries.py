@@ -238,10 +238,9 @@ def jdbc_merge(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     options = load(orders, "TCQ_MERGE", key="o_orderkey")
     updates = _order_updates(orders)
-    for _ in range(2):  # a repeated merge changes nothing
-        jdbc.merge_jdbc(
-            updates, options, "TCQ_MERGE", "o_orderkey", PARTITIONS, **text_types(updates)
-        )
+    jdbc.merge_jdbc(
+        updates, options, "TCQ_MERGE", "o_orderkey", PARTITIONS, **text_types(updates)
+    )
     return jdbc.read_jdbc(spark, options, "TCQ_MERGE")
 
 
