@@ -33,15 +33,21 @@ SAMPLE_SEED = 7
 # A range this many times larger than planned is taken to hold copies.
 HOT_FACTOR = 4
 UNFOLD_CHUNK = 100_000
+BLOCK = 128
 
 _TIE, _RANGE, _KEY = "_tie", "_range", "_key"
+_HEAD, _CUTS = "_head", "_cuts"
 
 
 @dataclass(frozen=True)
 class Ranges:
-    """Cut points of the order key, as the JSON text of a sorted array."""
+    """Cut points of the order key in blocks of ``BLOCK``, as JSON texts.
 
-    cuts: str
+    ``heads`` holds the last cut point of each full block.
+    """
+
+    blocks: str
+    heads: str
     size: int
     names: tuple[str, ...]
     kind: T.DataType
@@ -49,19 +55,32 @@ class Ranges:
     def assign(self, df: DataFrame) -> DataFrame:
         """Add the range of each row: how many cut points are at or below its key.
 
-        A binary search, one projection per step: the search stays inside the
-        generated code of the stage, without join or Python. (A single expression
-        would repeat the position found so far twice per step, so double its size
-        with each.)
+        A binary search for the block, then one inside it, one projection per step:
+        the search stays inside the generated code of the stage, without join or
+        Python. (A single expression would repeat the position found so far twice
+        per step, so double its size with each.)
         """
-        cuts = F.from_json(F.lit(self.cuts), T.ArrayType(self.kind))
         key = _key(self.names)
-        found = F.col(_RANGE)
-        out = df.withColumn(_RANGE, F.lit(0))
-        for step in reversed([1 << i for i in range(self.size.bit_length())]):
-            below = F.get(cuts, found + (step - 1)) <= key
-            out = out.withColumn(_RANGE, found + F.when(below, step).otherwise(0))
-        return out
+        heads = F.from_json(F.lit(self.heads), T.ArrayType(self.kind))
+        out = _search(df, heads, self.size // BLOCK, key, _HEAD)
+        blocks = F.from_json(F.lit(self.blocks), T.ArrayType(T.ArrayType(self.kind)))
+        # beyond the last block; also keeps the large literal from being copied
+        # into every step
+        none = F.from_json(F.lit("[]"), T.ArrayType(self.kind))
+        out = out.withColumn(_CUTS, F.coalesce(F.get(blocks, F.col(_HEAD)), none))
+        out = _search(out, F.col(_CUTS), min(BLOCK, self.size), key, _RANGE)
+        found = F.col(_HEAD) * BLOCK + F.col(_RANGE)
+        return out.withColumn(_RANGE, found).drop(_HEAD, _CUTS)
+
+
+def _search(df: DataFrame, cuts: Column, size: int, key: Column, name: str) -> DataFrame:
+    """Add ``name``: the number of elements of the sorted ``cuts`` that are <= ``key``."""
+    found = F.col(name)
+    out = df.withColumn(name, F.lit(0))
+    for step in reversed([1 << i for i in range(size.bit_length())]):
+        below = F.get(cuts, found + (step - 1)) <= key
+        out = out.withColumn(name, found + F.when(below, step).otherwise(0))
+    return out
 
 
 def _key(names: Sequence[str]) -> Column:
@@ -79,14 +98,23 @@ def plan_ranges(keys: DataFrame, ranges: int, total: int) -> Ranges:
     sample = keys.select(_key(names).alias(_KEY))
     kind = sample.schema[_KEY].dataType
     if ranges <= 1 or total == 0:
-        return Ranges("[]", 0, names, kind)
+        return Ranges("[]", "[]", 0, names, kind)
     fraction = min(1.0, ranges * SAMPLES_PER_RANGE / total)
     every = max(1, int(total * fraction) // ranges)
     sample = keys.sample(False, fraction, SAMPLE_SEED).select(_key(names).alias(_KEY))
     ordered = sample.agg(F.array_sort(F.collect_list(_KEY)).alias("keys"))
     cuts = F.filter("keys", lambda _, i: i % every == every - 1)
-    row = ordered.select(F.size(cuts), F.to_json(cuts)).first()
-    return Ranges(row[1], row[0], names, kind)
+    starts = F.transform("cuts", lambda _, i: F.when(i % BLOCK == 0, F.slice("cuts", i + 1, BLOCK)))
+    row = (
+        ordered.select(cuts.alias("cuts"))
+        .select(
+            F.to_json(F.filter(starts, lambda block: block.isNotNull())).alias("blocks"),
+            F.to_json(F.filter("cuts", lambda _, i: i % BLOCK == BLOCK - 1)).alias("heads"),
+            F.size("cuts").alias("size"),
+        )
+        .first()
+    )
+    return Ranges(row["blocks"], row["heads"], row["size"], names, kind)
 
 
 def _offsets(counted: DataFrame) -> tuple[Column, int]:

@@ -157,7 +157,7 @@ def global_numbers(df, *order):
     return df.withColumn("rownum", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-@pytest.mark.parametrize("rows_per_range", [10, 137, 10_000])
+@pytest.mark.parametrize("rows_per_range", [1, 10, 137, 10_000])
 def test_numbers_equal_the_global_window(spark, rows_per_range):
     df = spark.range(3000).select(
         ((F.col("id") * 7919) % 3001).alias("k"), (F.col("id") % 3).alias("v")
@@ -224,6 +224,23 @@ def test_a_hot_key_of_different_rows_is_split(spark):
     assert ordered == list(enumerate(sorted(r.k for r in df.collect()), 1))
 
 
+@pytest.mark.parametrize("size", [0, 1, 2, 127, 128, 129, 255, 256, 257, 1000])
+def test_range_is_the_number_of_cut_points_at_or_below(spark, size):
+    """``size`` cut points 10, 20, 30, ... against every key around them."""
+    cuts = [10 * (i + 1) for i in range(size)]
+    block = numbering.BLOCK
+    plan = numbering.Ranges(
+        str([cuts[i : i + block] for i in range(0, size, block)]),
+        str(cuts[block - 1 :: block]),
+        size,
+        ("k",),
+        spark.range(1).schema["id"].dataType,
+    )
+    df = spark.range(0, 10 * size + 21, 5).withColumnRenamed("id", "k")
+    for row in plan.assign(df).collect():
+        assert row["_range"] == min(row.k // 10, size)
+
+
 def test_numbers_of_an_empty_table(spark):
     got = numbering.number_rows(spark.range(0), "id", unique=True)
     assert got.columns == ["id", "rownum"] and got.count() == 0

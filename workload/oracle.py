@@ -89,11 +89,11 @@ for name in ("jdbc_append_roundtrip", "jdbc_copy_once", "jdbc_overwrite_roundtri
     ORACLE[name] = "SELECT * FROM customer"
 ORACLE["upsert_by_key"] = ORACLE["jdbc_merge"] = """
 SELECT o_orderkey,
-  CASE WHEN o_orderkey % 3 = 0 THEN upper('new ' || o_orderpriority) ELSE o_orderpriority END
-    AS o_orderpriority
+  CASE WHEN o_orderstatus = 'F' THEN upper('new ' || o_orderpriority) ELSE o_orderpriority END
+    AS o_orderpriority, o_orderstatus
 FROM orders
 UNION ALL
-SELECT -o_orderkey - 1, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0"""
+SELECT -o_orderkey - 1, o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'P'"""
 ORACLE["invalid_marks"] = ORACLE["mark_table_roundtrip"] = f"""
 SELECT cast(o_orderkey AS varchar) AS "SOURCE_TABLE_PK", 'bad priority' AS "RESULT",
   'checked' AS "COLUMN_NAME", '{CHECK_TIME}' AS "CHECK_START_TIME"
@@ -228,13 +228,15 @@ ORACLE["mask_mail"] = f"SELECT id, {MASK_MAIL} AS mail FROM ({DIRTY})"
 ORACLE["sql_udf_masks"] = f"""
 SELECT id, {STAR_REST.format('name')} AS name, {MASK_PHONE} AS phone,
   {MASK_CARD % ''} AS id_card, {MASK_MAIL} AS mail FROM ({DIRTY})"""
+CONTACTS = f"""
+SELECT o_orderkey AS id, name, mail, o_orderdate AS ldsjc
+FROM orders JOIN ({DIRTY}) c ON o_custkey = c.id
+WHERE o_orderdate >= timestamp '{SINCE}'"""
 ORACLE["export_masked"] = f"""
-SELECT 'supplier' AS entry, s_suppkey AS id, s_name AS name, '2018-09-01' AS ldsjc
-FROM supplier WHERE s_suppkey % 2 = 0
-UNION ALL
-SELECT 'masked', id, {STAR_REST.format('name')}, '2018-09-01' FROM ({DIRTY}) WHERE id % 2 = 0
-UNION ALL
-SELECT 'selected', id, {MASK_MAIL}, '2018-09-01' FROM ({DIRTY}) WHERE id % 2 = 0"""
+SELECT 'plain' AS entry, o_orderkey AS id, o_orderpriority AS name, o_orderdate AS ldsjc
+FROM orders WHERE o_orderdate >= timestamp '{SINCE}'
+UNION ALL SELECT 'masked', id, {STAR_REST.format('name')}, ldsjc FROM ({CONTACTS})
+UNION ALL SELECT 'selected', id, {MASK_MAIL}, ldsjc FROM ({CONTACTS})"""
 ORACLE["strip_quotes"] = """
 SELECT c_custkey, c_name AS unquoted, chr(39) || c_name AS half_quoted FROM customer"""
 ORACLE["concat_columns"] = f"SELECT id, concat_ws(',', name, phone, mail) AS joined FROM ({DIRTY})"

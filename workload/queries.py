@@ -214,20 +214,19 @@ def jdbc_overwrite_roundtrip(spark, sf):
     return jdbc.read_jdbc(spark, options, "TCQ_OVERWRITE")
 
 
-def _order_updates(orders):
-    """New priority for a part of the orders, and as many new orders."""
-    changed = orders.where("o_orderkey % 3 = 0").select(
-        "o_orderkey", F.upper(F.concat(F.lit("new "), "o_orderpriority")).alias("o_orderpriority")
+def _orders_and_updates(spark, sf):
+    """All orders; a new priority for the finished ones; as new orders the pending ones."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    changed = orders.where("o_orderstatus = 'F'").withColumn(
+        "o_orderpriority", F.upper(F.concat(F.lit("new "), "o_orderpriority"))
     )
-    added = orders.where("o_orderkey % 3 = 0").select(
-        (-F.col("o_orderkey") - 1).alias("o_orderkey"), "o_orderpriority"
-    )
-    return changed.unionByName(added)
+    added = orders.where("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return orders, changed.unionByName(added)
 
 
 def _upserted(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return upsert_by_key(orders, _order_updates(orders), "o_orderkey")
+    orders, updates = _orders_and_updates(spark, sf)
+    return upsert_by_key(orders, updates, "o_orderkey")
 
 
 QUERIES["upsert_by_key"] = _upserted
@@ -235,9 +234,8 @@ QUERIES["upsert_by_key"] = _upserted
 
 @query
 def jdbc_merge(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    orders, updates = _orders_and_updates(spark, sf)
     options = load(orders, "TCQ_MERGE", key="o_orderkey")
-    updates = _order_updates(orders)
     jdbc.merge_jdbc(
         updates, options, "TCQ_MERGE", "o_orderkey", PARTITIONS, **text_types(updates)
     )
@@ -514,33 +512,42 @@ def sql_udf_masks(spark, sf):
     return jobs.export_rows(entry)
 
 
+def _contacts(spark, sf):
+    """Every order with the contact data of its customer, loaded at the order date."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    customers = dirty_customer(spark, sf).withColumnRenamed("id", "o_custkey")
+    return orders.join(customers, "o_custkey").select(
+        F.col("o_orderkey").alias("id"),
+        "name",
+        "phone",
+        "mail",
+        F.col("o_orderdate").alias("ldsjc"),
+    )
+
+
 @query
 def export_masked(spark, sf):
-    """Plain, masked and selected tables, exported and read back."""
-    loaded = "cast(CASE WHEN {0} % 2 = 0 THEN '2018-09-01' ELSE '2018-08-31' END AS string)"
-    customers = dirty_customer(spark, sf).withColumn("ldsjc", F.expr(loaded.format("id")))
-    suppliers = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_name").alias("name"),
-        F.expr(loaded.format("s_suppkey")).alias("ldsjc"),
+    """Plain, masked and selected tables, exported since a date and read back."""
+    contacts = _contacts(spark, sf)
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_orderdate").alias("ldsjc"),
     )
     entries = [
-        jobs.ExportEntry("supplier", suppliers),
-        jobs.ExportEntry(
-            "masked", customers.select("id", "name", "ldsjc"), masks={"name": "name"}
-        ),
+        jobs.ExportEntry("plain", orders),
+        jobs.ExportEntry("masked", contacts.select("id", "name", "ldsjc"), masks={"name": "name"}),
         jobs.ExportEntry(
             "selected",
-            customers,
+            contacts,
             select="SELECT id, mail_rm_sensitive(mail) AS name, ldsjc FROM sourceData",
         ),
     ]
     folder = scratch_path(spark, "export")
-    paths = jobs.export_job(entries, folder, since=("ldsjc", "2018-09-01"), null_text="\\N")
+    paths = jobs.export_job(entries, folder, since=("ldsjc", SINCE), null_text="\\N")
+    schema = "id long, name string, ldsjc timestamp_ntz"
     parts = [
-        files.read_csv(spark, path, "id long, name string, ldsjc string", null_text="\\N").select(
-            F.lit(name).alias("entry"), "*"
-        )
+        files.read_csv(spark, path, schema, null_text="\\N").select(F.lit(name).alias("entry"), "*")
         for name, path in paths.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
