@@ -116,6 +116,17 @@ def test_sample_reads_null_as_text(spark):
     assert [r.illgeadata for r in detail] == ['{"k":"1","x":"ab"}', '{"k":"2","x":" "}']
 
 
+def test_sample_equals_a_full_sort(spark):
+    rng = random.Random(2)
+    data = [(rng.choice([None, *range(30)]), i, rng.choice(["a", "b", None])) for i in range(500)]
+    df = spark.createDataFrame(data, "k int, i int, x string").repartition(5)
+    illegal = marks.illegal_rows(df, "x", "a")
+    for n in (1, 7, 40, 1000):
+        expected = illegal.orderBy("k", "i").collect()[:n]
+        assert marks.illegal_sample(df, "x", "a", ["k", "i"], n).collect() == expected
+    assert marks.illegal_sample(df, "x", "a|b|null", "k").collect() == []
+
+
 # State
 
 
