@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -79,13 +80,18 @@ def read_jdbc_partitioned(
         return reader.load()
     return (
         reader.option("partitionColumn", column)
-        .option("lowerBound", str(bounds[0]))
-        .option("upperBound", str(bounds[1]))
+        .option("lowerBound", _bound(bounds[0]))
+        .option("upperBound", _bound(bounds[1]))
         .option("numPartitions", partitions)
         .load()
     )
 
 
+def _bound(value: object) -> str:
+    """A bound as the source wants it: whole numbers, or a date or time as text."""
+    return str(int(value)) if isinstance(value, Decimal | float) else str(value)
+
+
 def read_jdbc_balanced(
     spark: SparkSession, options: Options, table: str, column: str, partitions: int
 ) -> DataFrame:

@@ -116,6 +116,22 @@ def test_partitioned_read_is_whole(spark):
     assert tuple(jdbc.read_bounds(spark, options, "T_PARTS", "id", '"id" > 10').first()) == (11, 999, 989)
 
 
+def test_partitioned_read_by_other_types(spark):
+    df = spark.range(200).select(
+        F.col("id").cast("decimal(20,4)").alias("d"),
+        F.col("id").cast("double").alias("f"),
+        F.timestamp_seconds(F.col("id") * 86_400).cast("timestamp_ntz").alias("t"),
+    )
+    options = load(df, "T_TYPES")
+    with_zone = {**options, "preferTimestampNTZ": "false"}
+    for column, chosen in (("d", options), ("f", options), ("t", with_zone)):
+        got = jdbc.read_jdbc_partitioned(spark, chosen, "T_TYPES", column, 4)
+        assert got.rdd.getNumPartitions() == 4
+        assert rows(got.select("d", "f")) == rows(df.select("d", "f"))
+    for column in ("d", "f"):
+        assert rows(jdbc.read_jdbc_balanced(spark, options, "T_TYPES", column, 4)) == rows(df)
+
+
 def test_partitioned_read_of_an_empty_table(spark):
     options = load(spark.range(0), "T_EMPTY")
     assert jdbc.read_jdbc_partitioned(spark, options, "T_EMPTY", "id", 4).count() == 0
