@@ -47,17 +47,17 @@ def blank_check(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame
 REGEX_COLUMNS = ("total", "legal", "null_or_empty", "illegal", "illegal_strict", "score")
 
 
-def _regex_columns(total: Column, legal: Column, empty: Column, both: Column) -> list[Column]:
+def _regex_columns() -> list[Column]:
     # A pattern that matches '' makes a row both legal and empty. ``illegal``
     # subtracts it twice (and may fall below zero); ``illegal_strict`` does not.
-    illegal = total - legal - empty
+    illegal = F.col("total") - F.col("legal") - F.col("null_or_empty")
     return [
-        total.alias("total"),
-        legal.alias("legal"),
-        empty.alias("null_or_empty"),
+        F.col("total"),
+        F.col("legal"),
+        F.col("null_or_empty"),
         illegal.alias("illegal"),
-        (illegal + both).alias("illegal_strict"),
-        quality_score(legal, total).alias("score"),
+        (illegal + F.col("_both")).alias("illegal_strict"),
+        quality_score("legal", "total").alias("score"),
     ]
 
 
@@ -90,13 +90,14 @@ def multi_rule_check(
         F.struct(
             F.lit(rule.label).alias("rule"),
             F.lit(rule.column).alias("column_name"),
-            *_regex_columns(
-                F.col("total"), F.col(f"legal_{i}"), F.col(f"empty_{i}"), F.col(f"both_{i}")
-            ),
+            F.col(f"legal_{i}").alias("legal"),
+            F.col(f"empty_{i}").alias("null_or_empty"),
+            F.col(f"both_{i}").alias("_both"),
         )
         for i, rule in enumerate(rules)
     ]
-    return df.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*rows)))
+    per_rule = df.groupBy(*by).agg(*counts).select(*by, "total", F.inline(F.array(*rows)))
+    return per_rule.select(*by, "rule", "column_name", *_regex_columns())
 
 
 def illegal_full_match_count(df: DataFrame, column: str, regex: str) -> DataFrame:
