@@ -275,11 +275,26 @@ FROM ({ORACLE['quality_score']})"""
 
 # Regression
 
-ORACLE["split_sizes"] = """
-SELECT part, count(*) AS n FROM (
-  SELECT CASE WHEN (('0x' || substr(md5('12345|' || cast(o_orderkey AS varchar)), 1, 12))::BIGINT
-                    % 1000000) / 1000000.0::DOUBLE < 0.9 THEN 'train' ELSE 'test' END AS part
-  FROM orders) GROUP BY part"""
+def in_training(*key: str) -> str:
+    """True for the rows whose hash of seed and key falls into the training share."""
+    text = " || '|' || ".join(["'12345'", *[f"cast({k} AS varchar)" for k in key]])
+    slot = f"('0x' || substr(md5({text}), 1, 12))::BIGINT % 1000000"
+    return f"({slot}) / 1000000.0::DOUBLE < 0.9"
+
+
+ORACLE["split_sizes"] = f"""
+SELECT part, count(*) AS n
+FROM (SELECT CASE WHEN {in_training('o_orderkey')} THEN 'train' ELSE 'test' END AS part FROM orders)
+GROUP BY part"""
+ORACLE["linreg_scored"] = f"""
+WITH parts AS (
+  SELECT *, {in_training('l_orderkey', 'l_linenumber', 'l_partkey')} AS training FROM lineitem),
+model AS (
+  SELECT regr_slope(l_extendedprice, l_quantity) AS slope,
+    regr_intercept(l_extendedprice, l_quantity) AS intercept FROM parts WHERE training)
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS label,
+  round(slope * l_quantity + intercept, 2) AS prediction
+FROM parts, model WHERE NOT training"""
 ORACLE["linreg_fit"] = """
 SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
   round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem"""

@@ -732,14 +732,24 @@ def linreg_fit(spark, sf):
     return spark.createDataFrame([row], "slope double, intercept double")
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+@query
+def linreg_scored(spark, sf):
+    """Fit on the training share, score the rest."""
+    train, test = regression.split_by_key(_regression_rows(spark, sf), LINE_KEY)
+    model = regression.fit_linear(train.select("features", "label"))
+    scored = regression.score(model, test, LINE_KEY)
+    return scored.select(*LINE_KEY, "label", F.round("prediction", 2).alias("prediction"))
+
+
 @query
 def linreg_tuned(spark, sf):
     rows = regression.with_features(
-        table(spark, sf, "lineitem").where("l_extendedprice IS NOT NULL"),
-        ["l_quantity", "l_discount", "l_tax"],
-        "l_extendedprice",
-    ).select("l_orderkey", "l_linenumber", "l_partkey", "features", "label")
-    train, test = regression.split_by_key(rows, ["l_orderkey", "l_linenumber", "l_partkey"])
+        table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"
+    ).select(*LINE_KEY, "features", "label")
+    train, test = regression.split_by_key(rows, LINE_KEY)
     model = regression.fit_tuned(train.select("features", "label"), parallelism=4)
     scored = regression.score(model, test, ["l_orderkey", "l_linenumber"])
     return scored.withColumn("features", vector_to_array("features"))
