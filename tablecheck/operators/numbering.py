@@ -37,6 +37,7 @@ BLOCK = 128
 
 _TIE, _RANGE, _KEY = "_tie", "_range", "_key"
 _HEAD, _CUTS = "_head", "_cuts"
+_UNFOLD = ("_copies", "_last", "_from", "_to")
 
 
 @dataclass(frozen=True)
@@ -147,6 +148,9 @@ def number_rows(
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = df.columns
+    taken = {name, _TIE, _RANGE, _KEY, _HEAD, _CUTS, *_UNFOLD}.intersection(columns)
+    if taken:
+        raise ValueError(f"column names that the numbering needs: {sorted(taken)}")
     total = df.count()
     ranges = max(1, min(MAX_RANGES, -(-total // rows_per_range)))
     tied = df if unique else df.withColumn(_TIE, F.xxhash64(*columns))

@@ -161,6 +161,14 @@ def test_upsert_with_hot_and_null_keys(spark):
     )
 
 
+def test_upsert_by_two_columns(spark):
+    target = spark.createDataFrame([(1, "a", 0), (1, "b", 0), (2, "a", 0)], "k int, l string, v int")
+    updates = spark.createDataFrame([("b", 1, 9), ("c", 1, 9)], "l string, k int, v int")
+    got = upsert_by_key(target, updates, ["k", "l"])
+    assert got.columns == target.columns
+    assert rows(got) == [(1, "a", 0), (1, "b", 9), (1, "c", 9), (2, "a", 0)]
+
+
 # Numbering
 
 
@@ -257,6 +265,18 @@ def test_numbers_of_an_empty_table(spark):
     assert got.columns == ["id", "rownum"] and got.count() == 0
 
 
+def test_numbering_refuses_taken_names(spark):
+    for taken in ("rownum", "_range", "_last"):
+        with pytest.raises(ValueError):
+            numbering.number_rows(spark.range(3).withColumn(taken, F.lit(1)), "id", unique=True)
+
+
+def test_a_broken_promise_of_uniqueness_still_numbers_every_row(spark):
+    df = spark.range(900).select((F.col("id") % 2).alias("k"))
+    got = numbering.number_rows(df, "k", unique=True, rows_per_range=20)
+    assert rows(got) == rows(global_numbers(df, "k"))
+
+
 def test_bounds(spark):
     assert tuple(numbering.partition_bounds(spark.range(3, 9), "id").first()) == (3, 8, 6)
 

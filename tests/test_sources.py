@@ -166,6 +166,15 @@ def test_merge_updates_inserts_and_repeats(spark):
         assert rows(jdbc.read_jdbc(spark, options, "T_MERGE")) == [(1, "a"), (2, "B"), (3, "C")]
 
 
+def test_merge_by_two_columns(spark):
+    target = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], "k int, l string, v int")
+    updates = spark.createDataFrame([(1, "b", 9), (2, "a", 9)], "k int, l string, v int")
+    options = load(target, "T_TWO")
+    jdbc.add_unique_key(spark, options, "T_TWO", ["k", "l"])
+    jdbc.merge_jdbc(updates, options, "T_TWO", ["k", "l"], **text_types(updates))
+    assert rows(jdbc.read_jdbc(spark, options, "T_TWO")) == [(1, "a", 0), (1, "b", 9), (2, "a", 9)]
+
+
 def test_merge_takes_rows_a_retried_task_wrote_twice(spark):
     options = load(spark.createDataFrame([(1, "a")], "k int, v string"), "T_TWICE", key="k")
     updates = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (2, "y")], "k int, v string")
