@@ -7,8 +7,8 @@ from compare import compare, oracle_connection
 
 import __spark_entry__ as driver
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = driver.QUERIES
+ORACLE = driver.ORACLE
 ROWS_ONLY = {"linreg_tuned"}
 
 
