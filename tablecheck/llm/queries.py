@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import bpe, warc
+from tablecheck.llm import bpe, html_text, licenses, quality_rules, warc
 from tablecheck.llm.common import staged, table
 from tablecheck.session import scratch_path
 
@@ -41,7 +41,34 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.withColumnRenamed("id", "doc_id")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html_text.extract_text(table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every whole text and of its lines."""
+    known = licenses.known_licenses(spark)
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"), "doc_id", "text", known)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "text_digest",
+        "license",
+        F.array_join("line_licenses", ",").alias("line_licenses"),
+    )
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures of every document, and whether it stays."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return judged.drop("distance").withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_html_text": op5_html_text,
+    "op9_license_scan": op9_license_scan,
+    "op10_quality_rules": op10_quality_rules,
 }
