@@ -42,6 +42,10 @@ CONSISTENCY = 1.41
 MOST_BROADCAST = 20_000
 
 
+def _plus(step: int):
+    return lambda x: x + step
+
+
 def text_statistics(df: DataFrame, text_column: str) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines.
 
@@ -93,9 +97,8 @@ def text_statistics(df: DataFrame, text_column: str) -> DataFrame:
             F.transform(repeated, lambda i: F.get("_windows", i)["place"]),
         ).alias("_places"),
     )
-    covered = F.array_distinct(
-        F.flatten(F.array(*[F.transform("_places", lambda x, k=k: x + k) for k in range(3)]))
-    )
+    second, third = (F.transform("_places", _plus(k)) for k in (1, 2))
+    covered = F.array_distinct(F.concat("_places", second, third))
     return df.select(
         *[c for c in df.columns if c != "_places"],
         F.when(F.col("_places").isNull(), 0).otherwise(F.size(covered)).cast("long").alias(
