@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import bpe, html_text, licenses, quality_rules, warc
+from tablecheck.llm import bpe, html_text, licenses, quality_classifier, quality_rules, warc
 from tablecheck.llm.common import staged, table
 from tablecheck.session import scratch_path
 
@@ -47,6 +47,19 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a model that never saw the held-out labels."""
+    documents = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(documents, table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(documents.select("doc_id", "text"), "text", model)
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out("doc_id").alias("held_out"),
+        F.col("_score").alias("score"),
+        F.when(F.col("_score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every whole text and of its lines."""
     known = licenses.known_licenses(spark)
@@ -69,6 +82,7 @@ QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
