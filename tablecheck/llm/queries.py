@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import bpe, html_text, licenses, quality_classifier, quality_rules, warc
+from tablecheck.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    licenses,
+    quality_classifier,
+    quality_rules,
+    warc,
+)
 from tablecheck.llm.common import staged, table
 from tablecheck.session import scratch_path
 
@@ -33,6 +41,14 @@ def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, and which."""
+    found = decontaminate.find_overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
     raw_ranks = Path(public_tokenizers.path(RANK_FILE)).read_bytes()
@@ -80,6 +96,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
+    "op2_decontamination": op2_decontamination,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
     "op6_quality_classifier": op6_quality_classifier,
