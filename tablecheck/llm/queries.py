@@ -13,6 +13,7 @@ from tablecheck.llm import (
     decontaminate,
     html_text,
     licenses,
+    near_dedup,
     quality_classifier,
     quality_rules,
     warc,
@@ -76,6 +77,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document; the smallest of each is kept."""
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every whole text and of its lines."""
     known = licenses.known_licenses(spark)
@@ -100,6 +107,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
