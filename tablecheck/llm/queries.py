@@ -16,6 +16,7 @@ from tablecheck.llm import (
     near_dedup,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     warc,
 )
 from tablecheck.llm.common import staged, table
@@ -50,6 +51,17 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 20-word passages that stand earlier."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
     raw_ranks = Path(public_tokenizers.path(RANK_FILE)).read_bytes()
@@ -104,6 +116,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_decontamination": op2_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_html_text": op5_html_text,
     "op6_quality_classifier": op6_quality_classifier,
