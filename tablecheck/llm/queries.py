@@ -17,6 +17,7 @@ from tablecheck.llm import (
     quality_classifier,
     quality_rules,
     substring_dedup,
+    suffix_dedup,
     warc,
 )
 from tablecheck.llm.common import staged, table
@@ -95,6 +96,18 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that stand elsewhere too."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every whole text and of its lines."""
     known = licenses.known_licenses(spark)
@@ -121,6 +134,7 @@ QUERIES = {
     "op5_html_text": op5_html_text,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
