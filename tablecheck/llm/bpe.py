@@ -297,31 +297,41 @@ def decode_ids(
 
 
 def encode_digests(
-    df: DataFrame, id_column: str, text_column: str, raw_ranks: bytes, pattern: str
+    df: DataFrame,
+    id_column: str,
+    text_column: str,
+    raw_ranks: bytes,
+    pattern: str,
+    with_ids: bool = False,
 ) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every text.
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every text, and ids if wanted.
 
-    Encodes, decodes what was encoded, and sends on the digests alone, so ids don't
-    travel between Python and Spark.
+    Encodes, decodes what was encoded, and sends on the digests, so that without
+    ``with_ids`` no ids travel between Python and Spark.
     """
     shared = df.sparkSession.sparkContext.broadcast(raw_ranks)
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value, pattern)
         for batch in batches:
-            counts, of_ids, of_bytes = [], [], []
+            counts, of_ids, of_bytes, lists = [], [], [], []
             for ids in own.encode_all(_field(batch, "text")):
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(own.ids_text(ids)).hexdigest())
                 of_bytes.append(hashlib.sha256(own.decode(ids)).hexdigest())
-            columns = [pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), columns[0], columns[1].cast("string"), columns[2].cast("string")],
-                names,
-            )
+                lists.append(ids.astype("int32") if with_ids else None)
+            columns = [
+                batch.column(0),
+                pa.array(counts, pa.int64()),
+                pa.array(of_ids, pa.string()),
+                pa.array(of_bytes, pa.string()),
+                pa.array(lists, pa.list_(pa.int32())),
+            ]
+            count = 5 if with_ids else 4
+            yield pa.RecordBatch.from_arrays(columns[:count], names[:count])
 
     chosen = df.selectExpr(f"`{id_column}` AS id", f"`{text_column}` AS text")
     kind = chosen.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

@@ -228,15 +228,15 @@ def train(
     return fit(*samples)
 
 
-def score(df: DataFrame, text_column: str, model: Model) -> DataFrame:
-    """All columns of ``df`` and its score as ``_score``."""
+def score(df: DataFrame, text_column: str, model: Model, name: str = "score") -> DataFrame:
+    """All columns of ``df`` and its score in a column ``name`` that ``df`` does not have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
             found = np.array([text_features(x) for x in texts]).reshape(-1, N_FEATURES)
             columns = [*batch.columns, pa.array(model.score(found), pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
-    return df.mapInArrow(run, ", ".join([*kinds, "_score double"]))
+    return df.mapInArrow(run, ", ".join([*kinds, f"`{name}` double"]))

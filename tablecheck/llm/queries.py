@@ -85,8 +85,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id",
         quality_classifier.held_out("doc_id").alias("held_out"),
-        F.col("_score").alias("score"),
-        F.when(F.col("_score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
 
 

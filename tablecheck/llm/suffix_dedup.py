@@ -309,9 +309,10 @@ def whole_characters(spans: np.ndarray, data: bytes) -> np.ndarray:
 def remove_repeats(
     df: DataFrame, id_column: str, text_column: str, characters: bool = False
 ) -> DataFrame:
-    """(doc, n_bytes, n_removed, n_spans, kept): every text without its repeated bytes.
+    """(doc, n_bytes, n_removed, n_spans, kept, text_key): texts without repeated bytes.
 
     With ``characters`` a removed span ends at whole characters, so ``kept`` stays text.
+    ``text_key`` is the hash of the whole text, to tell rows of one identifier apart.
     """
     texts = _texts(df, id_column, text_column)
     spans = repeated_spans(texts).groupBy("doc").agg(
@@ -319,14 +320,14 @@ def remove_repeats(
     )
     spans = written(spans, "spans")
     touched, untouched = split_touched(texts, spans.select("doc"))
-    joined = touched.join(spans, "doc", "left")
+    key = F.xxhash64("text").alias("text_key")
+    joined = touched.join(spans, "doc", "left").select("*", key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, data, starts, ends in zip(
-                batch["doc"], batch["text"], batch["starts"], batch["ends"]
-            ):
+            columns = (batch[c] for c in ("doc", "text", "starts", "ends", "text_key"))
+            for doc, data, starts, ends, key in zip(*columns):
                 starts, ends = ((() if x is None else x) for x in (starts, ends))
                 own = merged_spans(np.asarray(starts, np.int64), np.asarray(ends, np.int64), len(data))
                 own = whole_characters(own, data) if characters else own
@@ -335,11 +336,11 @@ def remove_repeats(
                     kept.append(data[at:start])
                     at = end
                 left = b"".join([*kept, data[at:]])
-                rows.append((doc, len(data), len(data) - len(left), len(own), left))
-            names = ["doc", "n_bytes", "n_removed", "n_spans", "kept"]
+                rows.append((doc, len(data), len(data) - len(left), len(own), left, key))
+            names = ["doc", "n_bytes", "n_removed", "n_spans", "kept", "text_key"]
             yield pd.DataFrame(rows, columns=names).astype({"doc": "Int64"})
 
-    schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary, text_key long"
     removed = joined.mapInPandas(run, schema)
     if untouched is None:
         return removed
@@ -351,5 +352,6 @@ def remove_repeats(
             zero.alias("n_removed"),
             zero.alias("n_spans"),
             F.col("text").alias("kept"),
+            F.xxhash64("text").alias("text_key"),
         )
     )
