@@ -53,7 +53,7 @@ TOKEN = re.compile(
     r".*?(?:</(?P=raw)\s*+[^>]*+>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"
     r"(?P<rest>(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>"
-    r"|<[!?/][^>]*+>",
+    r"|<[!?/][^>]*+>|</?[a-zA-Z][^>]*+\Z",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tablecheck.llm import licenses
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op1_warc_bundles"] = """
@@ -19,3 +21,134 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM firsts
 """
+
+# \x20 and \x09-\x0D part words
+_WORDS = r"""
+words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce({text}, ''), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents
+)"""
+
+ORACLE["op3_substring_dedup"] = (
+    "WITH"
+    + _WORDS.format(text="text")
+    + """,
+windows AS (
+  SELECT doc_id, p, array_to_string(list_slice(w, p, p + 19), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM words WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM windows
+  ) WHERE r > 1
+), covered AS (
+  SELECT DISTINCT doc_id, p + o AS p FROM later CROSS JOIN (SELECT unnest(range(0, 20)) AS o)
+), single AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM words
+), left_over AS (
+  SELECT s.doc_id, count(*) AS n, string_agg(s.x, ' ' ORDER BY s.p) AS kept
+  FROM single s LEFT JOIN covered c ON s.doc_id = c.doc_id AND s.p = c.p
+  WHERE c.p IS NULL GROUP BY s.doc_id
+)
+SELECT w.doc_id, len(w.w) AS n_words, len(w.w) - coalesce(l.n, 0) AS n_removed,
+  sha256(coalesce(l.kept, '')) AS kept_sha256
+FROM words w LEFT JOIN left_over l ON w.doc_id = l.doc_id
+"""
+)
+
+ORACLE["op7_minhash_near_dedup"] = (
+    "WITH RECURSIVE"
+    + _WORDS.format(
+        text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    + """,
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM words WHERE len(w) > 0)
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT u, v FROM shared JOIN sized a ON u = a.doc_id JOIN sized b ON v = b.doc_id
+  WHERE 100 * shared.n >= 75 * (a.n + b.n - shared.n)
+), reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM documents
+  UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), least AS (
+  SELECT u, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sized ON d.doc_id = sized.doc_id JOIN least ON d.doc_id = u
+"""
+)
+
+ORACLE["op8_suffix_array_dedup"] = """
+WITH texts AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), starts AS (
+  SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS p FROM texts
+  WHERE octet_length(b) >= 200
+), windows AS (
+  SELECT doc_id, p, md5(b[p : p + 199]) AS s FROM starts
+), counted AS (
+  SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS n FROM windows
+), repeated AS (
+  SELECT doc_id, p, p - coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) > 200 AS new
+  FROM counted WHERE n > 1
+), runs AS (
+  SELECT doc_id, run, min(p) AS first, max(p) + 199 AS last FROM (
+    SELECT doc_id, p, sum(new::int) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM repeated
+  ) GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, run, first, last,
+    lag(last, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS before FROM runs
+), pieces AS (
+  SELECT t.doc_id, run, hex(b[before + 1 : first - 1]) AS piece
+  FROM gaps g JOIN texts t ON g.doc_id = t.doc_id
+), ends AS (
+  SELECT g.doc_id, max(last) AS last, sum(last - first + 1) AS n_removed, count(*) AS n_spans
+  FROM gaps g GROUP BY g.doc_id
+), joined AS (
+  SELECT doc_id, string_agg(piece, '' ORDER BY run) AS head FROM pieces GROUP BY doc_id
+)
+SELECT t.doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0)::bigint AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || hex(b[coalesce(last, 0) + 1 : octet_length(b)]))) AS kept_sha256
+FROM texts t LEFT JOIN ends e ON t.doc_id = e.doc_id LEFT JOIN joined j ON t.doc_id = j.doc_id
+"""
+
+
+def _license_sql() -> str:
+    """The canonical form of ``licenses`` as nested SQL calls."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def canonical(column: str) -> str:
+        sql = f"lower(coalesce({column}, ''))"
+        sql = f"regexp_replace({sql}, {quoted(licenses.COPYRIGHT_LINE)}, ' ', 'g')"
+        for other, usual in licenses.SPELLINGS:
+            sql = f"replace({sql}, {quoted(other)}, {quoted(usual)})"
+        return f"trim(regexp_replace({sql}, {quoted(licenses.SEPARATORS)}, ' ', 'g'))"
+
+    rows = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.KNOWN_TEXTS)
+    return f"""
+WITH known AS (
+  SELECT sha256({canonical("text")}) AS digest, min(license) AS license
+  FROM (VALUES {rows}) AS t(license, text) GROUP BY 1
+), whole AS (
+  SELECT doc_id, sha256({canonical("text")}) AS text_digest FROM documents
+), lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
+), found AS (
+  SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses
+  FROM (SELECT doc_id, sha256({canonical("line")}) AS digest FROM lines WHERE trim(line, ' ') <> '')
+  JOIN known USING (digest) GROUP BY doc_id
+)
+SELECT w.doc_id, text_digest, k.license, coalesce(line_licenses, '') AS line_licenses
+FROM whole w LEFT JOIN known k ON w.text_digest = k.digest LEFT JOIN found f ON w.doc_id = f.doc_id
+"""
+
+
+ORACLE["op9_license_scan"] = _license_sql()

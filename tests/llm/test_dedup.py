@@ -1,0 +1,218 @@
+"""Near duplicates and the two substring operators against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablecheck.llm import near_dedup, substring_dedup, suffix_dedup
+from tablecheck.llm.components import components
+
+
+def brute_words(rows):
+    """doc -> (words, removed, kept) with 20-word windows, earliest stays."""
+    seen, result = set(), {}
+    for doc, text in sorted(rows):
+        words = text.encode().split()
+        covered = [False] * len(words)
+        for p in range(len(words) - 19):
+            key = tuple(words[p : p + 20])
+            if key in seen:
+                covered[p : p + 20] = [True] * 20
+            seen.add(key)
+        kept = [w for w, c in zip(words, covered) if not c]
+        result[doc] = (len(words), sum(covered), b" ".join(kept).decode())
+    return result
+
+
+def brute_bytes(rows):
+    """doc -> (bytes, removed, spans, kept) with 200-byte windows, all copies go."""
+    counts, result = {}, {}
+    for _, text in rows:
+        data = text.encode()
+        for p in range(len(data) - 199):
+            counts[data[p : p + 200]] = counts.get(data[p : p + 200], 0) + 1
+    for doc, text in rows:
+        data = text.encode()
+        covered = bytearray(len(data))
+        for p in range(len(data) - 199):
+            if counts[data[p : p + 200]] > 1:
+                covered[p : p + 200] = b"\1" * 200
+        spans = sum(c and not (i and covered[i - 1]) for i, c in enumerate(covered))
+        kept = bytes(b for b, c in zip(data, covered) if not c)
+        result[doc] = (len(data), sum(covered), spans, kept)
+    return result
+
+
+def brute_components(rows):
+    sets = {}
+    for doc, text in rows:
+        words = text.encode().lower().split()
+        size = min(5, len(words))
+        found = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if size else set()
+        sets[doc] = found
+    label = {doc: doc for doc in sets}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    docs = sorted(sets)
+    for i, a in enumerate(docs):
+        for b in docs[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                label[max(x, y)] = min(x, y)
+    return {doc: (len(sets[doc]), root(doc)) for doc in sets}
+
+
+def passages(seed, docs):
+    """Texts that share passages of many lengths, at many places, copies among them."""
+    pick = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)] + ["é", "漢字", "A", "a", "."]
+    pool = [" ".join(pick.choices(vocabulary, k=pick.choice([10, 19, 20, 21, 33, 80]))) for _ in range(12)]
+    rows = []
+    for doc in range(docs):
+        parts = []
+        for _ in range(pick.randint(0, 5)):
+            parts.append(pick.choice(pool) if pick.random() < 0.6 else " ".join(
+                pick.choices(vocabulary, k=pick.randint(1, 40))))
+        rows.append((doc, pick.choice([" ", "\n", "\t "]).join(parts)))
+    rows += [(docs + i, rows[pick.randrange(docs)][1]) for i in range(docs // 4)]
+    period = "ab " * 150
+    return rows + [(9_000, period), (9_001, period[1:]), (9_002, "x" + period[:250] + "y")]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_words_like_brute_force(spark, seed):
+    rows = passages(seed, 60)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = substring_dedup.remove_repeats(frame, "doc_id", "text").collect()
+    assert {x.doc: (x.n_words, x.n_removed, x.kept) for x in found} == brute_words(rows)
+
+
+@pytest.mark.parametrize("seed,piece,shard", [(0, 2_048, 1_000_000), (1, 2, 2_000), (2, 1, 500)])
+def test_bytes_like_brute_force(spark, monkeypatch, seed, piece, shard):
+    """Also with groups of surroundings spread over shards, and small shards."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    rows = passages(seed, 50)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = suffix_dedup.remove_repeats(frame, "doc_id", "text").collect()
+    got = {x.doc: (x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in found}
+    assert got == brute_bytes(rows)
+
+
+def test_split_groups_are_merged(spark, monkeypatch):
+    """One line in many surroundings: windows that only two shards share are found."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", 3)
+    pick = random.Random(5)
+    line = "".join(pick.choices("abcdefgh ", k=230))
+    rows = []
+    for doc in range(60):
+        tail = "".join(pick.choices("pq", k=8)) + "".join(pick.choices("stuvw", k=90))
+        rows.append((doc, "".join(pick.choices("klmno", k=80)) + line + tail))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.remove_repeats(frame, "doc_id", "text").collect()
+    got = {x.doc: (x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in found}
+    assert got == brute_bytes(rows)
+
+
+def test_whole_characters(spark):
+    rows = [(1, "ä" * 150 + "é" + "q" * 30), (2, "ö" + "ä" * 150 + "è" + "r" * 30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.remove_repeats(frame, "doc_id", "text", characters=True).collect()
+    assert {x.doc: bytes(x.kept).decode() for x in found} == {1: "é" + "q" * 30, 2: "öè" + "r" * 30}
+
+
+def near_copies(seed):
+    pick = random.Random(seed)
+    rows = []
+    for base in range(12):
+        words = [f"b{pick.randrange(5000)}" for _ in range(pick.choice([3, 5, 9, 60, 200, 900]))]
+        for _ in range(pick.randint(1, 6)):
+            copy = list(words)
+            for _ in range(pick.choice([0, 0, 1, 2, 5, len(words) // 30])):
+                copy[pick.randrange(len(copy))] = pick.choice(["neu", "NEU", "anders"])
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_near_duplicates_like_brute_force(spark, seed):
+    rows = near_copies(seed)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_dedup.near_duplicates(frame, "doc_id", "text").collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
+
+
+def test_large_group_of_unlike_copies(spark, monkeypatch):
+    """Copies of one text that are all like it but hardly like each other."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 16)
+    pick = random.Random(9)
+    words = [f"b{i}" for i in range(400)]
+    rows = [(0, " ".join(words))]
+    for doc in range(1, 80):
+        copy = list(words)
+        for place in pick.sample(range(400), 10):
+            copy[place] = f"n{pick.randrange(10**9)}"
+        rows.append((doc, " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(frame, "doc_id", "text").collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "mixed", "none"])
+def test_components(spark, shape):
+    links = {
+        "chain": [(i, i + 1) for i in range(12)],
+        "star": [(30, i) for i in range(30)],
+        "mixed": [(5, 3), (3, 5), (9, 5), (20, 21), (7, 7), (40, 21)],
+        "none": [],
+    }[shape]
+    found = components(spark.createDataFrame(links, "u long, v long")).collect()
+    expected = {
+        "chain": {i: 0 for i in range(13)},
+        "star": {i: 0 for i in range(31)},
+        "mixed": {3: 3, 5: 3, 9: 3, 20: 20, 21: 20, 40: 20},
+        "none": {},
+    }[shape]
+    assert {x.node: x.component for x in found} == expected and len(found) == len(expected)
+
+
+def test_odd_documents(spark, odd_documents, no_documents):
+    words = substring_dedup.remove_repeats(odd_documents, "doc_id", "text").collect()
+    assert len(words) == 12
+    by_doc = {x.doc: x for x in words}
+    assert by_doc[1].n_words == by_doc[2].n_words == by_doc[3].n_words == 0
+    assert (by_doc[8].n_words, by_doc[8].n_removed) == (400, 399 - 19 + 19)
+    assert by_doc[7].n_removed == by_doc[7].n_words and by_doc[6].n_removed < by_doc[6].n_words
+    assert by_doc[5].n_removed == 0 and by_doc[None].kept
+    data = suffix_dedup.remove_repeats(odd_documents, "doc_id", "text").collect()
+    assert len(data) == 12
+    for x in data:
+        if x.doc in (6, 7, 8, 9, 10):
+            assert (x.n_removed, x.n_spans, bytes(x.kept)) == (x.n_bytes, 1, b"")
+        else:
+            assert x.n_removed == 0
+    near = near_dedup.near_duplicates(odd_documents, "doc_id", "text")
+    found = sorted((x.doc_id, x.component_id) for x in near.collect())
+    expected = [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (7, 6), (8, 8), (9, 9), (10, 10), (10, 10)]
+    assert found == expected
+    for empty in (
+        substring_dedup.remove_repeats(no_documents, "doc_id", "text"),
+        suffix_dedup.remove_repeats(no_documents, "doc_id", "text"),
+        near_dedup.near_duplicates(no_documents, "doc_id", "text"),
+    ):
+        assert empty.count() == 0
+
+
+def test_kept_text_of_queries_is_hashed_whole(spark, odd_documents):
+    found = substring_dedup.remove_repeats(odd_documents, "doc_id", "text").where("doc = 5")
+    row = found.select("kept", F.sha2(F.col("kept").cast("binary"), 256).alias("h")).first()
+    assert row.h == hashlib.sha256(row.kept.encode()).hexdigest()
