@@ -30,7 +30,8 @@ def not_blank(c: Column | str) -> Column:
 
 
 def null_or_empty(c: Column | str) -> Column:
-    return as_column(c).isNull() | (as_text(c) == "")
+    """NULL, the empty text, or a lone line end, which ``^$`` finds as well."""
+    return as_column(c).isNull() | as_text(c).rlike("^$")
 
 
 def regex_find(c: Column | str, regex: str) -> Column:

@@ -150,7 +150,7 @@ def test_predicates(spark):
         "null": (False, False, True, False, True),
         "a12": (True, False, False, False, True),
         "12\n": (True, False, False, False, True),
-        "\n": (False, False, False, False, True),
+        "\n": (False, False, False, True, True),
     }
 
 

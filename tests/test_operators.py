@@ -82,11 +82,16 @@ def test_rule_names_must_differ(spark):
 def test_rule_template():
     [rule] = rules_from_json(
         """{"name": "n", "params": [
-            {"seq": 2, "key": "regex", "example": "^1[3|4]$", "value": ""},
+            {"seq": 2, "key": "regex", "example": "^9", "value": "^1[36]$"},
             {"seq": 1, "key": "columnName", "example": "other", "value": "'c'"}]}"""
     )
-    assert rule == Rule("c", regex="^1[3|4]$", name="n")
-    assert rules_from_json('[{"params": [{"key": "columnName", "example": "c"}]}]') == [Rule("c", "null")]
+    assert rule == Rule("c", regex="^1[36]$", name="n")
+    column = '{"key": "columnName", "example": "d", "value": "c"}'
+    assert rules_from_json(f'[{{"params": [{column}]}}]') == [Rule("c", "null")]
+    assert rules_from_json(f'{{"prototype": "blank", "params": [{column}]}}') == [Rule("c", "blank")]
+    for missing in ('{"key": "columnName", "example": "d"}', f'{column}, {{"key": "regex", "example": "^9"}}'):
+        with pytest.raises(ValueError, match="no value"):
+            rules_from_json(f'{{"name": "n", "params": [{missing}]}}')
     assert [unquote(t) for t in ("'a'", "'a", "a", "''", "'")] == ["a", "'a", "a", "", "'"]
 
 
@@ -99,6 +104,21 @@ def test_marks_skip_null_and_hold_empty(spark):
     assert rows(got) == [("2", "bad", "x", TIME), ("4", "bad", "x", TIME)]
 
 
+def test_marks_follow_the_mode(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, "abX"), (3, "zz"), (4, ""), (5, None)], "k int, v string")
+    for mode, marked in (("find", ["3", "4"]), ("full", ["2", "3", "4"])):
+        row = checks.regex_check(df, "v", "ab", mode=mode).first()
+        got = marks.invalid_marks(df, "k", "v", "ab", "", TIME, mode)
+        assert sorted(x.SOURCE_TABLE_PK for x in got.collect()) == marked
+        assert len(marked) == row.illegal_strict + 1
+
+
+def test_sample_of_a_clustered_table(spark):
+    df = spark.range(500).selectExpr("id AS k", "if(id % 3 = 0, 'x', 'ok') AS v")
+    plain, clustered = (marks.illegal_sample(df, "v", "ok", "k", clustered=c) for c in (False, True))
+    assert plain.collect() == clustered.collect() and plain.count() == 100
+
+
 def test_marks_agree_with_the_count(spark, sf_dir):
     orders = stateful_orders(spark, sf_dir)
     row = checks.regex_check(orders, "checked", "^[12]-").first()

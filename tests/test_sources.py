@@ -253,12 +253,16 @@ def test_tables_by_kind(spark):
 
 
 def test_csv_keeps_null_apart_when_asked(spark, tmp_path):
-    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (4, 'q"'), (5, "l1\nl2")], "i int, x string")
-    for null_text, empty in ((None, None), ("\\N", "")):
-        path = str(tmp_path / str(null_text is None))
-        files.write_csv(df.where("i < 5"), path, null_text=null_text)
-        got = dict(rows(files.read_csv(spark, path, df.schema, null_text=null_text)))
-        assert got == {1: None, 2: empty, 3: "a b", 4: 'q"'}
+    hard = ["a b", 'q"', "l1\nl2", "\r", "\r\n x", " lead", "trail ", "\\", "\\n", "\\\\n", "\\N", "\\-", "NULL"]
+    hard += ["\\\n\\", '"', "a,b", "-", "\t"]
+    df = spark.createDataFrame([(1, None), (2, ""), *enumerate(hard, 3)], "i int, x string")
+    for number, null_text in enumerate((None, "\\N", "NULL", "-")):
+        path = str(tmp_path / str(number))
+        files.write_csv(df, path, null_text=null_text)
+        back = files.read_csv(spark, path, df.schema, null_text=null_text)
+        empty = None if null_text is None else ""
+        assert dict(rows(back)) == {1: None, 2: empty, **dict(enumerate(hard, 3))}
+        assert spark.read.text(path).count() >= df.count()
 
 
 def test_sorted_export_splits_a_hot_value(spark, tmp_path):

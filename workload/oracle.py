@@ -5,6 +5,7 @@ from __future__ import annotations
 from workload.queries import CHECK_TIME, JOB_ID, PRIORITY, PRIORITY_FULL, SINCE
 from workload.tables import DUCK_DIRTY_CUSTOMER as DIRTY
 from workload.tables import DUCK_STATEFUL_ORDERS as STATEFUL
+from workload.tables import HARD_TEXT
 
 ORACLE: dict[str, str] = {}
 
@@ -78,7 +79,7 @@ SELECT * FROM ({CATALOGUE}) WHERE id IN (SELECT l_partkey FROM lineitem WHERE l_
 
 # Sinks
 
-ORACLE["csv_roundtrip"] = DIRTY
+ORACLE["csv_roundtrip"] = f"SELECT id, {HARD_TEXT} AS hard, phone, mail FROM ({DIRTY})"
 ORACLE["sorted_export"] = "SELECT * FROM orders"
 ORACLE["split_legal_illegal"] = f"""
 SELECT o_orderkey, checked, checked IS NOT NULL AS is_legal FROM ({STATEFUL})"""
@@ -150,7 +151,7 @@ ORACLE["regex_check_by_group"] = regex_way(STATEFUL, "checked", FOUND, "o_orders
 ORACLE["regex_legal_count"] = f"""
 SELECT count(*) AS legal FROM orders WHERE regexp_matches(o_orderpriority, '{PRIORITY}')"""
 ORACLE["null_or_empty_count"] = f"""
-SELECT count(*) AS null_or_empty FROM ({STATEFUL}) WHERE checked IS NULL OR checked = ''"""
+SELECT count(*) AS null_or_empty FROM ({STATEFUL}) WHERE checked IS NULL OR checked IN ('', chr(10))"""
 ORACLE["illegal_full_match_count"] = f"""
 SELECT count(*) AS illegal_full FROM ({STATEFUL})
 WHERE NOT regexp_full_match(coalesce(checked, 'null'), '{PRIORITY_FULL}')"""
@@ -178,11 +179,13 @@ ORACLE["multi_rule_check"] = " UNION ALL ".join([
 ])
 ORACLE["rule_template_check"] = " UNION ALL ".join([
     rule_row("mobile number", "phone", regex_way(
-        DIRTY, "phone", "regexp_matches(phone, '^1[3|4|5|7|8][0-9]{9}$')")),
+        DIRTY, "phone", "regexp_matches(phone, '^1[368][0-9]{9}$')")),
     rule_row("mail address", "mail", regex_way(
         DIRTY, "mail", "regexp_matches(mail, '^[^@]+@[^@]+[.][a-z]+')")),
     rule_row("identity number present", "id_card", regex_way(
         DIRTY, "id_card", "id_card IS NOT NULL", empty="false")),
+    rule_row("identity number filled", "id_card", regex_way(
+        DIRTY, "id_card", "id_card <> ''", empty="false")),
 ])
 
 # Numbering
@@ -235,6 +238,7 @@ WHERE o_orderdate >= timestamp '{SINCE}'"""
 ORACLE["export_masked"] = f"""
 SELECT 'plain' AS entry, o_orderkey AS id, o_orderpriority AS name, o_orderdate AS ldsjc
 FROM orders WHERE o_orderdate >= timestamp '{SINCE}'
+UNION ALL SELECT 'hard', id, {HARD_TEXT}, ldsjc FROM ({CONTACTS})
 UNION ALL SELECT 'masked', id, {STAR_REST.format('name')}, ldsjc FROM ({CONTACTS})
 UNION ALL SELECT 'selected', id, {MASK_MAIL}, ldsjc FROM ({CONTACTS})"""
 ORACLE["strip_quotes"] = """
@@ -242,7 +246,8 @@ SELECT c_custkey, c_name AS unquoted, chr(39) || c_name AS half_quoted FROM cust
 ORACLE["concat_columns"] = f"SELECT id, concat_ws(',', name, phone, mail) AS joined FROM ({DIRTY})"
 ORACLE["last_name_part"] = "SELECT page_id, split_part(url, '.', -1) AS last_part FROM pages"
 ORACLE["format_timestamp"] = """
-SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events"""
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
+  strftime(ts, '%Y-%m-%d') || ' 00:00:00' AS day_text FROM events"""
 ORACLE["encrypt_column"] = f"""
 SELECT id, phone AS from_fixed, phone AS from_own,
   phone IS NOT NULL AS sealed FROM ({DIRTY})"""

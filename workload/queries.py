@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +20,13 @@ from tablecheck.rules import Rule, rules_from_json
 from tablecheck.session import scratch_path
 from tablecheck.sources import files, jdbc
 from workload.database import PARTITIONS, load, text_types
-from workload.tables import dirty_customer, graded_documents, stateful_orders, table
+from workload.tables import (
+    HARD_TEXT,
+    dirty_customer,
+    graded_documents,
+    stateful_orders,
+    table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,6 +155,7 @@ def catalog_by_class_semi(spark, sf):
 @query
 def csv_roundtrip(spark, sf):
     customers, path = dirty_customer(spark, sf), scratch_path(spark, "csv")
+    customers = customers.selectExpr("id", f"{HARD_TEXT} AS hard", "phone", "mail")
     files.write_csv(customers, path, null_text="\\N")
     return files.read_csv(spark, path, customers.schema, null_text="\\N")
 
@@ -536,6 +544,7 @@ def export_masked(spark, sf):
     )
     entries = [
         jobs.ExportEntry("plain", orders),
+        jobs.ExportEntry("hard", contacts.selectExpr("id", f"{HARD_TEXT} AS name", "ldsjc")),
         jobs.ExportEntry("masked", contacts.select("id", "name", "ldsjc"), masks={"name": "name"}),
         jobs.ExportEntry(
             "selected",
@@ -550,7 +559,7 @@ def export_masked(spark, sf):
         files.read_csv(spark, path, schema, null_text="\\N").select(F.lit(name).alias("entry"), "*")
         for name, path in paths.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -580,7 +589,9 @@ def last_name_part(spark, sf):
 @query
 def format_timestamp(spark, sf):
     return table(spark, sf, "events").select(
-        "event_id", text.timestamp_text("ts").alias("ts_text")
+        "event_id",
+        text.timestamp_text("ts").alias("ts_text"),
+        text.timestamp_text(F.to_date("ts")).alias("day_text"),
     )
 
 

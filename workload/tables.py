@@ -37,6 +37,14 @@ SELECT *,
 FROM {orders}
 """
 
+# Texts that a CSV file has to keep: line ends, outer blanks, backslashes, quotes, the
+# marker of NULL, the empty text.
+HARD_TEXT = """CASE id % 9
+  WHEN 0 THEN 'a' || chr(10) || 'b' WHEN 1 THEN chr(13) || 'x' || chr(13) || chr(10)
+  WHEN 2 THEN '  lead and trail  ' WHEN 3 THEN chr(92) || 'N' WHEN 4 THEN chr(92) || 'n' || chr(92)
+  WHEN 5 THEN chr(34) || 'q' || chr(34) || ' ' WHEN 6 THEN NULL WHEN 7 THEN ''
+  ELSE chr(92) || '-' || name END"""
+
 DUCK_DIRTY_CUSTOMER = DIRTY_CUSTOMER.format(text="varchar", customer="customer")
 DUCK_STATEFUL_ORDERS = STATEFUL_ORDERS.format(timestamp="timestamp", orders="orders")
 
