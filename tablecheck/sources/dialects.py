@@ -194,3 +194,28 @@ def merge_sql(
         f"MERGE INTO {table} t USING {staging} s ON ({matched}) {update}"
         f"WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({values})"
     )
+
+
+def update_sql(
+    db_type: str, table: str, staging: str, columns: Sequence[str], key: Sequence[str]
+) -> str:
+    """One statement that updates rows of ``table`` by key and inserts none.
+
+    The staged columns may be a part of the table's; a row deleted meanwhile stays gone.
+    """
+    kind = canonical_type(db_type)
+    _require_key(columns, key)
+    keys = [quoted(kind, k) for k in key]
+    others = [quoted(kind, c) for c in columns if c not in key]
+    if not others:
+        raise ValueError("there is no column to update besides the key")
+    matched = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    if kind == "mysql":
+        sets = ", ".join(f"t.{n} = s.{n}" for n in others)
+        return f"UPDATE {table} t JOIN {staging} s ON {matched} SET {sets}"
+    sets = ", ".join(f"{n} = s.{n}" for n in others)
+    if kind == "postgresql":
+        return f"UPDATE {table} AS t SET {sets} FROM {staging} AS s WHERE {matched}"
+    return (
+        f"MERGE INTO {table} t USING {staging} s ON ({matched}) WHEN MATCHED THEN UPDATE SET {sets}"
+    )

@@ -13,6 +13,7 @@ from tablecheck.sources.dialects import (
     insert_all_sql,
     insert_new_sql,
     merge_sql,
+    update_sql,
     quoted,
     staging_name,
     type_of_url,
@@ -215,6 +216,27 @@ def merge_jdbc(
     _through_staging(df, options, table, statement, partitions, None, extra)
 
 
+def update_jdbc(
+    df: DataFrame,
+    options: Options,
+    table: str,
+    key: str | Sequence[str],
+    partitions: int | None = None,
+    **extra: str,
+) -> None:
+    """Update existing rows of ``table`` by key with the other columns of ``df``.
+
+    Inserts nothing, so ``df`` needs the key and the changed columns only. It has one
+    row per key; put a unique index on the key first (``add_unique_key``).
+    """
+    kind, keys = type_of_url(options["url"]), _names(key)
+
+    def statement(staged: str) -> str:
+        return update_sql(kind, table, staged, df.columns, keys)
+
+    _through_staging(df, options, table, statement, partitions, None, extra)
+
+
 def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

@@ -252,6 +252,29 @@ def test_tables_by_kind(spark):
 # Files and views
 
 
+def test_update_statements():
+    def update(kind):
+        return dialects.update_sql(kind, "t", "s", ["k", "v", "w"], ["k"])
+
+    assert update("mysql") == "UPDATE t t JOIN s s ON t.`k` = s.`k` SET t.`v` = s.`v`, t.`w` = s.`w`"
+    sets = '"v" = s."v", "w" = s."w"'
+    for kind in ("postgresql", "greenplum"):
+        assert update(kind) == f'UPDATE t AS t SET {sets} FROM s AS s WHERE t."k" = s."k"'
+    for kind in ("oracle", "dameng", "derby"):
+        merge = f'MERGE INTO t t USING s s ON (t."k" = s."k") WHEN MATCHED THEN UPDATE SET {sets}'
+        assert update(kind) == merge
+    with pytest.raises(ValueError, match="besides the key"):
+        dialects.update_sql("mysql", "t", "s", ["k"], ["k"])
+
+
+def test_update_brings_no_deleted_row_back(spark):
+    table = spark.createDataFrame([(1, 10, 5), (2, 20, 5)], "k int, v int, w int")
+    options = load(table, "T_UPDATE", types={}, key="k")
+    updates = spark.createDataFrame([(2, 21), (3, 31)], "k int, v int")
+    jdbc.update_jdbc(updates, options, "T_UPDATE", "k")
+    assert rows(jdbc.read_jdbc(spark, options, "T_UPDATE")) == [(1, 10, 5), (2, 21, 5)]
+
+
 def test_csv_keeps_null_apart_when_asked(spark, tmp_path):
     hard = ["a b", 'q"', "l1\nl2", "\r", "\r\n x", " lead", "trail ", "\\", "\\n", "\\\\n", "\\N", "\\-", "NULL"]
     hard += ["\\\n\\", '"', "a,b", "-", "\t"]

@@ -268,6 +268,7 @@ ORACLE["blank_check_with_state"] = f"""
 SELECT o_orderkey, checked,
   CASE WHEN jcsjc IS NULL AND checked <> '' THEN timestamp '{CHECK_TIME}' ELSE jcsjc END AS jcsjc
 FROM ({STATEFUL})"""
+ORACLE["jdbc_blank_check_state_job"] = ORACLE["blank_check_with_state"]
 ORACLE["regex_check_job"] = f"""
 SELECT 'marks' AS sink, count(*) AS total FROM ({ORACLE['invalid_marks']})
 UNION ALL SELECT 'macro', count(*) FROM ({ORACLE['macro_summary']})

@@ -662,11 +662,38 @@ def jdbc_null_check_state_job(spark, sf):
         P.not_null("checked"),
         check_time=CHECK_TIME,
         keep=["o_orderkey"],
-        merge=lambda updates: jdbc.merge_jdbc(
+        merge=lambda updates: jdbc.update_jdbc(
             updates, options, "TCQ_STATE", "o_orderkey", PARTITIONS
         ),
     )
-    return jdbc.read_jdbc(spark, options, "TCQ_STATE")
+    return jdbc.read_jdbc_partitioned(spark, options, "TCQ_STATE", "o_orderkey", PARTITIONS)
+
+
+@query
+def jdbc_blank_check_state_job(spark, sf):
+    """Blank check of the rows without a state; only legal ones get a time.
+
+    The table has a column that must not be NULL and is not part of the update.
+    """
+    orders = stateful_orders(spark, sf).select(
+        "o_orderkey", "checked", "jcsjc", F.lit(1).alias("required")
+    )
+    options = load(orders, "TCQ_BLANK", types={}, key="o_orderkey")
+    source = jdbc.read_jdbc_partitioned(spark, options, "TCQ_BLANK", "o_orderkey", PARTITIONS)
+    jobs.state_check_job(
+        source,
+        P.not_blank("checked"),
+        check_time=CHECK_TIME,
+        form="null",
+        stamp_illegal=False,
+        keep=["o_orderkey"],
+        merge=lambda updates: jdbc.update_jdbc(
+            updates, options, "TCQ_BLANK", "o_orderkey", PARTITIONS
+        ),
+    )
+    return jdbc.read_jdbc_partitioned(
+        spark, options, "TCQ_BLANK", "o_orderkey", PARTITIONS
+    ).drop("required")
 
 
 @query
