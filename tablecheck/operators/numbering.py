@@ -1,133 +1,30 @@
 """Row numbers over a whole table without sorting it in one task.
 
-``ROW_NUMBER() OVER (ORDER BY k)`` puts all rows into one task. Here the rows are
-cut into ranges of about equal size; every range is numbered on its own and
-shifted by the rows before it:
+``ROW_NUMBER() OVER (ORDER BY k)`` puts all rows into one task. Here Spark's range
+shuffle deals the rows out in order, each partition sorts its part, and a row's number is
+its place there plus the rows of the partitions before.
 
-1. a small sample of the order columns gives the cut points (a literal from then
-   on, so that every later pass, and every retried task, agrees on the ranges);
-2. rows per range are counted, reading the order columns only;
-3. one shuffle by range, a sort inside each range, plus the offset of the range.
-
-Equal order keys do not end up in one range: a hash of the row splits them. Only
-whole copies of a row cannot be split by value; where the counts show a range
-filled by copies, they are first folded to one row with a count, numbered with
-that weight, and unfolded in chunks spread over the cluster.
+A random tie-break is part of the range key, so an order key that a large part of the
+rows share, copies of whole rows included, is cut into many partitions.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 20_000
-SAMPLES_PER_RANGE = 20
-SAMPLE_SEED = 7
-# A range this many times larger than planned is taken to hold copies.
-HOT_FACTOR = 4
-UNFOLD_CHUNK = 100_000
-BLOCK = 128
-
-_TIE, _RANGE, _KEY = "_tie", "_range", "_key"
-_HEAD, _CUTS = "_head", "_cuts"
-_UNFOLD = ("_copies", "_last", "_from", "_to")
-
-
-@dataclass(frozen=True)
-class Ranges:
-    """Cut points of the order key in blocks of ``BLOCK``, as JSON texts.
-
-    ``heads`` holds the last cut point of each full block.
-    """
-
-    blocks: str
-    heads: str
-    size: int
-    names: tuple[str, ...]
-    kind: T.DataType
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the range of each row: how many cut points are at or below its key.
-
-        A binary search for the block, then one inside it, one projection per step:
-        the search stays inside the generated code of the stage, without join or
-        Python. (A single expression would repeat the position found so far twice
-        per step, so double its size with each.)
-        """
-        key = _key(self.names)
-        heads = F.from_json(F.lit(self.heads), T.ArrayType(self.kind))
-        out = _search(df, heads, self.size // BLOCK, key, _HEAD)
-        blocks = F.from_json(F.lit(self.blocks), T.ArrayType(T.ArrayType(self.kind)))
-        # beyond the last block; also keeps the large literal from being copied
-        # into every step
-        none = F.from_json(F.lit("[]"), T.ArrayType(self.kind))
-        out = out.withColumn(_CUTS, F.coalesce(F.get(blocks, F.col(_HEAD)), none))
-        out = _search(out, F.col(_CUTS), min(BLOCK, self.size), key, _RANGE)
-        found = F.col(_HEAD) * BLOCK + F.col(_RANGE)
-        return out.withColumn(_RANGE, found).drop(_HEAD, _CUTS)
-
-
-def _search(df: DataFrame, cuts: Column, size: int, key: Column, name: str) -> DataFrame:
-    """Add ``name``: the number of elements of the sorted ``cuts`` that are <= ``key``."""
-    found = F.col(name)
-    out = df.withColumn(name, F.lit(0))
-    for step in reversed([1 << i for i in range(size.bit_length())]):
-        below = F.get(cuts, found + (step - 1)) <= key
-        out = out.withColumn(name, found + F.when(below, step).otherwise(0))
-    return out
-
-
-def _key(names: Sequence[str]) -> Column:
-    """One comparable value. A struct orders NULL fields first, as a sort does."""
-    return F.col(names[0]) if len(names) == 1 else F.struct(*names)
-
+from tablecheck.session import scratch_path
 
-def plan_ranges(keys: DataFrame, ranges: int, total: int) -> Ranges:
-    """Cut points that split the ordered rows of ``keys`` into about equal parts.
+TIE_SEED = 7
+# ``monotonically_increasing_id`` holds the partition above so many bits of position.
+POSITION_BITS = 33
 
-    The sample has about ``SAMPLES_PER_RANGE`` rows per range, whatever the size
-    of the table. A NULL key is no cut point; it belongs to the first range.
-    """
-    names = tuple(keys.columns)
-    sample = keys.select(_key(names).alias(_KEY))
-    kind = sample.schema[_KEY].dataType
-    if ranges <= 1 or total == 0:
-        return Ranges("[]", "[]", 0, names, kind)
-    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / total)
-    every = max(1, int(total * fraction) // ranges)
-    sample = keys.sample(False, fraction, SAMPLE_SEED).select(_key(names).alias(_KEY))
-    ordered = sample.agg(F.array_sort(F.collect_list(_KEY)).alias("keys"))
-    cuts = F.filter("keys", lambda _, i: i % every == every - 1)
-    starts = F.transform("cuts", lambda _, i: F.when(i % BLOCK == 0, F.slice("cuts", i + 1, BLOCK)))
-    row = (
-        ordered.select(cuts.alias("cuts"))
-        .select(
-            F.to_json(F.filter(starts, lambda block: block.isNotNull())).alias("blocks"),
-            F.to_json(F.filter("cuts", lambda _, i: i % BLOCK == BLOCK - 1)).alias("heads"),
-            F.size("cuts").alias("size"),
-        )
-        .first()
-    )
-    return Ranges(row["blocks"], row["heads"], row["size"], names, kind)
-
-
-def _offsets(counted: DataFrame) -> tuple[Column, int]:
-    """Rows before each range, as a literal array, and the largest range.
-
-    One number per range, at most ``MAX_RANGES + 1`` of them reach the driver.
-    """
-    sizes = {r[_RANGE]: r["n"] for r in counted.collect()}
-    per_range = [sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)]
-    before = [0, *accumulate(per_range)][:-1]
-    literal = F.from_json(F.lit(json.dumps(before)), T.ArrayType(T.LongType()))
-    return F.get(literal, F.col(_RANGE)), max(per_range)
+_TIE, _PLACE = "_tie", "_place"
 
 
 def number_rows(
@@ -135,64 +32,39 @@ def number_rows(
     order_by: str | Sequence[str],
     name: str = "rownum",
     *,
-    unique: bool = False,
-    rows_per_range: int = ROWS_PER_RANGE,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``name``: 1, 2, 3, ... in ascending order of ``order_by``, NULL first.
 
-    Reads ``df`` four times, so it must give the same rows each time; write it to
-    a table first where it is costly or random.
-
-    ``unique``: the caller knows that the order columns identify a row. The
-    passes for cut points and counts then read these columns only.
+    Rows with equal order keys get their numbers in any order. ``df`` is read twice, for
+    the bounds of the partitions (order columns only) and for the shuffle into
+    ``partitions`` (default: the session's number of shuffle partitions). The ordered
+    rows are written to the shared folder, so that counts and numbers, and tasks that run
+    again, agree on them; one count for each partition reaches the driver.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    columns = df.columns
-    taken = {name, _TIE, _RANGE, _KEY, _HEAD, _CUTS, *_UNFOLD}.intersection(columns)
+    columns, spark = df.columns, df.sparkSession
+    taken = {name, _TIE, _PLACE}.intersection(columns)
     if taken:
         raise ValueError(f"column names that the numbering needs: {sorted(taken)}")
-    total = df.count()
-    ranges = max(1, min(MAX_RANGES, -(-total // rows_per_range)))
-    tied = df if unique else df.withColumn(_TIE, F.xxhash64(*columns))
-    sort = order if unique else [*order, _TIE]
-    plan = plan_ranges(tied.select(*sort), ranges, total)
-
-    ranged = plan.assign(tied)
-    offset, largest = _offsets(ranged.groupBy(_RANGE).agg(F.count("*").alias("n")))
-    planned = -(-total // ranges)
-    if not unique and largest > HOT_FACTOR * max(planned, rows_per_range):
-        folded = tied.groupBy(*columns, _TIE).agg(F.count("*").alias("_copies"))
-        spread = _spread(plan.assign(folded), ranges, total)
-        return _number_copies(spread, sort, offset, name).select(*columns, name)
-
-    in_range = Window.partitionBy(_RANGE).orderBy(*sort)
-    numbered = _spread(ranged, ranges, total).withColumn(name, offset + F.row_number().over(in_range))
-    return numbered.select(*columns, name)
-
-
-def _spread(ranged: DataFrame, ranges: int, total: int) -> DataFrame:
-    """More tasks than the session's default where the table asks for them."""
-    default = int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(ranges, -(-total // ROWS_PER_RANGE))
-    return ranged.repartition(tasks, _RANGE) if tasks > default else ranged
-
-
-def _number_copies(
-    folded: DataFrame, sort: Sequence[str], offset: Column, name: str
-) -> DataFrame:
-    """Number folded copies by weight, then unfold them in chunks."""
-    up_to = (
-        Window.partitionBy(_RANGE)
-        .orderBy(*sort)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    number = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ordered")
+    (
+        df.withColumn(_TIE, F.rand(TIE_SEED))
+        .repartitionByRange(number, *order, _TIE)
+        .sortWithinPartitions(*order)
+        .drop(_TIE)
+        .withColumn(_PLACE, F.monotonically_increasing_id())
+        .write.parquet(path)
     )
-    # last number of the copies of a row
-    weighted = folded.withColumn("_last", offset + F.sum("_copies").over(up_to))
-    first = F.col("_last") - F.col("_copies") + 1
-    chunks = weighted.withColumn(
-        "_from", F.explode(F.sequence(first, F.col("_last"), F.lit(UNFOLD_CHUNK).cast("bigint")))
-    ).withColumn("_to", F.least(F.col("_from") + UNFOLD_CHUNK - 1, F.col("_last")))
-    return chunks.repartition("_from").withColumn(name, F.explode(F.sequence("_from", "_to")))
+    ordered = spark.read.parquet(path)
+    partition = F.shiftright(_PLACE, POSITION_BITS).cast("int")
+    counted = ordered.groupBy(partition.alias("part")).agg(F.count("*").alias("n")).collect()
+    sizes = {r["part"]: r["n"] for r in counted}
+    before = [0, *accumulate(sizes.get(i, 0) for i in range(max(sizes, default=0) + 1))]
+    offsets = F.from_json(F.lit(json.dumps(before)), T.ArrayType(T.LongType()))
+    position = F.col(_PLACE).bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    return ordered.select(*columns, (F.get(offsets, partition) + position + 1).alias(name))
 
 
 def partition_bounds(df: DataFrame, column: str) -> DataFrame:

@@ -196,12 +196,12 @@ def global_numbers(df, *order):
     return df.withColumn("rownum", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-@pytest.mark.parametrize("rows_per_range", [1, 10, 137, 10_000])
-def test_numbers_equal_the_global_window(spark, rows_per_range):
+@pytest.mark.parametrize("partitions", [None, 1, 10, 137])
+def test_numbers_equal_the_global_window(spark, partitions):
     df = spark.range(3000).select(
         ((F.col("id") * 7919) % 3001).alias("k"), (F.col("id") % 3).alias("v")
     )
-    got = numbering.number_rows(df, "k", unique=True, rows_per_range=rows_per_range)
+    got = numbering.number_rows(df, "k", partitions=partitions)
     assert rows(got) == rows(global_numbers(df, "k"))
 
 
@@ -210,7 +210,7 @@ def test_numbers_of_ties_nulls_and_text(spark):
     words = [None, "", "a", "b", "é", "zz", 'q"uote', "back\\slash"]
     data = [(rng.choice(words), rng.choice([None, 1.5, -2.0, float("nan")]), i) for i in range(2000)]
     df = spark.createDataFrame(data, "w string, x double, i int")
-    got = numbering.number_rows(df, ["w", "x"], rows_per_range=50)
+    got = numbering.number_rows(df, ["w", "x"], partitions=40)
     order = got.orderBy("rownum").collect()
     assert [r.rownum for r in order] == list(range(1, 2001))
     assert sorted(r.i for r in order) == list(range(2000))
@@ -224,77 +224,40 @@ def test_numbers_of_timestamps(spark):
          + F.expr("make_interval(0,0,0,0,0,0,0.000123)")).alias("t"),
         "id",
     )
-    got = numbering.number_rows(df, "t", unique=True, rows_per_range=20)
+    got = numbering.number_rows(df, "t", partitions=25)
     assert rows(got) == rows(global_numbers(df, "t"))
 
 
 @pytest.mark.parametrize("share", [3, 1])
-def test_numbers_of_copies(spark, share, monkeypatch):
-    """A third of all rows, or all rows, are copies of one row."""
-    monkeypatch.setattr(numbering, "UNFOLD_CHUNK", 64)
+def test_numbers_of_copies(spark, share):
+    """A third of all rows, or all rows, are copies of one row; partitions stay even."""
     df = spark.range(3000).select(
         F.when(F.col("id") % share == 0, 500).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v")
     )
-    folded = []
-    real = numbering._number_copies
-
-    def spy(*args):
-        folded.append(True)
-        return real(*args)
-
-    monkeypatch.setattr(numbering, "_number_copies", spy)
-    got = numbering.number_rows(df, "k", rows_per_range=50)
+    got = numbering.number_rows(df, "k", partitions=12)
     assert rows(got) == rows(global_numbers(df, "k"))
-    assert folded
+    parts = df.withColumn("t", F.rand(numbering.TIE_SEED)).repartitionByRange(12, "k", "t")
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * 3000 / 12
 
 
-def test_a_hot_key_of_different_rows_is_split(spark):
-    """Two thirds of the rows share the order key; ranges still hold a few rows each."""
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 3 > 0, 500).otherwise(F.col("id")).alias("k"), "id"
-    )
-    tied = df.withColumn("_tie", F.xxhash64("k", "id")).select("k", "_tie")
-    plan = numbering.plan_ranges(tied, 30, 3000)
-    sizes = [r["count"] for r in plan.assign(tied).groupBy("_range").count().collect()]
-    assert sum(sizes) == 3000
-    assert max(sizes) < 300
-    got = numbering.number_rows(df, "k", rows_per_range=100)
-    ordered = [tuple(r) for r in got.orderBy("rownum").select("rownum", "k").collect()]
-    assert ordered == list(enumerate(sorted(r.k for r in df.collect()), 1))
-
-
-@pytest.mark.parametrize("size", [0, 1, 2, 127, 128, 129, 255, 256, 257, 1000])
-def test_range_is_the_number_of_cut_points_at_or_below(spark, size):
-    """``size`` cut points 10, 20, 30, ... against every key around them."""
-    cuts = [10 * (i + 1) for i in range(size)]
-    block = numbering.BLOCK
-    plan = numbering.Ranges(
-        str([cuts[i : i + block] for i in range(0, size, block)]),
-        str(cuts[block - 1 :: block]),
-        size,
-        ("k",),
-        spark.range(1).schema["id"].dataType,
-    )
-    df = spark.range(0, 10 * size + 21, 5).withColumnRenamed("id", "k")
-    for row in plan.assign(df).collect():
-        assert row["_range"] == min(row.k // 10, size)
+def test_numbers_of_rows_that_hold_a_map(spark):
+    df = spark.range(30).selectExpr("id % 4 AS k", "map('a', id) AS m")
+    got = numbering.number_rows(df, "k", partitions=3).orderBy("rownum").collect()
+    assert [r.rownum for r in got] == list(range(1, 31))
+    assert [r.k for r in got] == sorted(r.k for r in got)
+    assert sorted(r.m["a"] for r in got) == list(range(30))
 
 
 def test_numbers_of_an_empty_table(spark):
-    got = numbering.number_rows(spark.range(0), "id", unique=True)
+    got = numbering.number_rows(spark.range(0), "id")
     assert got.columns == ["id", "rownum"] and got.count() == 0
 
 
 def test_numbering_refuses_taken_names(spark):
-    for taken in ("rownum", "_range", "_last"):
+    for taken in ("rownum", "_tie", "_place"):
         with pytest.raises(ValueError):
-            numbering.number_rows(spark.range(3).withColumn(taken, F.lit(1)), "id", unique=True)
-
-
-def test_a_broken_promise_of_uniqueness_still_numbers_every_row(spark):
-    df = spark.range(900).select((F.col("id") % 2).alias("k"))
-    got = numbering.number_rows(df, "k", unique=True, rows_per_range=20)
-    assert rows(got) == rows(global_numbers(df, "k"))
+            numbering.number_rows(spark.range(3).withColumn(taken, F.lit(1)), "id")
 
 
 def test_bounds(spark):

@@ -36,7 +36,6 @@ JOB_ID = "job-1"
 PRIORITY = "^[12]-"
 PRIORITY_FULL = "[12]-.*"
 SINCE = "1998-09-01"
-ROWS_PER_RANGE = 2_000
 
 # Example key and vector, for the round trip only.
 EXAMPLE_KEY = b"0123456789abcdef"
@@ -446,36 +445,27 @@ def rule_template_check(spark, sf):
 @query
 def row_number_global(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return numbering.number_rows(
-        orders, "o_orderkey", unique=True, rows_per_range=ROWS_PER_RANGE
-    )
+    return numbering.number_rows(orders, "o_orderkey")
 
 
 @query
 def row_number_ranged(spark, sf):
     """Order columns with ties: rows of a tie differ in no selected column."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return numbering.number_rows(
-        lines, ["l_orderkey", "l_linenumber"], rows_per_range=ROWS_PER_RANGE
-    )
+    return numbering.number_rows(lines, ["l_orderkey", "l_linenumber"])
 
 
 @query
 def row_number_hot_key(spark, sf):
     """Three values only: each is a third of all rows, and its rows are copies."""
     status = table(spark, sf, "orders").select("o_orderstatus")
-    return numbering.number_rows(status, "o_orderstatus", rows_per_range=ROWS_PER_RANGE // 4)
+    return numbering.number_rows(status, "o_orderstatus")
 
 
 @query
 def pending_numbered(spark, sf):
     pending = state.pending_rows(stateful_orders(spark, sf), "sentinel")
-    return numbering.number_rows(
-        pending.select("o_orderkey", "checked"),
-        "o_orderkey",
-        unique=True,
-        rows_per_range=ROWS_PER_RANGE,
-    )
+    return numbering.number_rows(pending.select("o_orderkey", "checked"), "o_orderkey")
 
 
 # Scalars
