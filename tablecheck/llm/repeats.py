@@ -47,9 +47,13 @@ def window_anchors(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def shared(anchors: DataFrame, hashes: DataFrame) -> DataFrame:
-    """Anchors whose hash comes more than once. ``hashes`` has the column ``hash`` only."""
+    """Anchors whose hash comes more than once. ``hashes`` has the column ``hash`` only.
+
+    The counts are written first: only a join of two plain shuffles can be split where one
+    hash has a large part of the rows.
+    """
     counts = hashes.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    return anchors.join(counts, "hash")
+    return anchors.join(written(counts, "counts"), "hash")
 
 
 def split_touched(documents: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame | None]:

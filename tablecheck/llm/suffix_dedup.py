@@ -5,13 +5,11 @@ all copies alike.
 
 1. Winnowed anchors name the places where a repeat is possible: a string that stands in
    two places has its anchor's hash in both. Anchors whose hash comes once are done.
-2. Where the whole context of an anchor (all its windows reach) comes more than once, all
-   of it repeats; copies of documents end here, as hashes.
-3. Anchors in several surroundings go, with the bytes of their own windows, to shards by
-   their hash. Each shard gets a suffix array by Larsson-Sadakane refinement and Kasai's
+2. The windows that have an anchor in common make a block. Where a whole block comes more
+   than once, all of it repeats; copies of documents end here, as hashes.
+3. Where an anchor has several blocks, their bytes go to shards by its hash. Each shard gets a suffix array by Larsson-Sadakane refinement and Kasai's
    common prefixes; windows that share ``WINDOW`` bytes with a neighbour repeat.
-4. An anchor with more surroundings than ``PIECE`` is spread over shards by its context.
-   Such shards hand on one digest for each of their different windows; these lists are
+4. An anchor with more blocks than ``PIECE`` is spread over shards by their hash. Such shards hand on one digest for each of their different windows; these lists are
    dealt by digest, and each is looked up in the union of all by binary search.
 
 Rules for odd input: NULL and empty texts have no bytes; texts shorter than a window lose
@@ -33,7 +31,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.llm.repeats import (
-    ANCHORS,
     merged_spans,
     shared,
     split_touched,
@@ -44,15 +41,15 @@ from tablecheck.llm.suffix_array import common_prefixes, suffix_array
 from tablecheck.llm.words import STEP, mixed
 
 WINDOW = 200
-SEED = 32
+SEED = 64
 #: Seeds that begin inside one window.
 WIDTH = WINDOW - SEED + 1
 #: Bytes of texts that are hashed together.
 CHUNK_BYTES = 400_000
-#: Bytes of one suffix array; a group of surroundings is never cut, so some are larger.
-SHARD_BYTES = 4_000_000
-#: Surroundings of one anchor that go to one shard.
-PIECE = 8_192
+#: Bytes of one suffix array; a group of blocks is never cut, so some are larger.
+SHARD_BYTES = 1_000_000
+#: Blocks of one anchor that go to one shard.
+PIECE = 2_048
 
 _random = np.random.default_rng(20240611)
 #: A random number for every byte value; zero is what lies beyond a text.
@@ -88,8 +85,8 @@ class Chunk:
         inside = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
         self.windows = self.begins[self.owner] + inside
 
-    def hashes(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """Hash of the ``length`` bytes at each start."""
+    def hashes(self, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Hash of so many bytes at each start."""
         return mixed((self.sums[starts + length] - self.sums[starts]) * self.down[starts])
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
@@ -99,14 +96,18 @@ class Chunk:
         return seeds, window_anchors(seeds, WIDTH)[self.windows]
 
     def anchors(self) -> tuple[np.ndarray, ...]:
-        """Text, seed hash, context hash and place of every anchor."""
+        """Text, seed hash, block hash, start and end of the block of every anchor."""
         seeds, chosen = self.seeds()
+        if not len(chosen):
+            return (np.empty(0, np.int64), *[np.empty(0, np.uint64)] * 2, *[np.empty(0, np.int64)] * 2)
         # anchors move to the right with their windows
-        first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]]) if len(chosen) else []
-        first = np.asarray(first, np.int64)
+        first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
+        last = np.r_[first[1:], len(chosen)] - 1
         places, owner = chosen[first], self.owner[first]
-        contexts = self.hashes(places - (WINDOW - SEED), 2 * WINDOW - SEED)
-        return owner, seeds[places], contexts, places - self.begins[owner]
+        starts, ends = self.windows[first], self.windows[last] + WINDOW
+        shape = (places - starts).astype(np.uint64) << np.uint64(32) | (ends - starts).astype(np.uint64)
+        blocks = mixed(self.hashes(starts, ends - starts) ^ mixed(shape))
+        return owner, seeds[places], blocks, starts - self.begins[owner], ends - self.begins[owner]
 
 
 def chunks(texts: list[bytes]) -> Iterator[slice]:
@@ -126,55 +127,29 @@ def _texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return df.select(F.col(id_column).cast("long").alias("doc"), data.alias("text"))
 
 
+ANCHORS = "hash long, block long, doc long, start int, end int"
+
+
 def _anchor_rows(texts: DataFrame, only_hashes: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, data = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for part in chunks(data):
-                owner, hashes, contexts, places = Chunk(data[part]).anchors()
+                owner, hashes, blocks, starts, ends = Chunk(data[part]).anchors()
                 columns = [
                     pa.array(hashes.view(np.int64)),
-                    pa.array(contexts.view(np.int64)),
+                    pa.array(blocks.view(np.int64)),
                     pa.array(docs[part][owner]),
-                    pa.array(places.astype(np.int32)),
+                    pa.array(starts.astype(np.int32)),
+                    pa.array(ends.astype(np.int32)),
                 ]
-                names = ["hash", "context", "doc", "place"]
+                names = ["hash", "block", "doc", "start", "end"]
                 count = 1 if only_hashes else len(names)
                 yield pa.RecordBatch.from_arrays(columns[:count], names[:count])
 
     return texts.mapInArrow(run, "hash long" if only_hashes else ANCHORS)
 
 
-BLOCKS = "hash long, piece int, pieces int, alone boolean, doc long, start int, data binary"
-
-
-def _blocks(texts: DataFrame) -> DataFrame:
-    """The bytes of the windows that belong to each anchor listed in ``open``."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in BLOCKS.split(", ")]
-        for batch in batches:
-            docs, data, listed = (batch[c].to_list() for c in ("doc", "text", "open"))
-            for part in chunks(data):
-                chunk, rows = Chunk(data[part]), []
-                _, chosen = chunk.seeds()
-                for doc, text, begin, wanted in zip(
-                    docs[part], data[part], chunk.begins, listed[part]
-                ):
-                    places = begin + np.array([x["place"] for x in wanted])
-                    low = np.searchsorted(chosen, places, "left")
-                    high = np.searchsorted(chosen, places, "right")
-                    for x, i, j in zip(wanted, low, high):
-                        start = int(chunk.windows[i] - begin)
-                        end = int(chunk.windows[j - 1] - begin) + WINDOW
-                        rows.append(
-                            (x["hash"], x["piece"], x["pieces"], x["alone"], doc, start, text[start:end])
-                        )
-                yield pd.DataFrame(rows, columns=names)
-
-    return texts.mapInPandas(run, BLOCKS)
-
-
 FOUND = "doc long, start int, end int, key1 long, key2 long, alone boolean"
 
 
@@ -263,31 +238,35 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """(doc, start, end) in bytes of what also starts elsewhere; spans may overlap."""
     known = texts.where("doc IS NOT NULL")
     anchors = written(shared(_anchor_rows(known, False), _anchor_rows(known, True)), "anchors")
-    groups = anchors.groupBy("hash", "context").agg(F.count("*").alias("n"), F.min("doc").alias("d"))
+    groups = anchors.groupBy("hash", "block").agg(F.count("*").alias("n"), F.min("doc").alias("d"))
     groups = written(groups, "groups")
     variants = groups.groupBy("hash").agg(F.count("*").alias("variants")).where("variants > 1")
-    marked = anchors.join(groups, ["hash", "context"])
-    spans = marked.where("n > 1").select(
-        "doc",
-        (F.col("place") - (WINDOW - SEED)).alias("start"),
-        (F.col("place") + WINDOW).alias("end"),
-    )
-    # of equal surroundings those in one document stand for all
+    variants = written(variants, "variants")
+    marked = anchors.join(groups, ["hash", "block"])
+    spans = marked.where("n > 1").select("doc", "start", "end")
+    # of equal blocks those in one document stand for all
     chosen = marked.where("n = 1 OR doc = d").join(variants, "hash")
     pieces = F.ceil(F.col("variants") / PIECE).cast("int")
     open_ = chosen.select(
         "doc",
         F.struct(
-            "place",
+            "start",
+            "end",
             "hash",
-            F.pmod("context", pieces).cast("int").alias("piece"),
+            F.pmod("block", pieces).cast("int").alias("piece"),
             pieces.alias("pieces"),
             (F.col("n") == 1).alias("alone"),
         ).alias("open"),
     )
     by_doc = written(open_.groupBy("doc").agg(F.collect_list("open").alias("open")), "open")
     near, _ = split_touched(known, by_doc.select("doc"))
-    found = written(_sort_shards(_blocks(near.join(by_doc, "doc"))), "found")
+    cut = near.join(by_doc, "doc").select("doc", "text", F.explode("open").alias("open"))
+    length = F.col("open.end") - F.col("open.start")
+    data = F.substring(F.col("text"), F.col("open.start") + 1, length)
+    blocks = cut.select(
+        "open.hash", "open.piece", "open.pieces", "open.alone", "doc", "open.start", data.alias("data")
+    )
+    found = written(_sort_shards(blocks), "found")
     merged = _merge_shards(found.where("end = 0").drop("end").withColumn("end", F.lit(0)))
     spans = spans.unionByName(found.where("end > 0").select("doc", "start", "end"))
     return spans.unionByName(merged)
