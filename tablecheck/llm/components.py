@@ -12,21 +12,22 @@ def _star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both directions of all edges, and the smallest neighbour (or self) of each node."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("least"))
-    return both, least.select("u", F.least("u", "least").alias("least"))
+    # staged, so that the join can be split where one node has a large part of the links
+    return both, staged(least.select("u", F.least("u", "least").alias("least")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour is tied to the smallest in reach."""
     both, least = _star(edges)
-    tied = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), "least")
+    tied = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), "least")
     return tied.select("u", F.col("least").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("least"))
-    tied = down.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    least = staged(down.groupBy("u").agg(F.min("v").alias("least")))
+    tied = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     own = least.select("u", F.col("least").alias("v"))
     return tied.unionByName(own).where("u <> v").distinct()
 

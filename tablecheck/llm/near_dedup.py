@@ -10,8 +10,8 @@ again. Pairs that may be similar enough are confirmed on their full sets, and li
 joined into components.
 
 Recall: a pair with the least similarity shares a child of the first level with a chance
-of 0.81 in each tree; over 16 trees 3 in 10^12 pairs are missed where nodes are small after one
-level, 1 in 10^5 where three levels are needed. A signature of 128 values
+of 0.81 in each tree; over 12 trees 2 in 10^9 pairs are missed where nodes are small after one
+level, 1 in 10^4 where three levels are needed. A signature of 128 values
 puts a linked pair below ``LEAST_ESTIMATE`` with a chance of 10^-6.
 
 Rules for odd input: NULL and texts without words have no shingles and link with nothing;
@@ -40,8 +40,8 @@ SHINGLE = 5
 #: Links need 100 * intersection >= LEAST_PERCENT * union.
 LEAST_PERCENT = 75
 COORDINATES = 128
-TREES = 16
-SMALL_NODE = 256
+TREES = 12
+SMALL_NODE = 1024
 #: Pairs whose signatures agree in a smaller share of places are not confirmed.
 LEAST_ESTIMATE = 0.57
 #: From this share on, a pair is taken as linked when it comes to which others to confirm.
@@ -113,26 +113,28 @@ def shingle_table(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return chosen.where("doc_id IS NOT NULL").mapInArrow(run, DOCUMENTS)
 
 
-def _children(node: Column, depth: int, tree: int, values: Column) -> list[Column]:
-    """Keys of a node's children: one coordinate always, a second in a third of the nodes."""
-    first, second = ORDER[tree][2 * depth : 2 * depth + 2]
-    keys = [F.xxhash64(node, F.lit(c), F.get(values, F.lit(c))) for c in (first, second)]
-    return [keys[0], F.when(F.pmod(F.xxhash64(node, F.lit("two")), F.lit(3)) == 0, keys[1])]
+def _branch(members: DataFrame, depth: int) -> DataFrame:
+    """(tree, node, rep, size) of the children of all nodes with two members or more.
 
+    A node takes one coordinate of its tree's order, and in a third of the cases the next
+    one too.
+    """
 
-def _branch(members: DataFrame, depth: int) -> DataFrame:
-    """(tree, node, rep) of the children of all nodes, only those with two members or more."""
-    by_tree = []
-    for tree in range(TREES):
-        keys = F.array(*_children(F.col("node"), depth, tree, F.col("signature")))
-        by_tree.append(F.when(F.col("tree") == tree, keys))
-    rows = members.select("tree", "rep", F.explode(F.coalesce(*by_tree)).alias("node"))
+    def child(place: int) -> Column:
+        order = F.array(*[F.lit(ORDER[tree][place]) for tree in range(TREES)])
+        coordinate = F.get(order, F.col("tree"))
+        return F.xxhash64("node", coordinate, F.get("signature", coordinate))
+
+    both = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(3)) == 0
+    keys = F.array(child(2 * depth), F.when(both, child(2 * depth + 1)))
+    rows = members.select("tree", "rep", F.explode(keys).alias("node"))
     return _sized(rows.where("node IS NOT NULL"))
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-    return staged(rows.join(sizes, "node").select("tree", "node", "rep", "size"))
+    # staged, so that the join can be split where one node has a large part of the rows
+    sizes = staged(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"))
+    return staged(rows.join(sizes.hint("merge"), "node").select("tree", "node", "rep", "size"))
 
 
 def _roots(classes: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ def _node_pairs(reps: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int
     Pairs that are sure are reduced to a spanning forest; others are left out if the
     forest already joins them, as they cannot change the components.
     """
-    count = len(reps)
+    count, signatures = len(reps), signatures.astype(np.uint16)
     rows, columns, shares = [], [], []
     for i in range(count - 1):
         share = (signatures[i + 1 :] == signatures[i]).mean(axis=1)
@@ -224,22 +226,22 @@ def _compare_large(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = members.select(
         "node", F.col("rep").alias("pivot"), F.col("signature").alias("pivot_signature")
     )
-    pivot = pivot.join(own, ["node", "pivot"])
-    laid = members.join(pivot, "node").withColumn(
+    pivot = pivot.join(own.hint("merge"), ["node", "pivot"])
+    laid = members.join(pivot.hint("merge"), "node").withColumn(
         "share", _agreement("signature", "pivot_signature")
     )
     laid = staged(laid.drop("pivot_signature"))
     unlike = F.sum(F.when(F.col("share") < SURE, 1).otherwise(0)).alias("unlike")
     done = laid.groupBy("node").agg(unlike)
     done = staged(done.withColumn("done", F.col("unlike") <= MOST_UNLIKE))
-    state = laid.join(done.select("node", "done"), "node")
+    state = laid.join(done.select("node", "done").hint("merge"), "node")
     near = laid.where(F.col("share") >= LEAST_ESTIMATE).where("rep <> pivot")
     pairs = near.select(F.col("pivot").alias("u"), F.col("rep").alias("v"))
     ended = state.where("done")
     others = ended.where(F.col("share") < SURE).select(
         "node", F.col("rep").alias("other"), F.col("signature").alias("other_signature")
     )
-    crossed = ended.join(others, "node").where("rep <> other")
+    crossed = ended.join(others.hint("merge"), "node").where("rep <> other")
     close = crossed.where(_agreement("signature", "other_signature") >= LEAST_ESTIMATE)
     pairs = pairs.unionByName(close.select(F.col("other").alias("u"), F.col("rep").alias("v")))
     return pairs, state.where("NOT done").select("tree", "node", "rep", "signature")
@@ -250,16 +252,19 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
     found = []
     members = _roots(classes)
     signatures = classes
+    # joins by merging and a staged result for each level keep the driver out of it
     for depth in range(1, COORDINATES // 2):
         small = members.where(F.col("size") <= SMALL_NODE)
-        found.append(_compare_small(small.join(signatures, "rep")))
+        found.append(staged(_compare_small(small.join(signatures.hint("merge"), "rep")).distinct()))
         large = members.where(F.col("size") > SMALL_NODE)
-        if large.isEmpty():
+        if (members.agg(F.max("size")).first()[0] or 0) <= SMALL_NODE:
             break
         # what goes on needs the signatures of ever fewer classes
-        signatures = staged(signatures.join(large.select("rep").distinct(), "rep", "left_semi"))
-        pairs, rest = _compare_large(large.join(signatures, "rep").drop("size"))
-        found.append(pairs)
+        wanted = large.select("rep").distinct().hint("merge")
+        signatures = staged(signatures.join(wanted, "rep", "left_semi"))
+        members = staged(large.join(signatures.hint("merge"), "rep").drop("size"))
+        pairs, rest = _compare_large(members)
+        found.append(staged(pairs.distinct()))
         members = _branch(rest, depth)
     pairs = reduce(DataFrame.unionByName, found)
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -289,7 +294,7 @@ def confirmed(pairs: DataFrame, df: DataFrame, id_column: str, text_column: str)
                 keep.append(100 * both >= LEAST_PERCENT * (len(a) + len(b) - both))
             yield batch.loc[keep, ["u", "v"]]
 
-    joined = pairs.join(first, "u").join(second, "v")
+    joined = pairs.join(first.hint("merge"), "u").join(second.hint("merge"), "v")
     return joined.mapInPandas(run, "u long, v long")
 
 
