@@ -172,6 +172,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     firsts = anchors.groupBy("hash", "context").agg(F.min("doc").alias("first"))
     firsts = written(firsts, "firsts")
     variants = firsts.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    variants = written(variants, "variants")
     marked = anchors.join(firsts, ["hash", "context"])
     repeats = marked.where("doc > first").select(
         "doc",
@@ -184,7 +185,8 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     by_doc = written(by_doc, "open")
     near, _ = split_touched(known, by_doc.select("doc"))
     windows = written(_extensions(near.join(by_doc, "doc")), "windows")
-    owners = windows.groupBy("key1", "key2").agg(F.min("doc").alias("first"))
+    owners = windows.groupBy("key1", "key2").agg(F.min("doc").alias("first"), F.max("doc").alias("d"))
+    owners = written(owners.where("first < d").drop("d"), "owners")
     later = windows.join(owners, ["key1", "key2"]).where("doc > first")
     return repeats.unionByName(
         later.select("doc", F.col("place").alias("start"), (F.col("place") + WINDOW).alias("end"))
