@@ -6,13 +6,15 @@ hash at chosen coordinates: a node picks one coordinate, and with a chance of a
 second one (4/3 on average, the inverse of the similarity 0.75), and its members fall
 into a child for each value. Nodes of at most ``SMALL_NODE`` members are compared
 exhaustively by their signatures; larger ones are compared with one member and branch
-again. Pairs that may be similar enough are confirmed on their full sets, and links are
-joined into components.
+again. Links are confirmed on full sets in two rounds: first the likeliest ones, a spanning
+forest of every small node, then all pairs that may be similar enough and could still join
+two components. So a large group of copies costs pairs in proportion to its members once
+its links hold it together.
 
 Recall: a pair with the least similarity shares a child of the first level with a chance
-of 0.81 in each tree; over 12 trees 2 in 10^9 pairs are missed where nodes are small after one
-level, 1 in 10^4 where three levels are needed. A signature of 128 values
-puts a linked pair below ``LEAST_ESTIMATE`` with a chance of 10^-6.
+of 0.81 in each tree; over 10 trees 6 in 10^8 pairs are missed where nodes are small after one
+level, 3 in 10^4 where three levels are needed. A signature of 128 values puts a pair of
+the least similarity below ``LEAST_ESTIMATE`` with a chance of 5 in 10^5.
 
 Rules for odd input: NULL and texts without words have no shingles and link with nothing;
 texts of one to four words are one shingle of that length; rows that repeat an identifier
@@ -40,11 +42,11 @@ SHINGLE = 5
 #: Links need 100 * intersection >= LEAST_PERCENT * union.
 LEAST_PERCENT = 75
 COORDINATES = 128
-TREES = 12
+TREES = 10
 SMALL_NODE = 1024
 #: Pairs whose signatures agree in a smaller share of places are not confirmed.
-LEAST_ESTIMATE = 0.57
-#: From this share on, a pair is taken as linked when it comes to which others to confirm.
+LEAST_ESTIMATE = 0.6
+#: From this share on, a member of a large node counts as like the one compared.
 SURE = 0.9
 #: A large node ends when at most so many of its members are unlike the one compared.
 MOST_UNLIKE = 16
@@ -149,21 +151,29 @@ def _roots(classes: DataFrame) -> DataFrame:
     return _sized(rows.select("at.tree", "at.node", "rep"))
 
 
-def _node_pairs(reps: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int]]:
+def _node_pairs(
+    reps: np.ndarray, signatures: np.ndarray, labels: np.ndarray | None
+) -> list[tuple[int, int]]:
     """Pairs of a small node to confirm.
 
-    Pairs that are sure are reduced to a spanning forest; others are left out if the
-    forest already joins them, as they cannot change the components.
+    Without ``labels`` those of a spanning forest, the likeliest links first. With labels
+    (components of the links found so far) all pairs that could still join two of them.
     """
     count, signatures = len(reps), signatures.astype(np.uint16)
     rows, columns, shares = [], [], []
     for i in range(count - 1):
-        share = (signatures[i + 1 :] == signatures[i]).mean(axis=1)
-        near = np.flatnonzero(share >= LEAST_ESTIMATE)
+        open_ = signatures[i + 1 :]
+        share = (open_ == signatures[i]).mean(axis=1)
+        near = share >= LEAST_ESTIMATE
+        if labels is not None:
+            near &= labels[i + 1 :] != labels[i]
+        near = np.flatnonzero(near)
         rows.append(np.full(len(near), i))
         columns.append(near + i + 1)
         shares.append(share[near])
     first, second, share = map(np.concatenate, (rows, columns, shares))
+    if labels is not None:
+        return list(zip(reps[first].tolist(), reps[second].tolist()))
     parent = list(range(count))
 
     def root(x: int) -> int:
@@ -172,22 +182,27 @@ def _node_pairs(reps: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int
             x = parent[x]
         return x
 
-    pairs = []
-    for k in np.argsort(-share, kind="stable"):
+    pairs, left = [], count - 1
+    for k in np.argsort(-share, kind="stable").tolist():
         a, b = root(first[k]), root(second[k])
         if a != b:
             pairs.append((int(reps[first[k]]), int(reps[second[k]])))
-            if share[k] >= SURE:
-                parent[a] = b
+            parent[a] = b
+            left -= 1
+            if not left:
+                break
     return pairs
 
 
 def _compare_small(members: DataFrame) -> DataFrame:
-    """Exhaustive comparison inside every node; members arrive node by node."""
+    """Comparison inside every node; members (with a column ``label`` in the second round)
+    arrive node by node."""
+    labelled = "label" in members.columns
 
     def flush(node: list[pd.DataFrame]) -> list[tuple[int, int]]:
         rows = pd.concat(node) if len(node) > 1 else node[0]
-        return _node_pairs(rows["rep"].to_numpy(), np.stack(rows["signature"].to_numpy()))
+        labels = rows["label"].to_numpy() if labelled else None
+        return _node_pairs(rows["rep"].to_numpy(), np.stack(rows["signature"].to_numpy()), labels)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, held = None, []
@@ -203,7 +218,8 @@ def _compare_small(members: DataFrame) -> DataFrame:
         if held:
             yield pd.DataFrame(flush(held), columns=["u", "v"], dtype="int64")
 
-    dealt = members.select("node", "rep", "signature").repartition("node")
+    extra = ["label"] if labelled else []
+    dealt = members.select("node", "rep", "signature", *extra).repartition("node")
     return dealt.sortWithinPartitions("node", "rep").mapInPandas(run, "u long, v long")
 
 
@@ -213,7 +229,7 @@ def _agreement(a: str, b: str) -> Column:
     return F.aggregate(same, F.lit(0), lambda total, x: total + x) / F.lit(COORDINATES)
 
 
-def _compare_large(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _compare_large(large: DataFrame, signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs of large nodes, and the members of those that have to branch.
 
     One member of each node, another one in every tree, is compared with all. If nearly
@@ -221,12 +237,13 @@ def _compare_large(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     is done; no group is gathered anywhere.
     """
     order = F.xxhash64("rep", "node")
-    pivot = members.groupBy("node").agg(F.min(F.struct(order.alias("o"), "rep")).alias("p"))
+    pivot = large.groupBy("node").agg(F.min(F.struct(order.alias("o"), "rep")).alias("p"))
     pivot = pivot.select("node", F.col("p.rep").alias("pivot"))
-    own = members.select(
-        "node", F.col("rep").alias("pivot"), F.col("signature").alias("pivot_signature")
+    own = signatures.select(
+        F.col("rep").alias("pivot"), F.col("signature").alias("pivot_signature")
     )
-    pivot = pivot.join(own.hint("merge"), ["node", "pivot"])
+    pivot = pivot.join(own.hint("merge"), "pivot")
+    members = large.select("tree", "node", "rep").join(signatures.hint("merge"), "rep")
     laid = members.join(pivot.hint("merge"), "node").withColumn(
         "share", _agreement("signature", "pivot_signature")
     )
@@ -247,14 +264,19 @@ def _compare_large(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, state.where("NOT done").select("tree", "node", "rep", "signature")
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """(u, v) with u < v: pairs of classes (rep, signature) to confirm."""
-    found = []
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs of classes (rep, signature) to confirm first, and the small nodes of all levels."""
+    found, nodes = [], []
     members = _roots(classes)
     signatures = classes
     # joins by merging and a staged result for each level keep the driver out of it
     for depth in range(1, COORDINATES // 2):
         small = members.where(F.col("size") <= SMALL_NODE)
+        nodes.append(small.select("node", "rep"))
         found.append(staged(_compare_small(small.join(signatures.hint("merge"), "rep")).distinct()))
         large = members.where(F.col("size") > SMALL_NODE)
         if (members.agg(F.max("size")).first()[0] or 0) <= SMALL_NODE:
@@ -262,18 +284,28 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
         # what goes on needs the signatures of ever fewer classes
         wanted = large.select("rep").distinct().hint("merge")
         signatures = staged(signatures.join(wanted, "rep", "left_semi"))
-        members = staged(large.join(signatures.hint("merge"), "rep").drop("size"))
-        pairs, rest = _compare_large(members)
+        pairs, rest = _compare_large(large, signatures)
         found.append(staged(pairs.distinct()))
         members = _branch(rest, depth)
-    pairs = reduce(DataFrame.unionByName, found)
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return _ordered(reduce(DataFrame.unionByName, found)), nodes
+
+
+def remaining_pairs(
+    nodes: list[DataFrame], classes: DataFrame, labels: DataFrame
+) -> DataFrame:
+    """Pairs of the small nodes that could still join two components."""
+    label = F.coalesce("component", "rep").alias("label")
+    known = classes.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left")
+    known = staged(known.select("rep", "signature", label))
+    found = [_compare_small(x.join(known.hint("merge"), "rep")) for x in nodes]
+    return _ordered(reduce(DataFrame.unionByName, found))
 
 
 def confirmed(pairs: DataFrame, df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The pairs whose full sets are similar enough. Texts travel, not their sets."""
     pairs = staged(pairs)
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    ends = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id")))
+    wanted = staged(ends.distinct())
     side = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
     texts = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     texts = texts.join(side, "id", "left_semi").dropDuplicates(["id"])
@@ -307,7 +339,10 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
     members = own.select(F.col("doc_id").alias("rep"), "key1", "key2", "signature")
     signatures = members.join(classes, ["rep", "key1", "key2"]).dropDuplicates(["rep"])
     signatures = staged(signatures.select("rep", "signature"))
-    links = confirmed(candidate_pairs(signatures), df, id_column, text_column)
+    pairs, nodes = candidate_pairs(signatures)
+    links = staged(confirmed(pairs, df, id_column, text_column))
+    more = remaining_pairs(nodes, signatures, components(links))
+    links = links.unionByName(confirmed(more, df, id_column, text_column))
     labels = components(links)
     classes = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "key1", "key2", F.coalesce("component", "rep").alias("component_id")
