@@ -1,20 +1,22 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its five-word shingles; documents with equal sets are one class
-from the start. In each of ``TREES`` independent trees the classes branch by the minimum
-hash at chosen coordinates: a node picks one coordinate, and with a chance of a third a
-second one (4/3 on average, the inverse of the similarity 0.75), and its members fall
-into a child for each value. Nodes of at most ``SMALL_NODE`` members are compared
+from the start. In each of a number of trees the classes branch by the minimum hash at
+chosen coordinates: a node picks one coordinate by its own hash, and with a chance of a
+third a second one (4/3 on average, the inverse of the similarity 0.75), and its members
+fall into a child for each value. Nodes of at most ``SMALL_NODE`` members are compared
 exhaustively by their signatures; larger ones are compared with one member and branch
 again. Links are confirmed on full sets in two rounds: first the likeliest ones, a spanning
 forest of every small node, then all pairs that may be similar enough and could still join
 two components. So a large group of copies costs pairs in proportion to its members once
 its links hold it together.
 
-Recall: a pair with the least similarity shares a child of the first level with a chance
-of 0.81 in each tree; over 10 trees 6 in 10^8 pairs are missed where nodes are small after one
-level, 3 in 10^4 where three levels are needed. A signature of 128 values puts a pair of
-the least similarity below ``LEAST_ESTIMATE`` with a chance of 5 in 10^5.
+Recall: ``missed`` is the chance that a pair with the least similarity is not confirmed,
+by the levels its nodes needed and the number of trees; what a signature of 128 values
+leaves out is in it. ``TREES`` trees come first. Where they needed more levels than that
+number is good for, more trees follow for the classes that went so deep, until the chance is
+at most ``MOST_MISSED`` at the depth reached; nodes inside one component are left out of
+them, as no pair of theirs can change a component.
 
 Rules for odd input: NULL and texts without words have no shingles and link with nothing;
 texts of one to four words are one shingle of that length; rows that repeat an identifier
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -42,7 +45,12 @@ SHINGLE = 5
 #: Links need 100 * intersection >= LEAST_PERCENT * union.
 LEAST_PERCENT = 75
 COORDINATES = 128
+#: Trees that all classes branch in.
 TREES = 10
+#: Chance to miss a pair of the least similarity that is accepted.
+MOST_MISSED = 0.001
+#: Levels after which large nodes are an error.
+MOST_LEVELS = 64
 SMALL_NODE = 1024
 #: Pairs whose signatures agree in a smaller share of places are not confirmed.
 LEAST_ESTIMATE = 0.6
@@ -54,8 +62,6 @@ MOST_UNLIKE = 16
 MOST_BROADCAST = 2_000_000
 
 _random = np.random.default_rng(20240607)
-#: A permutation of the coordinates for each tree; level ``d`` uses places 2d and 2d + 1.
-ORDER = [_random.permutation(COORDINATES).tolist() for _ in range(TREES)]
 FLIP = _random.integers(0, 2**32, COORDINATES, dtype=np.uint32)
 FACTOR = _random.integers(0, 2**31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
@@ -115,66 +121,88 @@ def shingle_table(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return chosen.where("doc_id IS NOT NULL").mapInArrow(run, DOCUMENTS)
 
 
-def _branch(members: DataFrame, depth: int) -> DataFrame:
-    """(tree, node, rep, size) of the children of all nodes with two members or more.
+def missed(depth: int, trees: int) -> float:
+    """Chance that no tree brings a pair of the least similarity to confirmation.
 
-    A node takes one coordinate of its tree's order, and in a third of the cases the next
-    one too.
+    ``depth`` is the level at which the nodes are small enough. Given the number of equal
+    places of the two signatures, a pair's shared nodes are a branching process.
     """
+    least, total = LEAST_PERCENT / 100, 0.0
+    for equal in range(COORDINATES + 1):
+        chance = comb(COORDINATES, equal) * least**equal * (1 - least) ** (COORDINATES - equal)
+        share, lost = equal / COORDINATES, 0.0
+        for _ in range(depth):
+            child = 1 - share + share * lost
+            lost = child * (2 + child) / 3
+        total += chance * (lost**trees if share >= LEAST_ESTIMATE else 1.0)
+    return total
 
-    def child(place: int) -> Column:
-        order = F.array(*[F.lit(ORDER[tree][place]) for tree in range(TREES)])
-        coordinate = F.get(order, F.col("tree"))
+
+def trees_for(depth: int) -> int:
+    """Trees that a depth needs."""
+    trees = TREES
+    while missed(depth, trees) > MOST_MISSED:
+        trees += 1
+    return trees
+
+
+def _branch(members: DataFrame) -> DataFrame:
+    """(node, rep, label, size) of the children of all nodes that can still join two components.
+
+    A node takes one coordinate by its own hash, and in a third of the cases another one too.
+    """
+
+    def child(coordinate: Column) -> Column:
         return F.xxhash64("node", coordinate, F.get("signature", coordinate))
 
+    first = F.pmod(F.xxhash64("node", F.lit("one")), F.lit(COORDINATES)).cast("int")
+    step = F.pmod(F.xxhash64("node", F.lit("other")), F.lit(COORDINATES - 1)).cast("int") + 1
     both = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(3)) == 0
-    keys = F.array(child(2 * depth), F.when(both, child(2 * depth + 1)))
-    rows = members.select("tree", "rep", F.explode(keys).alias("node"))
+    keys = F.array(child(first), F.when(both, child((first + step) % COORDINATES)))
+    rows = members.select("rep", "label", F.explode(keys).alias("node"))
     return _sized(rows.where("node IS NOT NULL"))
 
 
 def _sized(rows: DataFrame) -> DataFrame:
     # staged, so that the join can be split where one node has a large part of the rows
-    sizes = staged(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"))
-    return staged(rows.join(sizes.hint("merge"), "node").select("tree", "node", "rep", "size"))
+    sizes = rows.groupBy("node").agg(
+        F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("open")
+    )
+    sizes = staged(sizes.where("open").drop("open"))
+    return staged(rows.join(sizes.hint("merge"), "node").select("node", "rep", "label", "size"))
 
 
-def _roots(classes: DataFrame) -> DataFrame:
+def _roots(classes: DataFrame, trees: range) -> DataFrame:
     """The first level: children of the root of every tree."""
     keys = []
-    for tree in range(TREES):
-        coordinates = ORDER[tree][: 2 if tree % 3 == 0 else 1]
-        for c in coordinates:
-            value = F.xxhash64(F.lit(tree), F.lit(c), F.get("signature", F.lit(c)))
-            keys.append(F.struct(F.lit(tree).alias("tree"), value.alias("node")))
-    rows = classes.select("rep", F.explode(F.array(*keys)).alias("at"))
-    return _sized(rows.select("at.tree", "at.node", "rep"))
+    for tree in trees:
+        pick = np.random.default_rng([20240607, tree])
+        for c in pick.choice(COORDINATES, 2 if tree % 3 == 0 else 1, replace=False).tolist():
+            keys.append(F.xxhash64(F.lit(tree), F.lit(c), F.get("signature", F.lit(c))))
+    return _sized(classes.select("rep", "label", F.explode(F.array(*keys)).alias("node")))
 
 
 def _node_pairs(
-    reps: np.ndarray, signatures: np.ndarray, labels: np.ndarray | None
+    reps: np.ndarray, signatures: np.ndarray, labels: np.ndarray, forest: bool
 ) -> list[tuple[int, int]]:
-    """Pairs of a small node to confirm.
+    """Pairs of a small node that could join two components (``labels``) of the links so far.
 
-    Without ``labels`` those of a spanning forest, the likeliest links first. With labels
-    (components of the links found so far) all pairs that could still join two of them.
+    All of them, or those of a spanning forest, the likeliest links first.
     """
     count, signatures = len(reps), signatures.astype(np.uint16)
     rows, columns, shares = [], [], []
     for i in range(count - 1):
         open_ = signatures[i + 1 :]
         share = (open_ == signatures[i]).mean(axis=1)
-        near = share >= LEAST_ESTIMATE
-        if labels is not None:
-            near &= labels[i + 1 :] != labels[i]
-        near = np.flatnonzero(near)
+        near = np.flatnonzero((share >= LEAST_ESTIMATE) & (labels[i + 1 :] != labels[i]))
         rows.append(np.full(len(near), i))
         columns.append(near + i + 1)
         shares.append(share[near])
     first, second, share = map(np.concatenate, (rows, columns, shares))
-    if labels is not None:
+    if not forest:
         return list(zip(reps[first].tolist(), reps[second].tolist()))
-    parent = list(range(count))
+    names, own = np.unique(labels, return_inverse=True)
+    parent = list(range(len(names)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -182,9 +210,9 @@ def _node_pairs(
             x = parent[x]
         return x
 
-    pairs, left = [], count - 1
+    pairs, left = [], len(names) - 1
     for k in np.argsort(-share, kind="stable").tolist():
-        a, b = root(first[k]), root(second[k])
+        a, b = root(own[first[k]]), root(own[second[k]])
         if a != b:
             pairs.append((int(reps[first[k]]), int(reps[second[k]])))
             parent[a] = b
@@ -194,15 +222,13 @@ def _node_pairs(
     return pairs
 
 
-def _compare_small(members: DataFrame) -> DataFrame:
-    """Comparison inside every node; members (with a column ``label`` in the second round)
-    arrive node by node."""
-    labelled = "label" in members.columns
+def _compare_small(members: DataFrame, forest: bool) -> DataFrame:
+    """Comparison inside every node; members arrive node by node."""
 
     def flush(node: list[pd.DataFrame]) -> list[tuple[int, int]]:
         rows = pd.concat(node) if len(node) > 1 else node[0]
-        labels = rows["label"].to_numpy() if labelled else None
-        return _node_pairs(rows["rep"].to_numpy(), np.stack(rows["signature"].to_numpy()), labels)
+        signatures = np.stack(rows["signature"].to_numpy())
+        return _node_pairs(rows["rep"].to_numpy(), signatures, rows["label"].to_numpy(), forest)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, held = None, []
@@ -218,8 +244,7 @@ def _compare_small(members: DataFrame) -> DataFrame:
         if held:
             yield pd.DataFrame(flush(held), columns=["u", "v"], dtype="int64")
 
-    extra = ["label"] if labelled else []
-    dealt = members.select("node", "rep", "signature", *extra).repartition("node")
+    dealt = members.select("node", "rep", "label", "signature").repartition("node")
     return dealt.sortWithinPartitions("node", "rep").mapInPandas(run, "u long, v long")
 
 
@@ -233,77 +258,95 @@ def _compare_large(large: DataFrame, signatures: DataFrame) -> tuple[DataFrame,
     """Pairs of large nodes, and the members of those that have to branch.
 
     One member of each node, another one in every tree, is compared with all. If nearly
-    all are surely linked with it, the few others are compared with everyone and the node
-    is done; no group is gathered anywhere.
+    all are surely linked with it or in its component, the few others are compared with
+    everyone and the node is done; no group is gathered anywhere.
     """
     order = F.xxhash64("rep", "node")
     pivot = large.groupBy("node").agg(F.min(F.struct(order.alias("o"), "rep")).alias("p"))
     pivot = pivot.select("node", F.col("p.rep").alias("pivot"))
     own = signatures.select(
-        F.col("rep").alias("pivot"), F.col("signature").alias("pivot_signature")
+        F.col("rep").alias("pivot"),
+        F.col("label").alias("pivot_label"),
+        F.col("signature").alias("pivot_signature"),
     )
     pivot = pivot.join(own.hint("merge"), "pivot")
-    members = large.select("tree", "node", "rep").join(signatures.hint("merge"), "rep")
+    members = large.select("node", "rep").join(signatures.hint("merge"), "rep")
     laid = members.join(pivot.hint("merge"), "node").withColumn(
         "share", _agreement("signature", "pivot_signature")
     )
     laid = staged(laid.drop("pivot_signature"))
-    unlike = F.sum(F.when(F.col("share") < SURE, 1).otherwise(0)).alias("unlike")
-    done = laid.groupBy("node").agg(unlike)
+    other = (F.col("share") < SURE) & (F.col("label") != F.col("pivot_label"))
+    done = laid.groupBy("node").agg(F.sum(other.cast("int")).alias("unlike"))
     done = staged(done.withColumn("done", F.col("unlike") <= MOST_UNLIKE))
     state = laid.join(done.select("node", "done").hint("merge"), "node")
-    near = laid.where(F.col("share") >= LEAST_ESTIMATE).where("rep <> pivot")
+    near = laid.where(F.col("share") >= LEAST_ESTIMATE).where("label <> pivot_label")
     pairs = near.select(F.col("pivot").alias("u"), F.col("rep").alias("v"))
     ended = state.where("done")
-    others = ended.where(F.col("share") < SURE).select(
-        "node", F.col("rep").alias("other"), F.col("signature").alias("other_signature")
+    others = ended.where(other).select(
+        "node",
+        F.col("rep").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("signature").alias("other_signature"),
     )
-    crossed = ended.join(others.hint("merge"), "node").where("rep <> other")
+    crossed = ended.join(others.hint("merge"), "node").where("label <> other_label")
     close = crossed.where(_agreement("signature", "other_signature") >= LEAST_ESTIMATE)
     pairs = pairs.unionByName(close.select(F.col("other").alias("u"), F.col("rep").alias("v")))
-    return pairs, state.where("NOT done").select("tree", "node", "rep", "signature")
+    return pairs, state.where("NOT done").select("node", "rep", "label", "signature")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Pairs of classes (rep, signature) to confirm first, and the small nodes of all levels."""
+def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(rep, signature, label): the component of every class, itself where it has no link."""
+    label = F.coalesce("component", "rep").alias("label")
+    known = classes.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left")
+    return staged(known.select("rep", "signature", label))
+
+
+def candidate_pairs(
+    classes: DataFrame, trees: range
+) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """Pairs of classes (rep, signature, label) to confirm first, the small nodes of every
+    level, and the classes that went deeper than so many trees are good for."""
     found, nodes = [], []
-    members = _roots(classes)
+    members = _roots(classes, trees)
     signatures = classes
+    deep = classes.select("rep")
+    if missed(1, len(trees)) <= MOST_MISSED:
+        deep = deep.limit(0)
     # joins by merging and a staged result for each level keep the driver out of it
-    for depth in range(1, COORDINATES // 2):
+    for depth in range(1, MOST_LEVELS + 1):
+        largest = members.agg(F.max("size")).first()[0] or 0
+        if not largest and nodes:
+            return _ordered(reduce(DataFrame.unionByName, found)), nodes, deep
         small = members.where(F.col("size") <= SMALL_NODE)
         nodes.append(small.select("node", "rep"))
-        found.append(staged(_compare_small(small.join(signatures.hint("merge"), "rep")).distinct()))
+        laid = small.select("node", "rep").join(signatures.hint("merge"), "rep")
+        found.append(staged(_compare_small(laid, True).distinct()))
         large = members.where(F.col("size") > SMALL_NODE)
-        if (members.agg(F.max("size")).first()[0] or 0) <= SMALL_NODE:
-            break
+        if largest <= SMALL_NODE:
+            return _ordered(reduce(DataFrame.unionByName, found)), nodes, deep
         # what goes on needs the signatures of ever fewer classes
         wanted = large.select("rep").distinct().hint("merge")
         signatures = staged(signatures.join(wanted, "rep", "left_semi"))
         pairs, rest = _compare_large(large, signatures)
         found.append(staged(pairs.distinct()))
-        members = _branch(rest, depth)
-    return _ordered(reduce(DataFrame.unionByName, found)), nodes
+        members = _branch(rest)
+        if missed(depth, len(trees)) <= MOST_MISSED < missed(depth + 1, len(trees)):
+            deep = staged(members.select("rep").distinct())
+    raise RuntimeError(f"nodes of more than {SMALL_NODE} members after {MOST_LEVELS} levels")
 
 
-def remaining_pairs(
-    nodes: list[DataFrame], classes: DataFrame, labels: DataFrame
-) -> DataFrame:
+def remaining_pairs(nodes: list[DataFrame], known: DataFrame) -> DataFrame:
     """Pairs of the small nodes that could still join two components."""
-    label = F.coalesce("component", "rep").alias("label")
-    known = classes.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left")
-    known = staged(known.select("rep", "signature", label))
-    found = [_compare_small(x.join(known.hint("merge"), "rep")) for x in nodes]
+    found = [_compare_small(x.join(known.hint("merge"), "rep"), False) for x in nodes]
     return _ordered(reduce(DataFrame.unionByName, found))
 
 
 def confirmed(pairs: DataFrame, df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The pairs whose full sets are similar enough. Texts travel, not their sets."""
-    pairs = staged(pairs)
     ends = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id")))
     wanted = staged(ends.distinct())
     side = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
@@ -339,11 +382,22 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
     members = own.select(F.col("doc_id").alias("rep"), "key1", "key2", "signature")
     signatures = members.join(classes, ["rep", "key1", "key2"]).dropDuplicates(["rep"])
     signatures = staged(signatures.select("rep", "signature"))
-    pairs, nodes = candidate_pairs(signatures)
-    links = staged(confirmed(pairs, df, id_column, text_column))
-    more = remaining_pairs(nodes, signatures, components(links))
-    links = links.unionByName(confirmed(more, df, id_column, text_column))
-    labels = components(links)
+    links = signatures.selectExpr("rep AS u", "rep AS v").limit(0)
+    labels = links.toDF("node", "component")
+    tested, subset, trees, needed = links, signatures, 0, TREES
+    while trees < needed:
+        known = _labelled(subset, labels)
+        pairs, nodes, deep = candidate_pairs(known, range(trees, needed))
+        for second in (False, True):
+            if second:
+                pairs = remaining_pairs(nodes, _labelled(subset, labels))
+            pairs = staged(pairs.join(tested.hint("merge"), ["u", "v"], "left_anti"))
+            tested = tested.unionByName(pairs)
+            links = links.unionByName(staged(confirmed(pairs, df, id_column, text_column)))
+            labels = staged(components(links))
+        if not trees:
+            subset = staged(signatures.join(deep.hint("merge"), "rep", "left_semi"))
+        trees, needed = needed, max(needed, trees_for(len(nodes)))
     classes = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "key1", "key2", F.coalesce("component", "rep").alias("component_id")
     )

@@ -167,6 +167,32 @@ def test_large_group_of_unlike_copies(spark, monkeypatch):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
 
 
+def test_nodes_of_a_level_choose_for_themselves(spark):
+    """Pairs that are alike in the same places are not lost or kept all together."""
+    alike = [i % 4 != 3 for i in range(near_dedup.COORDINATES)]
+    rows = [
+        (node, 2 * node + k, 2 * node + k, [i if same else 1_000 * (k + 1) + i for i, same in enumerate(alike)])
+        for node in range(400)
+        for k in range(2)
+    ]
+    members = spark.createDataFrame(rows, "node long, rep long, label long, signature array<int>")
+    found = near_dedup._branch(members).selectExpr("rep div 2 AS pair").distinct().count()
+    assert 290 < found < 350  # 0.8125 of 400, give or take four standard deviations
+
+
+def test_more_trees_follow_where_few_are_not_enough(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TREES", 1)
+    rows = near_copies(1)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_dedup.near_duplicates(frame, "doc_id", "text").collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
+
+
+def test_trees_hold_the_recall_at_every_depth():
+    for depth in range(1, 20):
+        assert near_dedup.missed(depth, near_dedup.trees_for(depth)) <= near_dedup.MOST_MISSED
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "mixed", "none"])
 def test_components(spark, shape):
     links = {
