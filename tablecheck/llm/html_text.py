@@ -2,7 +2,10 @@
 
 Paragraphs give points for their length and commas to their ancestors; points are
 discounted by the share of text inside links. The best container and those of its
-siblings that read like text are kept, without what is marked as page furniture.
+siblings that read like text are kept, without what is marked as page furniture. A word of
+a class or identifier is a hint only: it never drops article or main, nor an element with
+more than half of the page's unlinked paragraph text, unless an article beside it has a
+quarter.
 
 Rules for odd input: NULL is an empty page; a page without any text gives the empty
 text; unclosed and unopened tags are mended as browsers do; a page whose paragraphs
@@ -56,13 +59,15 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*+>|</?[a-zA-Z][^>]*+\Z",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(
-    r"(class|id|role|hidden|aria-hidden|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\bhidden\b",
-    re.I,
-)
+ATTRIBUTE = re.compile(r"([^\s\"'=<>/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?")
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+#: What follows one of these in a class says what an element has or lacks, not what it is.
+DENIALS = frozenset("has have with without no not".split())
+#: Last words of classes that tell a state.
+STATES = frozenset("open opened closed enabled disabled".split())
+
 LEAST_CHARS = 25
 #: Ancestors that share a paragraph's points, nearest first.
 SHARES = (1.0, 0.5, 1 / 3, 0.25, 0.2)
@@ -78,6 +83,8 @@ class Page:
         self.parent = [-1]
         self.tags = ["html"]
         self.furniture = [False]
+        #: Elements that only a word of a class or identifier marks.
+        self._hinted: list[int] = []
         #: (element, text); None stands for the border of a block.
         self.pieces: list[tuple[int, str | None]] = []
         self._stack = [0]
@@ -85,6 +92,8 @@ class Page:
         self._blocks = [0]
         self._open: dict[str, int] = {"html": 1}
         self._parse(source)
+        if self._hinted:
+            self._judge_hints()
 
     def _parse(self, source: str) -> None:
         at = 0
@@ -128,6 +137,8 @@ class Page:
         self.parent.append(parent)
         self.tags.append(name)
         self.furniture.append(inside or self._is_furniture(name, rest, parent))
+        if not self.furniture[-1] and rest and self._is_hinted(name, rest):
+            self._hinted.append(len(self.tags) - 1)
         if name == "p":
             self._paragraphs.append(len(self._stack))
         elif block:
@@ -167,21 +178,70 @@ class Page:
             return False
         for key, *values in ATTRIBUTE.findall(rest):
             key, value = key.lower(), next(filter(None, values), "")
-            if key == "":
+            if key == "hidden":
                 return True
             if key == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     return True
-            elif key == "hidden" or key == "aria-hidden":
-                if key == "hidden" or value.lower() == "true":
+            elif key == "aria-hidden":
+                if value.lower() == "true":
                     return True
-            elif key == "role":
-                if value.strip().lower() in FURNITURE_ROLES:
-                    return True
-            elif not FURNITURE_WORDS.isdisjoint(WORD.findall(CAMEL.sub(" ", value).lower())):
+            elif key == "role" and value.strip().lower() in FURNITURE_ROLES:
                 return True
         return False
 
+    def _is_hinted(self, name: str, rest: str) -> bool:
+        if name in ("html", "body") or name in ARTICLE_TAGS:
+            return False
+        for key, *values in ATTRIBUTE.findall(rest):
+            if key.lower() not in ("class", "id"):
+                continue
+            for token in next(filter(None, values), "").split():
+                words = WORD.findall(CAMEL.sub(" ", token).lower())
+                if words[:1] == ["overflow"] or len(words) > 1 and words[-1] in STATES:
+                    continue
+                for word in words:
+                    if word in DENIALS:
+                        break
+                    if word in FURNITURE_WORDS:
+                        return True
+        return False
+
+    def _judge_hints(self) -> None:
+        """Make furniture of the hinted elements, except those that hold the page's text."""
+        size = len(self.tags)
+        held, short = [0] * size, [0] * size
+        known: dict[int, bool] = {}
+        block, length = 0, 0
+        for element, text in [*self.pieces, (0, None)]:
+            if self.furniture[element]:
+                continue
+            owner = self._block_of(element)
+            if text is None or owner != block:
+                short[block] += length
+                held[block] += length if length >= LEAST_CHARS else 0
+                block, length = owner, 0
+            if text is not None and not self._in_link(element, known):
+                length += len(text.strip())
+        if not any(held):
+            held = short
+        end = list(range(size))  # last element inside
+        for element in range(size - 1, 0, -1):
+            up = self.parent[element]
+            held[up] += held[element]
+            end[up] = max(end[up], end[element])
+        articles = [
+            i for i in range(size)
+            if self.tags[i] in ARTICLE_TAGS and not self.furniture[i] and 4 * held[i] >= held[0] > 0
+        ]
+        first_end = min((end[i] for i in articles), default=size)
+        last_start = max(articles, default=-1)
+        for element in self._hinted:
+            beside = first_end < element or last_start > end[element]
+            self.furniture[element] = beside or 2 * held[element] <= held[0]
+        for element in range(1, size):
+            self.furniture[element] |= self.furniture[self.parent[element]]
+
     def _in_link(self, element: int, known: dict[int, bool]) -> bool:
         path = []
         while element >= 0 and element not in known:

@@ -43,6 +43,33 @@ def test_furniture_goes(furniture, wrap):
         assert main_text(page(wrap.format(inside))) == f"Titel {P} Kurz. {P}"
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<div class='content has-sidebar'>{}</div>",
+        "<div class='site has-header-image'><div>{}</div></div>",
+        "<div class=overflow-hidden><article>{}</article></div>",
+        "<article class='post comments-open'>{}</article>",
+        "<article class='post social'>{}</article>",
+        "<main id=menu>{}</main>",
+        "<div id='page-with-nav'>{}</div>",
+        "<div class='widget'><div class='widget-container'>{}</div></div>",
+        "<div title='the hidden door' data-class='ad'>{}</div>",
+    ],
+)
+def test_words_of_a_class_do_not_drop_the_text(wrap):
+    inner = f"<p>{P}</p><div class='share'>Teilen</div><p>{P}</p>"
+    around = "<nav><a href=x>Menü</a></nav>{}<div class='ad'>Kauf!</div>"
+    assert main_text(page(around.format(wrap.format(inner)))) == f"{P} {P}"
+    # also without points
+    assert main_text(page(around.format(wrap.format("<p>Kurzer Text.</p>")))) == "Kurzer Text."
+
+
+def test_long_comments_beside_an_article_go():
+    comments = f"<div id=comments>{f'<article class=comment-body><p>{P}</p></article>' * 5}</div>"
+    assert main_text(page(f"<article><p>{P}</p><p>{P}</p></article>{comments}")) == f"{P} {P}"
+
+
 def test_references_and_white_space():
     body = f"<article><p>{P}</p><p>a&amp;b &lt;c&gt; &#233;&nbsp;&hellip;\n\t x<b>y</b>z<br>w</p></article>"
     assert main_text(page(body)) == P + " a&b <c> é … xyz w"
