@@ -3,7 +3,8 @@
 A text is made canonical (case, punctuation, copyright lines, equivalent spellings, white
 space) and hashed; the digests are joined with those of known licences. A whole text is
 looked up as such, and each of its lines against the same table, which holds the usual
-one-line notices beside the licence texts.
+one-line notices beside the licence texts. Long licences lie in ``license_texts`` as files
+named by their identifier; those with an appendix on their use are known without it too.
 
 Rules for odd input: NULL and texts without a letter or digit have the digest of the
 empty text and no licence; a licence named twice is listed once; rows that repeat an
@@ -12,6 +13,8 @@ identifier share the licences of their lines; a NULL identifier is one like any
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,7 +97,22 @@ ZLIB = (
     "being the original software. 3. This notice may not be removed or altered from any source "
     "distribution."
 )
-KNOWN_TEXTS = [
+#: Ends the terms of a licence; what follows says how to apply it.
+LAST_TERM = "END OF TERMS AND CONDITIONS"
+
+
+def _long_texts() -> list[tuple[str, str]]:
+    found = []
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = path.read_text("utf-8")
+        terms, end, _ = text.partition(LAST_TERM)
+        found.append((path.stem, text))
+        if end:
+            found += [(path.stem, terms), (path.stem, terms + end)]
+    return found
+
+
+KNOWN_TEXTS = _long_texts() + [
     ("MIT", MIT),
     ("MIT", "MIT License " + MIT),
     ("MIT", "The MIT License (MIT) " + MIT),

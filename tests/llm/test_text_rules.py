@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -163,6 +164,26 @@ def test_whole_texts(spark, text, license):
     assert [x.license for x in found] == [license]
 
 
+def test_whole_texts_of_long_licences(spark):
+    """Rewrapped, with and without the appendix, in the table that the query uses."""
+    names = {
+        "Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1",
+        "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "Artistic": "Artistic-1.0-Perl",
+        "GFDL-1.3": "GFDL-1.3", "CC0-1.0": "CC0-1.0",
+    }
+    rows = []
+    for name, license in names.items():
+        text = Path("/usr/share/common-licenses", name).read_text()
+        rows += [(license, text), (license, re.sub(r"[ \t]*\n[ \t]*", "  \r\n", text))]
+        if licenses.LAST_TERM in text:
+            rows.append((license, text.partition(licenses.LAST_TERM)[0]))
+        rows.append((None, text + "\nAnd one more term."))
+    frame = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "doc_id long, own string, text string")
+    known = licenses.known_licenses(spark)
+    found = licenses.find_licenses(frame, "doc_id", "text", known).collect()
+    assert {x.id: x.license for x in found} == {i: own for i, (own, _) in enumerate(rows)}
+
+
 def test_licences_of_odd_documents(spark, odd_documents, no_documents):
     known = licenses.known_licenses(spark)
     noted = odd_documents.withColumn("text", F.concat("text", F.lit("\nLicensed under CC BY 4.0\nSPDX-License-Identifier: MIT")))
