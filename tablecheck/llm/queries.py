@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from tablecheck.llm import (
     bpe,
+    collocations,
+    conversation_repair,
     decontaminate,
     html_text,
     licenses,
     near_dedup,
     quality_classifier,
     quality_rules,
+    simhash_dedup,
     substring_dedup,
     suffix_dedup,
     warc,
@@ -126,6 +129,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("distance").withColumnRenamed("id", "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with faults put in, and its cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    damaged = conversation_repair.damaged(conversations)
+    return conversation_repair.repair_all(conversations, damaged)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of every language."""
+    return collocations.mine(table(spark, sf_dir, "documents"), "lang", "text")
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of near duplicates of every document."""
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_decontamination": op2_decontamination,
@@ -137,4 +157,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_collocations": op12_collocations,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }

@@ -14,6 +14,7 @@ BY_BRUTE_FORCE = {
     "op5_html_text",
     "op6_quality_classifier",
     "op10_quality_rules",
+    "op13_simhash_dedup",
 }
 
 
