@@ -285,11 +285,12 @@ WITH pieces AS (
 ), words AS (
   SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
   FROM pieces
+), places AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+    lambda p: array_to_string(w[p:p + size - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3)) AS sizes(size) WHERE len(w) >= size
 ), phrases AS (
-  SELECT lang, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS phrase, count(*) AS a
-  FROM words, (VALUES (1), (2), (3)) AS sizes(size),
-    LATERAL (SELECT unnest(range(1, len(w) - size + 2)) AS p)
-  GROUP BY 1, 2, 3
+  SELECT lang, size, phrase, count(*) AS a FROM places GROUP BY 1, 2, 3
 ), totals AS (
   SELECT lang, sum(a)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang
 ), candidates AS (
@@ -297,7 +298,7 @@ WITH pieces AS (
 ), cuts AS (
   SELECT lang, size, phrase, a, k, array_to_string(t[:k], ' ') AS head,
     array_to_string(t[k + 1:], ' ') AS tail
-  FROM candidates, LATERAL (SELECT unnest(range(1, size)) AS k)
+  FROM candidates JOIN (VALUES (1), (2)) AS ks(k) ON k < size
 ), scored AS (
   SELECT c.lang, c.size, c.phrase, c.a, k, x.a AS l, y.a AS r,
     (1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
