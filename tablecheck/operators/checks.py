@@ -69,10 +69,8 @@ def regex_check(
     return multi_rule_check(df, [rule], by).select(*by, *REGEX_COLUMNS)
 
 
-def multi_rule_check(
-    df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()
-) -> DataFrame:
-    """All rules in one scan; one result row per rule (and group)."""
+def rule_counts(rules: Sequence[Rule]) -> list[Column]:
+    """The aggregates that the results of ``rules`` are made of."""
     if not rules:
         raise ValueError("no rules")
     if len({r.label for r in rules}) < len(rules):
@@ -86,6 +84,11 @@ def multi_rule_check(
             # ``empty`` first: the regex runs a second time on empty rows only
             F.count_if(empty & F.coalesce(legal, F.lit(False))).alias(f"both_{i}"),
         ]
+    return counts
+
+
+def rule_results(counted: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+    """One result row per rule for each row of ``rule_counts``."""
     rows = [
         F.struct(
             F.lit(rule.label).alias("rule"),
@@ -96,10 +99,17 @@ def multi_rule_check(
         )
         for i, rule in enumerate(rules)
     ]
-    per_rule = df.groupBy(*by).agg(*counts).select(*by, "total", F.inline(F.array(*rows)))
+    per_rule = counted.select(*by, "total", F.inline(F.array(*rows)))
     return per_rule.select(*by, "rule", "column_name", *_regex_columns())
 
 
+def multi_rule_check(
+    df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()
+) -> DataFrame:
+    """All rules in one scan; one result row per rule (and group)."""
+    return rule_results(df.groupBy(*by).agg(*rule_counts(rules)), rules, by)
+
+
 def illegal_full_match_count(df: DataFrame, column: str, regex: str) -> DataFrame:
     """Rows the sample is drawn from: no full match, NULL read as ``null``."""
     legal = P.regex_full(column, regex, null_text="null")

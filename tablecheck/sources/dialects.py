@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 
 FETCH_SIZE = 5000
 
@@ -37,7 +40,8 @@ def canonical_type(db_type: str) -> str:
     """Lower-case kind of database; Greenplum speaks PostgreSQL."""
     name = db_type.lower()
     name = "postgresql" if name == "greenplum" else name
-    if name not in ("mysql", "postgresql", "oracle", "dameng", "derby", *METASTORE_TYPES):
+    known = ("mysql", "postgresql", "oracle", "dameng", "derby", "sqlserver", *METASTORE_TYPES)
+    if name not in known:
         raise ValueError(f"unknown kind of database: {db_type!r}")
     return name
 
@@ -62,10 +66,11 @@ def driver_of(url: str) -> str:
 
 
 def refined_url(url: str) -> str:
-    """A MySQL URL with the character set parameters it lacks."""
+    """A MySQL URL with the character set parameters it lacks; a parameter that is there
+    keeps its value."""
     if not url.startswith("jdbc:mysql"):
         return url
-    missing = [f"{k}={v}" for k, v in MYSQL_PARAMETERS.items() if f"{k}={v}" not in url]
+    missing = [f"{k}={v}" for k, v in MYSQL_PARAMETERS.items() if not re.search(f"[?&]{k}=", url)]
     if not missing:
         return url
     return url + ("&" if "?" in url else "?") + "&".join(missing)
@@ -104,7 +109,9 @@ def type_of_url(url: str) -> str:
             return kind
     if url.startswith("jdbc:dm"):
         return "dameng"
-    raise ValueError("keyed update is not supported for this kind of database")
+    if url.startswith(("jdbc:sqlserver", "jdbc:microsoft:sqlserver")):
+        return "sqlserver"
+    raise ValueError("this kind of database is not supported")
 
 
 def default_mark_table(db_type: str, source_table: str, mark_table: str = "") -> str:
@@ -120,6 +127,109 @@ def quoted(db_type: str, name: str) -> str:
     return mark + name.replace(mark, mark * 2) + mark
 
 
+def literal(db_type: str, value: object) -> str:
+    """A number, date or time as SQL text."""
+    if isinstance(value, bool) or not isinstance(value, int | float | Decimal | date):
+        raise ValueError(f"no literal of this type: {type(value).__name__}")
+    if isinstance(value, datetime):
+        kind, text = "TIMESTAMP", f"{value:%Y-%m-%d %H:%M:%S.%f}"
+    elif isinstance(value, date):
+        kind, text = "DATE", f"{value:%Y-%m-%d}"
+    else:
+        return format(value, "f") if isinstance(value, Decimal) else repr(value)
+    if db_type == "derby":
+        return f"{kind}('{text}')"
+    if db_type == "sqlserver":
+        return f"CAST('{text}' AS {'DATETIME2' if kind == 'TIMESTAMP' else kind})"
+    return f"{kind} '{text}'"
+
+
+# The hash of a value as text, a whole number within 32 bits and a sign.
+HASHES = {
+    "mysql": "CAST(CRC32({0}) AS SIGNED)",
+    "postgresql": "CAST(hashtext(CAST({0} AS text)) AS bigint)",
+    "oracle": "ORA_HASH({0})",
+    "dameng": "ORA_HASH({0})",
+    "sqlserver": "CAST(CAST(SUBSTRING(HASHBYTES('MD5', CAST({0} AS NVARCHAR(4000))), 1, 4) AS INT)"
+    " AS BIGINT)",
+    "derby": "CAST(TC_HASH({0}) AS BIGINT)",
+}
+
+# Derby has no hash; these are static methods of libraries Spark comes with.
+DERBY_FUNCTIONS = {
+    "TC_HASH": "CREATE FUNCTION TC_HASH(V VARCHAR(32672)) RETURNS INTEGER LANGUAGE JAVA "
+    "PARAMETER STYLE JAVA NO SQL RETURNS NULL ON NULL INPUT "
+    "EXTERNAL NAME 'org.apache.commons.codec.digest.MurmurHash2.hash32'",
+    "TC_TEXT": "CREATE FUNCTION TC_TEXT(V DOUBLE) RETURNS VARCHAR(40) LANGUAGE JAVA "
+    "PARAMETER STYLE JAVA NO SQL RETURNS NULL ON NULL INPUT "
+    "EXTERNAL NAME 'java.lang.Double.toString'",
+}
+
+# Weights of the columns of a hash; primes, so that equal values do not cancel out.
+WEIGHTS = (7919, 104_729, 15_485_863, 32_452_843, 49_979_687, 67_867_967, 86_028_121, 122_949_823)
+
+
+def hash_sql(db_type: str, column: str, data_type: str) -> str:
+    """A whole number that depends on the value of a column; NULL counts as zero."""
+    kind, value = canonical_type(db_type), quoted(canonical_type(db_type), column)
+    if kind != "derby":
+        return f"COALESCE({HASHES[kind].format(value)}, 0)"
+    if data_type in ("float", "double"):
+        text = f"TC_TEXT({value})"
+    else:
+        text = f"CAST({value} AS {'VARCHAR(32672)' if data_type == 'string' else 'CHAR(40)'})"
+    return f"COALESCE({HASHES[kind].format(text)}, 0)"
+
+
+def bucket_sql(db_type: str, types: Mapping[str, str], buckets: int) -> str:
+    """The bucket, from 0, of a row by the values of its columns (name -> type)."""
+    if not types:
+        raise ValueError("no column to deal rows by")
+    parts = [
+        f"{WEIGHTS[i % len(WEIGHTS)]} * {hash_sql(db_type, name, kind)}"
+        for i, (name, kind) in enumerate(types.items())
+    ]
+    total = f"ABS({' + '.join(parts)})"
+    if canonical_type(db_type) == "sqlserver":
+        return f"({total} % {buckets})"
+    return f"MOD({total}, {buckets})"
+
+
+def empty_like_sql(
+    db_type: str, table: str, columns: Sequence[str], new: str, position: str
+) -> str:
+    """A new table with some columns of another one, of their types, and a position."""
+    kind = canonical_type(db_type)
+    listed = ", ".join(quoted(kind, c) for c in columns)
+    whole = {"mysql": "SIGNED", "oracle": "NUMBER(19)"}.get(kind, "BIGINT")
+    chosen = f"SELECT {listed}, CAST(0 AS {whole}) AS {quoted(kind, position)}"
+    if kind == "sqlserver":
+        return f"{chosen} INTO {new} FROM {table} WHERE 1 = 0"
+    if kind == "derby":
+        return f"CREATE TABLE {new} AS {chosen} FROM {table} WITH NO DATA"
+    return f"CREATE TABLE {new} AS {chosen} FROM {table} WHERE 1 = 0"
+
+
+def rename_sql(db_type: str, table: str, new: str) -> str:
+    kind, bare = canonical_type(db_type), new.split(".")[-1]
+    if kind == "sqlserver":
+        return f"EXEC sp_rename '{table}', '{bare}'"
+    if kind == "mysql":
+        return f"RENAME TABLE {table} TO {new}"
+    if kind == "derby":
+        return f"RENAME TABLE {table} TO {bare}"
+    return f"ALTER TABLE {table} RENAME TO {bare}"
+
+
+def lacks_on_conflict(version: str) -> bool:
+    """Whether a database of the PostgreSQL family is too old for ``ON CONFLICT``."""
+    found = re.search(r"Greenplum Database (\d+)", version)
+    if found:
+        return int(found[1]) < 7
+    found = re.search(r"PostgreSQL (\d+)(?:\.(\d+))?", version)
+    return bool(found) and (int(found[1]), int(found[2] or 0)) < (9, 5)
+
+
 def staging_name(table: str) -> str:
     """An unused table name next to ``table``; short enough for old Oracle."""
     schema, dot, _ = table.rpartition(".")
@@ -192,10 +302,27 @@ def merge_sql(
     values = ", ".join(f"s.{n}" for n in names)
     return (
         f"MERGE INTO {table} t USING {staging} s ON ({matched}) {update}"
-        f"WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({values})"
+        f"WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({values}){_end(kind)}"
     )
 
 
+def merge_statements(
+    db_type: str,
+    table: str,
+    staging: str,
+    columns: Sequence[str],
+    key: Sequence[str],
+    old: bool = False,
+) -> list[str]:
+    """``merge_sql``, or an update and an insert where the database is too old for it."""
+    if not old:
+        return [merge_sql(db_type, table, staging, columns, key)]
+    insert = insert_new_sql(db_type, table, staging, columns, key)
+    if all(c in key for c in columns):
+        return [insert]
+    return [update_sql(db_type, table, staging, columns, key), insert]
+
+
 def update_sql(
     db_type: str, table: str, staging: str, columns: Sequence[str], key: Sequence[str]
 ) -> str:
@@ -217,5 +344,10 @@ def update_sql(
     if kind == "postgresql":
         return f"UPDATE {table} AS t SET {sets} FROM {staging} AS s WHERE {matched}"
     return (
-        f"MERGE INTO {table} t USING {staging} s ON ({matched}) WHEN MATCHED THEN UPDATE SET {sets}"
+        f"MERGE INTO {table} t USING {staging} s ON ({matched}) "
+        f"WHEN MATCHED THEN UPDATE SET {sets}{_end(kind)}"
     )
+
+
+def _end(kind: str) -> str:
+    return ";" if kind == "sqlserver" else ""

@@ -1,46 +1,55 @@
-"""JDBC tables: parallel reads, writes, and the keyed merge Spark lacks."""
+"""JDBC tables: parallel reads by any key, writes, and the keyed merge Spark lacks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.sources.dialects import (
-    FETCH_SIZE,
-    insert_all_sql,
-    insert_new_sql,
-    merge_sql,
-    update_sql,
-    quoted,
-    staging_name,
-    type_of_url,
-    unique_key_sql,
+from tablecheck.sources.connection import (
+    Options,
+    add_hash_functions,
+    add_unique_key,
+    drop_table,
+    execute,
+    read_jdbc,
+    read_jdbc_query,
+    read_predicates,
+    reader,
+    table_exists,
+    write_jdbc,
 )
-
-Options = Mapping[str, str]
-
-ROW_POSITION = "tc_row_position"
-
-
-def _reader(spark: SparkSession, options: Options) -> DataFrameReader:
-    return spark.read.format("jdbc").option("fetchsize", FETCH_SIZE).options(**options)
-
-
-def read_jdbc(spark: SparkSession, options: Options, table: str) -> DataFrame:
-    """A whole table through one connection.
-
-    Filters and columns of the returned DataFrame are pushed to the database. For
-    a large table use one of the partitioned reads.
-    """
-    return _reader(spark, options).option("dbtable", table).load()
-
-
-def read_jdbc_query(spark: SparkSession, options: Options, query: str) -> DataFrame:
-    """A SELECT that runs in the database."""
-    return _reader(spark, options).option("query", query).load()
+from tablecheck.sources.dialects import bucket_sql, literal, quoted, type_of_url
+from tablecheck.sources.unit import DatabaseUnit, Key
+
+__all__ = [
+    "DatabaseUnit",
+    "add_unique_key",
+    "append_jdbc",
+    "append_once_jdbc",
+    "drop_table",
+    "execute",
+    "merge_jdbc",
+    "read_bounds",
+    "read_jdbc",
+    "read_jdbc_balanced",
+    "read_jdbc_hashed",
+    "read_jdbc_partitioned",
+    "read_jdbc_query",
+    "replace_jdbc",
+    "table_exists",
+    "update_jdbc",
+    "write_jdbc",
+    "write_marks_jdbc",
+]
+
+#: Slots of the hash by which the rows of one key are told apart.
+SLOTS = 1024
+
+#: Types of keys that rows can be cut by: Spark and the database order them alike.
+ORDERED = ("byte", "short", "integer", "long", "decimal", "float", "double", "date", "timestamp", "timestamp_ntz")
 
 
 def read_bounds(
@@ -58,6 +67,40 @@ def read_bounds(
     return row.withColumn("row_count", F.col("row_count").cast("bigint"))
 
 
+def _types(spark: SparkSession, options: Options, table: str) -> Mapping[str, str]:
+    """Column names and types of a table, from the database's catalogue."""
+    return {f.name: f.dataType.typeName() for f in read_jdbc(spark, options, table).schema}
+
+
+def _tie_columns(types: Mapping[str, str], key: str) -> dict[str, str]:
+    """What tells rows of one key apart: the short columns, else the texts, else the key."""
+    others = {n: t for n, t in types.items() if n != key and t != "binary"}
+    return {n: t for n, t in others.items() if t != "string"} or others or {key: types[key]}
+
+
+def read_jdbc_hashed(
+    spark: SparkSession,
+    options: Options,
+    table: str,
+    columns: Key,
+    partitions: int,
+    where: str = "",
+) -> DataFrame:
+    """A table dealt to ``partitions`` connections by a hash of columns of any type.
+
+    The database computes the hash in the condition of each connection, so no key has to be
+    a number or to be numbered first; the price is that each connection looks at all rows
+    (the index of a key cannot help). Name a second column where one value of the first has
+    a large part of the rows. NULL is a value like any other.
+    """
+    names = [columns] if isinstance(columns, str) else list(columns)
+    types = _types(spark, options, table)
+    add_hash_functions(spark, options)
+    bucket = bucket_sql(type_of_url(options["url"]), {n: types[n] for n in names}, partitions)
+    also = f"({where}) AND " if where else ""
+    return read_predicates(spark, options, table, [f"{also}{bucket} = {i}" for i in range(partitions)])
+
+
 def read_jdbc_partitioned(
     spark: SparkSession,
     options: Options,
@@ -70,17 +113,20 @@ def read_jdbc_partitioned(
     """A table in equal strides of a numeric, date or timestamp column.
 
     Bounds only place the strides; rows outside them, and NULLs, are read too.
-    Without ``bounds`` the database is asked for them.
+    Without ``bounds`` the database is asked for them. Where there is nothing to stride
+    over (all keys equal or NULL), rows are dealt by a hash of the other columns.
     """
     if bounds is None:
         row = read_bounds(spark, options, table, column, where).first()
         bounds = (row["lower_bound"], row["upper_bound"])
-    source = f"(SELECT * FROM {table} WHERE {where}) src" if where else table
-    reader = _reader(spark, options).option("dbtable", source)
     if bounds[0] is None or bounds[0] == bounds[1]:
-        return reader.load()
+        ties = _tie_columns(_types(spark, options, table), column)
+        return read_jdbc_hashed(spark, options, table, list(ties), partitions, where)
+    source = f"(SELECT * FROM {table} WHERE {where}) src" if where else table
     return (
-        reader.option("partitionColumn", column)
+        reader(spark, options)
+        .option("dbtable", source)
+        .option("partitionColumn", column)
         .option("lowerBound", _bound(bounds[0]))
         .option("upperBound", _bound(bounds[1]))
         .option("numPartitions", partitions)
@@ -94,47 +140,53 @@ def _bound(value: object) -> str:
 
 
 def read_jdbc_balanced(
-    spark: SparkSession, options: Options, table: str, column: str, partitions: int
-) -> DataFrame:
-    """A table in ranges of about equal row count, for an unevenly filled numeric key.
-
-    Stands in for numbering the rows inside the database, which sorts the whole
-    table once per partition. The key column alone is read first, for quantiles.
-    """
-    name = quoted(type_of_url(options["url"]), column)
-    keys = read_jdbc_partitioned(spark, options, table, column, partitions).select(column)
-    shares = [i / partitions for i in range(1, partitions)]
-    error = 1 / (10 * partitions)
-    found = keys.where(F.col(column).isNotNull()).approxQuantile(column, shares, error)
-    integral = keys.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
-    cuts = sorted({int(c) if integral else c for c in found})
-    if not cuts:
-        return read_jdbc(spark, options, table)
-    predicates = [f"{name} < {cuts[0]} OR {name} IS NULL"]
-    predicates += [f"{name} >= {a} AND {name} < {b}" for a, b in zip(cuts, cuts[1:])]
-    predicates.append(f"{name} >= {cuts[-1]}")
-    others = {k: v for k, v in options.items() if k != "url"}
-    others["fetchsize"] = str(FETCH_SIZE)
-    return spark.read.jdbc(options["url"], table, predicates=predicates, properties=others)
-
-
-def write_jdbc(
-    df: DataFrame,
+    spark: SparkSession,
     options: Options,
     table: str,
-    mode: str = "append",
-    partitions: int | None = None,
-    **extra: str,
-) -> None:
-    """Write through one connection per partition.
-
-    A retried task writes its rows again; the functions below do not let that
-    reach the target.
+    column: str,
+    partitions: int,
+    ties: Sequence[str] | None = None,
+) -> DataFrame:
+    """A table in ranges of about equal row count, however unevenly its key is filled.
+
+    Stands in for numbering the rows inside the database, which sorts the whole table once
+    per partition. Rows are cut by (key, hash of ``ties``), so a key that most rows share,
+    or NULL, is cut too; a range inside one key looks at that key's rows only. Key and hash
+    alone are read first, in parallel, and ranges of them made by a range shuffle, of which
+    the driver sees the first value of each. ``ties`` defaults to the other columns, texts
+    only if there are no others.
     """
-    writer = df.write.format("jdbc").mode(mode).option("dbtable", table)
-    if partitions:
-        writer = writer.option("numPartitions", partitions)
-    writer.options(**options, **extra).save()
+    kind, types = type_of_url(options["url"]), _types(spark, options, table)
+    if types[column] not in ORDERED:
+        raise ValueError(f"{column} is {types[column]}; read it by read_jdbc_hashed")
+    chosen = {n: types[n] for n in ties} if ties else _tie_columns(types, column)
+    add_hash_functions(spark, options)
+    name, slot = quoted(kind, column), bucket_sql(kind, chosen, SLOTS)
+    edges = [SLOTS * i // partitions for i in range(partitions + 1)]
+    dealt = [f"tc_slot >= {a} AND tc_slot < {b}" for a, b in zip(edges, edges[1:])]
+    source = f"(SELECT {name} AS tc_key, {slot} AS tc_slot FROM {table}) src"
+    keys = read_predicates(spark, options, source, dealt).toDF("tc_key", "tc_slot")
+    ranged = keys.repartitionByRange(partitions, "tc_key", "tc_slot")
+    first = ranged.groupBy(F.spark_partition_id()).agg(F.min(F.struct("*")).alias("first"))
+    starts = first.select("first.*").distinct().orderBy("tc_key", "tc_slot").collect()
+    cuts = [(r["tc_key"], int(r["tc_slot"])) for r in starts][1:]
+
+    def below(key: object, place: int) -> str:
+        if key is None:
+            return f"({name} IS NULL AND {slot} < {place})"
+        value = literal(kind, key)
+        return f"({name} IS NULL OR {name} < {value} OR ({name} = {value} AND {slot} < {place}))"
+
+    def from_(key: object, place: int) -> str:
+        if key is None:
+            return f"({name} IS NOT NULL OR {slot} >= {place})"
+        value = literal(kind, key)
+        return f"({name} > {value} OR ({name} = {value} AND {slot} >= {place}))"
+
+    conditions = [[from_(*a)] if a else [] for a in [None, *cuts]]
+    for condition, end in zip(conditions, cuts):
+        condition.append(below(*end))
+    return read_predicates(spark, options, table, [" AND ".join(c) or "1 = 1" for c in conditions])
 
 
 def append_jdbc(
@@ -145,20 +197,10 @@ def append_jdbc(
     isolation: str | None = None,
     **extra: str,
 ) -> None:
-    """Append all rows, equal ones included, each exactly once.
-
-    Staged rows carry their position, by which rows of a retried task are told
-    from equal rows. ``df`` has to give its rows in the same order when a task
-    runs again, as a scan does; write it to a table first where it does not.
-    """
-    kind = type_of_url(options["url"])
-    numbered = df.withColumn(ROW_POSITION, F.monotonically_increasing_id())
-    write_jdbc(df.limit(0), options, table, "append", **extra)  # makes a missing table
-
-    def statement(staged: str) -> str:
-        return insert_all_sql(kind, table, staged, df.columns)
-
-    _through_staging(numbered, options, table, statement, partitions, isolation, extra)
+    """Append all rows, equal ones included, each exactly once (see ``DatabaseUnit``)."""
+    with DatabaseUnit(df.sparkSession, options, isolation) as unit:
+        unit.append(df, table, partitions, **extra)
+        unit.commit()
 
 
 def replace_jdbc(
@@ -179,142 +221,27 @@ def write_marks_jdbc(marks: DataFrame, options: Options, table: str, **extra: st
 
 
 def append_once_jdbc(
-    df: DataFrame,
-    options: Options,
-    table: str,
-    key: str | Sequence[str],
-    partitions: int | None = None,
-    **extra: str,
+    df: DataFrame, options: Options, table: str, key: Key, partitions: int | None = None
 ) -> None:
     """Append the rows whose key is new; the whole job may run again after a failure."""
-    kind, keys = type_of_url(options["url"]), _names(key)
-
-    def statement(staged: str) -> str:
-        return insert_new_sql(kind, table, staged, df.columns, keys)
-
-    _through_staging(df, options, table, statement, partitions, None, extra)
+    with DatabaseUnit(df.sparkSession, options) as unit:
+        unit.append_new(df, table, key, partitions)
+        unit.commit()
 
 
 def merge_jdbc(
-    df: DataFrame,
-    options: Options,
-    table: str,
-    key: str | Sequence[str],
-    partitions: int | None = None,
-    **extra: str,
+    df: DataFrame, options: Options, table: str, key: Key, partitions: int | None = None
 ) -> None:
-    """Update rows of ``table`` by key and insert new ones. ``df`` has one row per key.
-
-    Put a unique index on the key first (``add_unique_key``): without it some
-    databases refuse, others compare all rows with all rows.
-    """
-    kind, keys = type_of_url(options["url"]), _names(key)
-
-    def statement(staged: str) -> str:
-        return merge_sql(kind, table, staged, df.columns, keys)
-
-    _through_staging(df, options, table, statement, partitions, None, extra)
+    """Update rows of ``table`` by key and insert new ones. ``df`` has one row per key."""
+    with DatabaseUnit(df.sparkSession, options) as unit:
+        unit.merge(df, table, key, partitions)
+        unit.commit()
 
 
 def update_jdbc(
-    df: DataFrame,
-    options: Options,
-    table: str,
-    key: str | Sequence[str],
-    partitions: int | None = None,
-    **extra: str,
-) -> None:
-    """Update existing rows of ``table`` by key with the other columns of ``df``.
-
-    Inserts nothing, so ``df`` needs the key and the changed columns only. It has one
-    row per key; put a unique index on the key first (``add_unique_key``).
-    """
-    kind, keys = type_of_url(options["url"]), _names(key)
-
-    def statement(staged: str) -> str:
-        return update_sql(kind, table, staged, df.columns, keys)
-
-    _through_staging(df, options, table, statement, partitions, None, extra)
-
-
-def _names(key: str | Sequence[str]) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
-
-
-def _through_staging(
-    df: DataFrame,
-    options: Options,
-    table: str,
-    statement: Callable[[str], str],
-    partitions: int | None,
-    isolation: str | None,
-    extra: Options,
-) -> None:
-    """Executors append to a staging table; the database drops what a retried task
-    wrote twice and takes the rest over in one transaction. So the target changes
-    once or not at all.
-    """
-    spark = df.sparkSession
-    written, staged = staging_name(table), staging_name(table)
-    try:
-        write_jdbc(df, options, written, "overwrite", partitions, **extra)
-        write_jdbc(df.limit(0), options, staged, "overwrite", **extra)
-        distinct = f"INSERT INTO {staged} SELECT DISTINCT * FROM {written}"
-        execute(spark, options, [distinct, statement(staged)], isolation)
-    finally:
-        for name in (written, staged):
-            drop_table(spark, options, name)
-
-
-def add_unique_key(
-    spark: SparkSession, options: Options, table: str, key: str | Sequence[str]
-) -> None:
-    execute(spark, options, [unique_key_sql(type_of_url(options["url"]), table, _names(key))])
-
-
-def table_exists(spark: SparkSession, options: Options, table: str) -> bool:
-    try:
-        read_jdbc_query(spark, options, f"SELECT * FROM {table} WHERE 1 = 0").schema
-    except Exception:
-        return False
-    return True
-
-
-def drop_table(spark: SparkSession, options: Options, table: str) -> None:
-    """Drop a table if it is there."""
-    if table_exists(spark, options, table):
-        execute(spark, options, [f"DROP TABLE {table}"])
-
-
-def execute(
-    spark: SparkSession,
-    options: Options,
-    statements: Sequence[str],
-    isolation: str | None = None,
+    df: DataFrame, options: Options, table: str, key: Key, partitions: int | None = None
 ) -> None:
-    """Run statements in one transaction, once, from the driver. No rows pass it."""
-    jvm = spark._jvm
-    login = jvm.java.util.Properties()
-    for name in ("user", "password"):
-        if name in options:
-            login.setProperty(name, options[name])
-    # The driver class may come from --jars, which only this loader sees.
-    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    driver = loader.loadClass(options["driver"]).newInstance()
-    connection = driver.connect(options["url"], login)
-    if connection is None:
-        raise ValueError("the JDBC driver does not accept the URL")
-    try:
-        connection.setAutoCommit(False)
-        if isolation:
-            level = getattr(jvm.java.sql.Connection, f"TRANSACTION_{isolation}")
-            connection.setTransactionIsolation(level)
-        statement = connection.createStatement()
-        for sql in statements:
-            statement.execute(sql)
-        connection.commit()
-    except Exception:
-        connection.rollback()
-        raise
-    finally:
-        connection.close()
+    """Update existing rows of ``table`` by key; a row deleted meanwhile stays gone."""
+    with DatabaseUnit(df.sparkSession, options) as unit:
+        unit.update(df, table, key, partitions)
+        unit.commit()

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from tablecheck import Rule
 from tablecheck.functions import predicates as P
+from tablecheck.operators import checks
 from tablecheck.operators.upsert import upsert_by_key
 from tablecheck.plans import jobs
 from tablecheck.sources import files, jdbc
-from workload.database import load
+from workload.database import database, load
 from workload.tables import stateful_orders
 
 TIME = "2024-06-01 12:00:00"
@@ -46,6 +47,81 @@ def test_regex_job_without_sinks_or_key(spark, sf_dir):
         run_regex_job(orders, jobs.CheckSinks(), key=" ")
 
 
+def test_counts_are_collected_while_the_marks_are_written(spark, sf_dir, tmp_path):
+    """Two reads of the source: marks with counts, and the sample."""
+    orders = stateful_orders(spark, sf_dir)
+    folder, tracker = str(tmp_path), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("regex job", "")
+    names = ("marks", "macro", "detail", "result")
+    sinks = {n: (lambda df, n=n: df.write.parquet(f"{folder}/{n}")) for n in names}
+    counts = run_regex_job(orders, jobs.CheckSinks(**sinks))
+    spark.sparkContext.setJobGroup("other", "")
+    store = spark._jsc.sc().statusStore()
+    rows = []
+    for job in tracker.getJobIdsForGroup("regex job"):
+        for stage in tracker.getJobInfo(job).stageIds:
+            rows.append(store.lastStageAttempt(stage).inputRecords())
+    assert sorted(r for r in rows if r >= 15_000) == [15_000, 15_000]
+    assert counts == checks.regex_check(orders, "checked", "^[12]-").first()
+
+
+@pytest.mark.parametrize("mode", ["find", "full"])
+def test_counts_of_the_job_are_those_of_the_check(spark, sf_dir, mode):
+    orders = stateful_orders(spark, sf_dir).repartition(3)
+    rule = Rule("checked", regex="[12]-.*|", mode=mode, message="bad")
+    for source in (orders, orders.limit(0)):
+        got = []
+        counts = jobs.regex_check_job(
+            source, rule, "checked", job_id="j", task_name="t", check_time=TIME,
+            sinks=jobs.CheckSinks(marks=lambda df: got.extend(df.collect())),
+        )
+        check = checks.regex_check(source, "checked", rule.regex, mode=mode).first()
+        assert counts == check and len(got) == check.illegal_strict
+
+
+def database_job(spark, orders, tables, mode="find"):
+    options = database(spark)
+    rule = Rule("checked", regex="^[12]-.*", mode=mode, message="bad")
+    counts = jobs.regex_check_to_database(
+        orders, rule, "o_orderkey", options, "T_SOURCE", tables,
+        job_id="j", task_name="t", check_time=TIME,
+    )
+    return counts
+
+
+def test_database_results_arrive_together(spark, sf_dir):
+    orders = stateful_orders(spark, sf_dir)
+    options = database(spark)
+    for name in ("CHK_T_SOURCE", "T_MACRO", "T_DETAIL"):
+        jdbc.drop_table(spark, options, name)
+    load(spark.createDataFrame([("old", "{}", 1.0)], RESULT), "T_RESULT", key="spark_job_id")
+    tables = jobs.ResultTables(macro="T_MACRO", detail="T_DETAIL", result="T_RESULT")
+    sizes = lambda: [jdbc.read_jdbc(spark, options, n).count() for n in NAMES]
+    counts = database_job(spark, orders, tables)
+    marks = counts.illegal_strict + orders.where("checked = ''").count()
+    assert sizes() == [marks, 3, 100, 2]
+    database_job(spark, orders, tables)
+    assert sizes() == [2 * marks, 6, 200, 2]
+    # a third target that refuses its rows: no target changes
+    limit = "ALTER TABLE T_DETAIL ADD CONSTRAINT FULL_TABLE CHECK (LENGTH(\"jobId\") > 1)"
+    jdbc.execute(spark, options, ["DELETE FROM T_DETAIL", limit])
+    with pytest.raises(Exception, match="FULL_TABLE"):
+        database_job(spark, orders, tables, "full")
+    assert sizes() == [2 * marks, 6, 0, 2]
+
+
+def test_marks_go_to_the_named_table(spark, sf_dir):
+    options = database(spark)
+    jdbc.drop_table(spark, options, "T_MY_MARKS")
+    orders = stateful_orders(spark, sf_dir)
+    database_job(spark, orders, jobs.ResultTables(marks="T_MY_MARKS"))
+    assert jdbc.read_jdbc(spark, options, "T_MY_MARKS").count() > 0
+
+
+RESULT = "spark_job_id string, result string, score double"
+NAMES = ("CHK_T_SOURCE", "T_MACRO", "T_DETAIL", "T_RESULT")
+
+
 def test_state_job_on_files_can_be_repeated(spark, sf_dir, tmp_path):
     orders = stateful_orders(spark, sf_dir).select("o_orderkey", "checked", "jcsjc")
     counts = []

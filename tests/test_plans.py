@@ -55,12 +55,22 @@ def test_marks_are_map_only_and_read_two_columns(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in text
 
 
-def test_sample_is_a_top_k_that_finds_keys_first(spark, sf_dir):
+def test_sample_is_a_top_k(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     text = plan(marks.illegal_sample(orders, "o_orderpriority", "1.*", "o_orderkey"))
-    assert text.count("TakeOrderedAndProject") >= 2 and "Exchange" not in text
+    assert text.count("TakeOrderedAndProject") == 1 and "Exchange" not in text
+    assert scans(text) == 1
+
+
+def test_sample_of_a_clustered_table_finds_keys_first(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    found = marks.illegal_sample(orders, "o_orderpriority", "1.*", "o_orderkey", clustered=True)
+    text = plan(found)
+    assert text.count("TakeOrderedAndProject") >= 2
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in text
     assert re.search(r"LessThanOrEqual\(o_orderkey,ScalarSubquery", text)
+    plain = marks.illegal_sample(orders, "o_orderpriority", "1.*", "o_orderkey")
+    assert found.collect() == plain.collect()
 
 
 @pytest.mark.parametrize("name", ["null_check_with_state", "blank_check_with_state"])

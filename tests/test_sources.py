@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecheck import session
-from tablecheck.sources import dialects, files, jdbc, tables
-from workload.database import database, load, text_types
+from tablecheck.sources import dialects, files, jdbc, tables, unit
+from workload.database import database, load
+from workload.tables import dirty_customer
 
 
 def rows(df):
@@ -38,7 +39,8 @@ def test_unknown_database():
     with pytest.raises(ValueError):
         dialects.jdbc_url("hive2", "h", 1, "d")
     with pytest.raises(ValueError):
-        dialects.type_of_url("jdbc:sqlserver://h")
+        dialects.type_of_url("jdbc:db2://h")
+    assert dialects.type_of_url("jdbc:sqlserver://h") == "sqlserver"
 
 
 @pytest.mark.parametrize(
@@ -64,6 +66,10 @@ def test_driver_of_url(url, driver):
             "jdbc:mysql://h/d?useUnicode=true&characterEncoding=utf8",
         ),
         ("jdbc:postgresql://h/d", "jdbc:postgresql://h/d"),
+        (
+            "jdbc:mysql://h/d?characterEncoding=gbk",
+            "jdbc:mysql://h/d?characterEncoding=gbk&useUnicode=true",
+        ),
     ],
 )
 def test_character_set_parameters(url, refined):
@@ -110,7 +116,7 @@ def test_partitioned_read_is_whole(spark):
     for bounds in (None, (0, 100), (5, 5)):
         got = jdbc.read_jdbc_partitioned(spark, options, "T_PARTS", "id", 5, bounds)
         assert rows(got) == rows(df)
-        assert got.rdd.getNumPartitions() == (1 if bounds == (5, 5) else 5)
+        assert got.rdd.getNumPartitions() == 5
     some = jdbc.read_jdbc_partitioned(spark, options, "T_PARTS", "id", 3, where='"id" >= 990')
     assert rows(some) == rows(df.where("id >= 990"))
     assert tuple(jdbc.read_bounds(spark, options, "T_PARTS", "id", '"id" > 10').first()) == (11, 999, 989)
@@ -149,6 +155,170 @@ def test_balanced_read_has_even_partitions(spark):
     assert len(sizes) == 4 and max(sizes) < 1500
 
 
+def partition_sizes(df):
+    found = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return sorted(r["count"] for r in found)
+
+
+def test_hashed_read_of_a_text_key(spark):
+    """A third of the keys are one text, a third NULL; a second column tells them apart."""
+    df = spark.range(6000).select(
+        F.expr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN 'key ' || id END").alias("k"), "id"
+    )
+    options = load(df, "T_HASHED", types={})
+    got = jdbc.read_jdbc_hashed(spark, options, "T_HASHED", ["k", "id"], 5)
+    assert rows(got) == rows(df)
+    sizes = partition_sizes(got)
+    assert len(sizes) == 5 and sizes[-1] < 1.2 * sizes[0]
+    alone = jdbc.read_jdbc_hashed(spark, options, "T_HASHED", "k", 4, '"id" >= 3000')
+    assert rows(alone) == rows(df.where("id >= 3000")) and alone.rdd.getNumPartitions() == 4
+
+
+def test_hashed_read_by_every_type(spark):
+    df = spark.range(400).select(
+        "id",
+        (F.col("id") * 4).cast("int").alias("i"),
+        (F.col("id") / 7).alias("f"),
+        F.col("id").cast("decimal(20,4)").alias("d"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+        F.timestamp_seconds(F.col("id") * 86_401).cast("timestamp_ntz").alias("t"),
+        (F.col("id") % 2 == 0).alias("b"),
+    )
+    options = load(df, "T_HASH_TYPES")
+    for column in df.columns:
+        got = jdbc.read_jdbc_hashed(spark, options, "T_HASH_TYPES", column, 4)
+        assert rows(got) == rows(df), column
+        sizes = partition_sizes(got)
+        assert column == "b" or (len(sizes) == 4 and sizes[-1] < 2 * sizes[0]), (column, sizes)
+
+
+@pytest.mark.parametrize("hot", ["5", "NULL"])
+def test_balanced_read_cuts_a_hot_key(spark, hot):
+    """Nine tenths of the rows on one key, the others far apart."""
+    df = spark.range(5000).selectExpr(
+        f"CASE WHEN id % 10 > 0 THEN {hot} ELSE id * id END AS k", "id AS v"
+    )
+    options = load(df, "T_HOT")
+    for ties in (None, ["v"]):
+        got = jdbc.read_jdbc_balanced(spark, options, "T_HOT", "k", 6, ties)
+        assert rows(got) == rows(df)
+        sizes = partition_sizes(got)
+        assert len(sizes) == 6 and sizes[-1] < 2 * sizes[3]
+
+
+def test_no_read_of_equal_keys_falls_to_one_connection(spark):
+    df = spark.range(900).selectExpr("CAST(NULL AS bigint) AS n", "7L AS same", "id AS v")
+    options = load(df, "T_SAME")
+    for column in ("n", "same"):
+        for read in (jdbc.read_jdbc_partitioned, jdbc.read_jdbc_balanced):
+            got = read(spark, options, "T_SAME", column, 3)
+            assert rows(got) == rows(df)
+            sizes = partition_sizes(got)
+            assert len(sizes) == 3 and sizes[-1] < 2 * sizes[1]
+
+
+def test_balanced_read_by_dates_and_times(spark):
+    df = spark.range(1000).selectExpr(
+        "date_add(date'2020-01-01', CAST(id * id / 500 AS int)) AS day",
+        "timestampadd(SECOND, CAST(id * id AS int), timestamp_ntz'2020-01-01 00:00:00.5') AS t",
+        "CAST(id AS string) AS s",
+    )
+    options = load(df, "T_TIMES")
+    for column in ("day", "t"):
+        got = jdbc.read_jdbc_balanced(spark, options, "T_TIMES", column, 4)
+        assert rows(got) == rows(df)
+        sizes = partition_sizes(got)
+        assert len(sizes) == 4 and sizes[-1] < 2 * sizes[1]
+    with pytest.raises(ValueError, match="read_jdbc_hashed"):
+        jdbc.read_jdbc_balanced(spark, options, "T_TIMES", "s", 4)
+
+
+def test_hash_text_per_database():
+    def bucket(kind, **types):
+        return dialects.bucket_sql(kind, types, 4)
+
+    assert bucket("mysql", k="string") == "MOD(ABS(7919 * COALESCE(CAST(CRC32(`k`) AS SIGNED), 0)), 4)"
+    assert bucket("greenplum", k="long") == (
+        'MOD(ABS(7919 * COALESCE(CAST(hashtext(CAST("k" AS text)) AS bigint), 0)), 4)'
+    )
+    for kind in ("oracle", "dameng"):
+        assert bucket(kind, a="string", b="date") == (
+            'MOD(ABS(7919 * COALESCE(ORA_HASH("a"), 0) + 104729 * COALESCE(ORA_HASH("b"), 0)), 4)'
+        )
+    assert bucket("sqlserver", k="string").endswith(" % 4)")
+    with pytest.raises(ValueError):
+        bucket("mysql")
+
+
+def test_literals_per_database():
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    day, time = date(2024, 2, 3), datetime(2024, 2, 3, 4, 5, 6, 70)
+    assert dialects.literal("oracle", Decimal("1E+3")) == "1000"
+    assert dialects.literal("mysql", -5) == "-5"
+    assert dialects.literal("postgresql", day) == "DATE '2024-02-03'"
+    assert dialects.literal("derby", day) == "DATE('2024-02-03')"
+    assert dialects.literal("oracle", time) == "TIMESTAMP '2024-02-03 04:05:06.000070'"
+    assert dialects.literal("sqlserver", time) == "CAST('2024-02-03 04:05:06.000070' AS DATETIME2)"
+    for value in ("x", True, None):
+        with pytest.raises(ValueError):
+            dialects.literal("mysql", value)
+
+
+def test_staging_text_per_database():
+    def like(kind):
+        return dialects.empty_like_sql(kind, "t", ["a"], "n", "p")
+
+    assert like("mysql") == "CREATE TABLE n AS SELECT `a`, CAST(0 AS SIGNED) AS `p` FROM t WHERE 1 = 0"
+    assert like("oracle") == 'CREATE TABLE n AS SELECT "a", CAST(0 AS NUMBER(19)) AS "p" FROM t WHERE 1 = 0'
+    assert like("derby").endswith("WITH NO DATA") and "INTO n FROM t" in like("sqlserver")
+    assert dialects.rename_sql("mysql", "s.a", "s.b") == "RENAME TABLE s.a TO s.b"
+    assert dialects.rename_sql("derby", "S.A", "S.B") == "RENAME TABLE S.A TO B"
+    assert dialects.rename_sql("greenplum", "s.a", "s.b") == "ALTER TABLE s.a RENAME TO b"
+    assert dialects.rename_sql("sqlserver", "s.a", "s.b") == "EXEC sp_rename 's.a', 'b'"
+
+
+@pytest.mark.parametrize(
+    "version, old",
+    [
+        ("PostgreSQL 8.3.23 (Greenplum Database 5.28.6 build ...) on x86_64", True),
+        ("PostgreSQL 9.4.26 (Greenplum Database 6.25.3 build ...) on x86_64", True),
+        ("PostgreSQL 12.12 (Greenplum Database 7.1.0 build ...) on x86_64", False),
+        ("PostgreSQL 9.4.1 on x86_64", True),
+        ("PostgreSQL 9.5 on x86_64", False),
+        ("PostgreSQL 16.2 (Debian 16.2-1) on x86_64", False),
+    ],
+)
+def test_merge_of_old_members_of_the_family(version, old):
+    assert dialects.lacks_on_conflict(version) == old
+    sql = dialects.merge_statements("greenplum", "t", "s", ["k", "v"], ["k"], old)
+    if old:
+        assert [text.split()[0] for text in sql] == ["UPDATE", "INSERT"]
+        assert "NOT EXISTS" in sql[1]
+        assert len(dialects.merge_statements("greenplum", "t", "s", ["k"], ["k"], True)) == 1
+    else:
+        assert len(sql) == 1 and "ON CONFLICT" in sql[0]
+
+
+def test_merge_as_update_and_insert(spark, monkeypatch):
+    """The statements for an old database, on the embedded one's syntax for an update."""
+    real = unit.merge_statements
+    monkeypatch.setattr(unit, "merge_statements", lambda *a: real(*a[:-1], True))
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    options = load(target, "T_OLD", key="k")
+    jdbc.merge_jdbc(spark.createDataFrame([(2, "B"), (3, "C")], target.schema), options, "T_OLD", "k")
+    assert rows(jdbc.read_jdbc(spark, options, "T_OLD")) == [(1, "a"), (2, "B"), (3, "C")]
+
+
+def test_whether_a_table_exists(spark):
+    options = load(spark.range(1), "T_THERE_IS")
+    assert jdbc.table_exists(spark, options, "T_THERE_IS") and jdbc.table_exists(spark, options, "APP.t_there_is")
+    assert not jdbc.table_exists(spark, options, "TXTHERE_IS") and not jdbc.table_exists(spark, options, "T_THERE%")
+    with pytest.raises(Exception):
+        jdbc.table_exists(spark, {**options, "driver": "no.such.Driver"}, "T_THERE_IS")
+
+
 def test_filter_and_columns_reach_the_database(spark):
     options = load(spark.range(100).withColumn("v", F.col("id")), "T_PUSH")
     plan = jdbc.read_jdbc(spark, options, "T_PUSH").where("id > 90").select("id")
@@ -162,49 +332,111 @@ def test_merge_updates_inserts_and_repeats(spark):
     updates = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
     options = load(target, "T_MERGE", key="k")
     for _ in range(2):
-        jdbc.merge_jdbc(updates, options, "T_MERGE", "k", **text_types(updates))
+        jdbc.merge_jdbc(updates, options, "T_MERGE", "k")
         assert rows(jdbc.read_jdbc(spark, options, "T_MERGE")) == [(1, "a"), (2, "B"), (3, "C")]
 
 
 def test_merge_by_two_columns(spark):
     target = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], "k int, l string, v int")
     updates = spark.createDataFrame([(1, "b", 9), (2, "a", 9)], "k int, l string, v int")
-    options = load(target, "T_TWO")
+    options = load(target, "T_TWO", types={"createTableColumnTypes": "`l` VARCHAR(99)"})
     jdbc.add_unique_key(spark, options, "T_TWO", ["k", "l"])
-    jdbc.merge_jdbc(updates, options, "T_TWO", ["k", "l"], **text_types(updates))
+    jdbc.merge_jdbc(updates, options, "T_TWO", ["k", "l"])
     assert rows(jdbc.read_jdbc(spark, options, "T_TWO")) == [(1, "a", 0), (1, "b", 9), (2, "a", 9)]
 
 
-def test_merge_takes_rows_a_retried_task_wrote_twice(spark):
+def writing_twice(monkeypatch, times=1):
+    """The first task of a write commits, is lost, and runs again, ``times`` times over."""
+    real, left = unit.write_jdbc, [times]
+
+    def write(frame, options, table, mode="append", partitions=None, **extra):
+        real(frame, options, table, mode, partitions, **extra)
+        if unit.ROW_POSITION in frame.columns and left[0]:
+            left[0] -= 1
+            first = frame.where(F.shiftright(unit.ROW_POSITION, unit.PIECE_BITS) == 0)
+            real(first, options, table, "append", partitions, **extra)
+
+    monkeypatch.setattr(unit, "write_jdbc", write)
+    return left
+
+
+def test_merge_takes_rows_a_retried_task_wrote_twice(spark, monkeypatch):
     options = load(spark.createDataFrame([(1, "a")], "k int, v string"), "T_TWICE", key="k")
-    updates = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (2, "y")], "k int, v string")
-    jdbc.merge_jdbc(updates, options, "T_TWICE", "k", **text_types(updates))
+    updates = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    left = writing_twice(monkeypatch)
+    jdbc.merge_jdbc(updates, options, "T_TWICE", "k")
     assert rows(jdbc.read_jdbc(spark, options, "T_TWICE")) == [(1, "x"), (2, "y")]
+    assert left == [0]
 
 
 def test_failed_merge_changes_nothing(spark):
     options = load(spark.createDataFrame([(1, "a")], "k int, v string"), "T_FAIL", key="k")
     updates = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
     with pytest.raises(Exception):
-        jdbc.merge_jdbc(updates, options, "T_FAIL", "k", **text_types(updates))
+        jdbc.merge_jdbc(updates, options, "T_FAIL", "k")
     assert rows(jdbc.read_jdbc(spark, options, "T_FAIL")) == [(1, "a")]
 
 
-def test_append_keeps_equal_rows_but_not_those_of_a_retry(spark, monkeypatch):
+@pytest.mark.parametrize("times", [1, 3])
+def test_append_keeps_equal_rows_but_not_those_of_a_retry(spark, monkeypatch, times):
     options = load(spark.range(0), "T_APPEND")
-    df = spark.range(6).select((F.col("id") % 2).alias("id"))
+    df = spark.range(60).repartition(4).select((F.col("id") % 2).alias("id"))
     jdbc.append_jdbc(df, options, "T_APPEND")
-    assert rows(jdbc.read_jdbc(spark, options, "T_APPEND")) == [(0,)] * 3 + [(1,)] * 3
-    real = jdbc.write_jdbc
+    left = writing_twice(monkeypatch, times)
+    jdbc.append_jdbc(df, options, "T_APPEND", isolation="SERIALIZABLE")
+    assert rows(jdbc.read_jdbc(spark, options, "T_APPEND")) == [(0,)] * 60 + [(1,)] * 60
+    assert left == [0]
 
-    def twice(frame, options, table, mode="append", partitions=None, **extra):
-        real(frame, options, table, mode, partitions, **extra)
-        if mode == "overwrite":
-            real(frame, options, table, "append", partitions, **extra)
 
-    monkeypatch.setattr(jdbc, "write_jdbc", twice)
-    jdbc.append_jdbc(df, options, "T_APPEND", isolation="SERIALIZABLE")
-    assert rows(jdbc.read_jdbc(spark, options, "T_APPEND")) == [(0,)] * 6 + [(1,)] * 6
+def test_append_of_null_and_long_texts_in_any_order(spark, sf_dir, monkeypatch):
+    customers = dirty_customer(spark, sf_dir).withColumn("long", F.expr("repeat(name, 2000)"))
+    mixed = customers.unionByName(customers).repartition(5, F.rand())
+    options = database(spark)
+    jdbc.drop_table(spark, options, "T_DIRTY")
+    writing_twice(monkeypatch)
+    jdbc.append_jdbc(mixed, options, "T_DIRTY", partitions=3)
+    back = jdbc.read_jdbc_hashed(spark, options, "T_DIRTY", ["id"], 3)
+    assert back.exceptAll(mixed).isEmpty() and mixed.exceptAll(back).isEmpty()
+
+
+def test_writer_that_is_late_reaches_nothing(spark, monkeypatch):
+    """A lost task that goes on after its table was renamed fails; the append stands."""
+    options = load(spark.range(0), "T_LATE")
+    real, names = unit.DatabaseUnit._fenced, []
+
+    def fenced(self, name):
+        new = real(self, name)
+        names.append(name)
+        late = spark.range(3).withColumn(unit.ROW_POSITION, F.col("id"))
+        with pytest.raises(Exception):
+            jdbc.execute(spark, options, [f"INSERT INTO {name} VALUES (1, 1)"])
+        return new
+
+    monkeypatch.setattr(unit.DatabaseUnit, "_fenced", fenced)
+    jdbc.append_jdbc(spark.range(5), options, "T_LATE")
+    assert rows(jdbc.read_jdbc(spark, options, "T_LATE")) == [(i,) for i in range(5)]
+    assert names
+
+
+def test_unit_changes_all_tables_or_none(spark):
+    options = load(spark.range(2), "T_UNIT_A")
+    load(spark.createDataFrame([(1, 0)], "k int, v int"), "T_UNIT_B", key="k")
+    more, conflict = spark.range(2, 5), spark.createDataFrame([(2, 1), (2, 2)], "k int, v int")
+    with pytest.raises(Exception), jdbc.DatabaseUnit(spark, options) as changes:
+        changes.append(more, "T_UNIT_A")
+        changes.merge(conflict, "T_UNIT_B", "k")
+        changes.commit()
+    assert rows(jdbc.read_jdbc(spark, options, "T_UNIT_A")) == [(0,), (1,)]
+    with jdbc.DatabaseUnit(spark, options) as changes:
+        changes.append(more, "T_UNIT_A")
+        changes.merge(conflict.where("v = 2"), "T_UNIT_B", "k")
+    assert jdbc.read_jdbc(spark, options, "T_UNIT_A").count() == 2  # never committed
+    with jdbc.DatabaseUnit(spark, options, "SERIALIZABLE") as changes:
+        changes.append(more, "T_UNIT_A")
+        changes.merge(conflict.where("v = 2"), "T_UNIT_B", "k")
+        changes.commit()
+    assert jdbc.read_jdbc(spark, options, "T_UNIT_A").count() == 5
+    assert rows(jdbc.read_jdbc(spark, options, "T_UNIT_B")) == [(1, 0), (2, 2)]
 
 
 def test_append_makes_a_missing_table(spark):
@@ -218,7 +450,7 @@ def test_append_once_keeps_old_rows(spark):
     options = load(spark.createDataFrame([(1, "a")], "k int, v string"), "T_ONCE", key="k")
     new = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     for _ in range(2):
-        jdbc.append_once_jdbc(new, options, "T_ONCE", "k", **text_types(new))
+        jdbc.append_once_jdbc(new, options, "T_ONCE", "k")
         assert rows(jdbc.read_jdbc(spark, options, "T_ONCE")) == [(1, "a"), (2, "y")]
 
 

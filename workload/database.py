@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablecheck.session import is_single_process
 from tablecheck.sources.dialects import options_from_url
-from tablecheck.sources.jdbc import add_unique_key, write_jdbc
+from tablecheck.sources.connection import add_unique_key, write_jdbc
 
 SETTING = "spark.tablecheck.jdbc"
 EMBEDDED = "jdbc:derby:memory:tablecheck;create=true"
@@ -34,14 +34,11 @@ def database(spark: SparkSession) -> dict[str, str]:
     return options_from_url(EMBEDDED, **READ_OPTIONS)
 
 
-def text_types(df: DataFrame, size: int = 200) -> dict[str, str]:
-    """Text columns as VARCHAR: the embedded database cannot compare its text default.
-
-    Only for columns without NULL, which it takes in its text default alone.
-    """
-    texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
-    kinds = ", ".join(f"`{name}` VARCHAR({size})" for name in texts)
-    return {"createTableColumnTypes": kinds} if texts else {}
+def key_types(df: DataFrame, key: str) -> dict[str, str]:
+    """The longest short text for a text key: the embedded database indexes no other. All
+    other texts are of its long type, which takes NULL and any length."""
+    is_text = df.schema[key].dataType.typeName() == "string"
+    return {"createTableColumnTypes": f"`{key}` VARCHAR(32672)"} if is_text else {}
 
 
 def load(
@@ -52,10 +49,10 @@ def load(
 ) -> dict[str, str]:
     """Put all rows of ``df`` into a table of the database; returns its options.
 
-    ``key`` gets a unique index.
+    ``key`` gets a unique index. ``types``: column types, by default those of the key.
     """
     options = database(df.sparkSession)
-    types = text_types(df) if types is None else types
+    types = (key_types(df, key) if key else {}) if types is None else types
     write_jdbc(df, options, table, "overwrite", PARTITIONS, **types)
     if key:
         add_unique_key(df.sparkSession, options, table, key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import CHECK_TIME, JOB_ID, PRIORITY, PRIORITY_FULL, SINCE
+from workload.queries import CHECK_TIME, JOB_ID, MODES, PRIORITY, PRIORITY_FULL, SINCE
 from workload.tables import DUCK_DIRTY_CUSTOMER as DIRTY
 from workload.tables import DUCK_STATEFUL_ORDERS as STATEFUL
 from workload.tables import HARD_TEXT
@@ -67,6 +67,10 @@ FROM orders"""
 ORACLE["jdbc_scan"] = "SELECT * FROM customer"
 ORACLE["jdbc_partitioned_scan"] = "SELECT * FROM orders"
 ORACLE["jdbc_balanced_scan"] = "SELECT o_orderkey * o_orderkey AS k, o_orderpriority FROM orders"
+ORACLE["jdbc_hashed_scan"] = DIRTY
+ORACLE["jdbc_hot_key_scan"] = """
+SELECT CASE WHEN o_orderkey % 10 > 0 THEN 5 ELSE o_orderkey END AS k, o_custkey, o_orderpriority
+FROM orders"""
 ORACLE["jdbc_incremental_scan"] = f"""
 SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderdate >= timestamp '{SINCE}'"""
 ORACLE["libsvm_scan"] = """
@@ -86,7 +90,10 @@ SELECT o_orderkey, checked, checked IS NOT NULL AS is_legal FROM ({STATEFUL})"""
 ORACLE["sql_over_view"] = f"""
 SELECT o_orderkey, o_orderpriority FROM orders
 WHERE regexp_matches(o_orderpriority, '{PRIORITY}')"""
-for name in ("jdbc_append_roundtrip", "jdbc_copy_once", "jdbc_overwrite_roundtrip"):
+ORACLE["jdbc_append_roundtrip"] = f"""
+SELECT id, name, phone, repeat(name, 100) AS long, {HARD_TEXT} AS hard
+FROM ({DIRTY}), (VALUES (1), (2)) AS copies(copy)"""
+for name in ("jdbc_copy_once", "jdbc_overwrite_roundtrip"):
     ORACLE[name] = "SELECT * FROM customer"
 ORACLE["upsert_by_key"] = ORACLE["jdbc_merge"] = """
 SELECT o_orderkey,
@@ -269,11 +276,44 @@ SELECT o_orderkey, checked,
   CASE WHEN jcsjc IS NULL AND checked <> '' THEN timestamp '{CHECK_TIME}' ELSE jcsjc END AS jcsjc
 FROM ({STATEFUL})"""
 ORACLE["jdbc_blank_check_state_job"] = ORACLE["blank_check_with_state"]
-ORACLE["regex_check_job"] = f"""
-SELECT 'marks' AS sink, count(*) AS total FROM ({ORACLE['invalid_marks']})
-UNION ALL SELECT 'macro', count(*) FROM ({ORACLE['macro_summary']})
-UNION ALL SELECT 'detail', count(*) FROM ({ORACLE['illegal_detail']})
-UNION ALL SELECT 'result', 1"""
+
+
+def job_rows(mode: str, regex: str) -> list[str]:
+    """The rows of the four sinks of a regex check, as seven texts."""
+    test = "regexp_full_match" if mode == "full" else "regexp_matches"
+    legal = f"{test}(checked, '{regex}')"
+
+    def row(sink: str, *values: str) -> str:
+        texts = [f"cast({v} AS varchar)" for v in (*values, *["NULL"] * (7 - len(values)))]
+        listed = ", ".join(f"{t} AS c{i}" for i, t in enumerate(texts, 1))
+        return f"SELECT '{mode}' AS mode, '{sink}' AS sink, {listed}"
+
+    counts = regex_way(STATEFUL, "checked", legal)
+    json = f"""json_object('o_orderkey', cast(o_orderkey AS varchar),
+      'o_custkey', cast(o_custkey AS varchar), 'o_orderstatus', o_orderstatus,
+      'o_orderdate', cast(o_orderdate AS varchar), 'checked', coalesce(checked, ' '))"""
+    result = """json_object('total', total, 'legal', legal, 'illegal', illegal,
+      'null_or_empty', null_or_empty)"""
+    macro = [
+        row("macro", "'regex check'", f"'{JOB_ID}'", f"'{flag}'", f"'{label}'", n,
+            f"({n} * 10000 // total) / 100.0::DOUBLE", f"'{CHECK_TIME}'") + f" FROM ({counts})"
+        for flag, label, n in (("0", "不合格", "illegal"), ("1", "合格", "legal"), ("0", "空", "null_or_empty"))
+    ]
+    return [
+        row("marks", "o_orderkey", "'bad priority'", "'checked'", f"'{CHECK_TIME}'")
+        + f" FROM ({STATEFUL}) WHERE NOT {legal}",
+        *macro,
+        row("detail", f"'{JOB_ID}'", json)
+        + f""" FROM (SELECT * FROM ({STATEFUL})
+          WHERE NOT regexp_full_match(coalesce(checked, 'null'), '{regex}')
+          ORDER BY o_orderkey LIMIT 100)""",
+        row("result", f"'{JOB_ID}'", result, "score") + f" FROM ({counts})",
+    ]
+
+
+ORACLE["regex_check_job"] = ORACLE["jdbc_regex_check_job"] = " UNION ALL ".join(
+    [sql for mode, regex in MODES.items() for sql in job_rows(mode, regex)]
+)
 ORACLE["pending_state_counts"] = two_way(ORACLE["pending_sentinel"], "checked IS NOT NULL")
 ORACLE["result_writeback"] = f"""
 SELECT 'job-' || cast(o_custkey AS varchar) AS spark_job_id, cast(legal AS varchar) AS result, score

@@ -19,7 +19,8 @@ from tablecheck.plans import jobs
 from tablecheck.rules import Rule, rules_from_json
 from tablecheck.session import scratch_path
 from tablecheck.sources import files, jdbc
-from workload.database import PARTITIONS, load, text_types
+from tablecheck.sources.dialects import default_mark_table, type_of_url
+from workload.database import PARTITIONS, database, load
 from workload.tables import (
     HARD_TEXT,
     dirty_customer,
@@ -90,11 +91,31 @@ def jdbc_balanced_scan(spark, sf):
 @query
 def jdbc_incremental_scan(spark, sf):
     options = load(table(spark, sf, "orders"), "TCQ_SINCE")
-    orders = jdbc.read_jdbc(spark, options, "TCQ_SINCE")
+    orders = jdbc.read_jdbc_partitioned(spark, options, "TCQ_SINCE", "o_orderkey", PARTITIONS)
     recent = files.rows_since(orders, "o_orderdate", SINCE)
     return recent.select("o_orderkey", "o_orderpriority")
 
 
+@query
+def jdbc_hashed_scan(spark, sf):
+    """By a text key that is NULL or empty in a large part of the rows."""
+    customers = dirty_customer(spark, sf)
+    options = load(customers, "TCQ_HASHED")
+    return jdbc.read_jdbc_hashed(spark, options, "TCQ_HASHED", ["phone", "id"], PARTITIONS)
+
+
+@query
+def jdbc_hot_key_scan(spark, sf):
+    """Nine tenths of the rows have one key."""
+    hot = table(spark, sf, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 10 > 0 THEN 5 ELSE o_orderkey END AS k",
+        "o_custkey",
+        "o_orderpriority",
+    )
+    options = load(hot, "TCQ_HOT")
+    return jdbc.read_jdbc_balanced(spark, options, "TCQ_HOT", "k", PARTITIONS)
+
+
 @query
 def jdbc_bounds(spark, sf):
     options = load(table(spark, sf, "orders"), "TCQ_BOUNDS")
@@ -186,12 +207,14 @@ def sql_over_view(spark, sf):
 
 @query
 def jdbc_append_roundtrip(spark, sf):
-    customers = table(spark, sf, "customer")
-    options = load(customers.limit(0), "TCQ_APPEND")
-    jobs.copy_job(
-        customers, options, "TCQ_APPEND", partitions=PARTITIONS, **text_types(customers)
+    """NULL, empty and long texts, each row twice, in an order that no run repeats."""
+    customers = dirty_customer(spark, sf).selectExpr(
+        "id", "name", "phone", "repeat(name, 100) AS long", f"{HARD_TEXT} AS hard"
     )
-    return jdbc.read_jdbc(spark, options, "TCQ_APPEND")
+    shuffled = customers.unionByName(customers).repartition(PARTITIONS, F.rand())
+    options = load(customers.limit(0), "TCQ_APPEND")
+    jobs.copy_job(shuffled, options, "TCQ_APPEND", partitions=PARTITIONS)
+    return jdbc.read_jdbc_partitioned(spark, options, "TCQ_APPEND", "id", PARTITIONS)
 
 
 @query
@@ -206,9 +229,8 @@ def jdbc_copy_once(spark, sf):
             "TCQ_ONCE",
             key="c_custkey",
             partitions=PARTITIONS,
-            **text_types(customers),
         )
-    return jdbc.read_jdbc(spark, options, "TCQ_ONCE")
+    return jdbc.read_jdbc_partitioned(spark, options, "TCQ_ONCE", "c_custkey", PARTITIONS)
 
 
 @query
@@ -216,9 +238,8 @@ def jdbc_overwrite_roundtrip(spark, sf):
     customers = table(spark, sf, "customer")
     options = load(table(spark, sf, "supplier"), "TCQ_OVERWRITE")
     jobs.copy_job(
-        customers, options, "TCQ_OVERWRITE", mode="overwrite", **text_types(customers)
-    )
-    return jdbc.read_jdbc(spark, options, "TCQ_OVERWRITE")
+        customers, options, "TCQ_OVERWRITE", mode="overwrite")
+    return jdbc.read_jdbc_partitioned(spark, options, "TCQ_OVERWRITE", "c_custkey", PARTITIONS)
 
 
 def _orders_and_updates(spark, sf):
@@ -244,9 +265,8 @@ def jdbc_merge(spark, sf):
     orders, updates = _orders_and_updates(spark, sf)
     options = load(orders, "TCQ_MERGE", key="o_orderkey")
     jdbc.merge_jdbc(
-        updates, options, "TCQ_MERGE", "o_orderkey", PARTITIONS, **text_types(updates)
-    )
-    return jdbc.read_jdbc(spark, options, "TCQ_MERGE")
+        updates, options, "TCQ_MERGE", "o_orderkey", PARTITIONS)
+    return jdbc.read_jdbc_partitioned(spark, options, "TCQ_MERGE", "o_orderkey", PARTITIONS)
 
 
 def _marks(spark, sf):
@@ -257,10 +277,11 @@ def _marks(spark, sf):
 
 @query
 def mark_table_roundtrip(spark, sf):
-    rows = _marks(spark, sf)
-    options = load(rows.limit(0), "TCQ_MARKS")
-    jdbc.write_marks_jdbc(rows, options, "TCQ_MARKS", **text_types(rows))
-    return jdbc.read_jdbc(spark, options, "TCQ_MARKS")
+    rows, options = _marks(spark, sf), database(spark)
+    marks_of = default_mark_table(type_of_url(options["url"]), "TCQ_CHECKED")
+    load(rows.limit(0), marks_of)
+    jdbc.write_marks_jdbc(rows, options, marks_of)
+    return jdbc.read_jdbc_hashed(spark, options, marks_of, "SOURCE_TABLE_PK", PARTITIONS)
 
 
 # Projections and filters
@@ -686,31 +707,84 @@ def jdbc_blank_check_state_job(spark, sf):
     ).drop("required")
 
 
+MODES = {"find": PRIORITY, "full": PRIORITY_FULL}
+
+
+def _job_source(spark, sf):
+    return stateful_orders(spark, sf).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "checked"
+    )
+
+
+def _sink_rows(mode, sink, rows):
+    """Rows of any sink as seven texts."""
+    texts = [F.col(c).cast("string") for c in rows.columns]
+    texts += [F.lit(None).cast("string")] * (7 - len(texts))
+    own = [F.lit(mode).alias("mode"), F.lit(sink).alias("sink")]
+    return rows.select(*own, *[c.alias(f"c{i}") for i, c in enumerate(texts, 1)])
+
+
 @query
 def regex_check_job(spark, sf):
-    """The whole job with all four sinks; returns the rows each of them got."""
-    folder = scratch_path(spark, "job")
-    names = ("marks", "macro", "detail", "result")
-
-    def sink(name):
-        return lambda df: df.write.parquet(f"{folder}/{name}")
-
-    jobs.regex_check_job(
-        stateful_orders(spark, sf),
-        Rule("checked", regex=PRIORITY, message="bad priority"),
-        "o_orderkey",
-        job_id=JOB_ID,
-        task_name="regex check",
-        check_time=CHECK_TIME,
-        sinks=jobs.CheckSinks(**{name: sink(name) for name in names}),
-    )
-    counts = [
-        checks.row_count(spark.read.parquet(f"{folder}/{name}")).select(
-            F.lit(name).alias("sink"), "total"
+    """The whole job in both modes; the rows that each of its four sinks got."""
+    found = []
+    for mode, regex in MODES.items():
+        folder = scratch_path(spark, "job")
+        names = ("marks", "macro", "detail", "result")
+
+        def sink(name, folder=folder):
+            return lambda df: df.write.parquet(f"{folder}/{name}")
+
+        jobs.regex_check_job(
+            _job_source(spark, sf),
+            Rule("checked", regex=regex, mode=mode, message="bad priority"),
+            "o_orderkey",
+            job_id=JOB_ID,
+            task_name="regex check",
+            check_time=CHECK_TIME,
+            sinks=jobs.CheckSinks(**{name: sink(name) for name in names}),
         )
-        for name in names
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+        found += [_sink_rows(mode, n, spark.read.parquet(f"{folder}/{n}")) for n in names]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def jdbc_regex_check_job(spark, sf):
+    """The job from and to a database, in both modes; its tables change together."""
+    source = _job_source(spark, sf)
+    options, found = load(source, "TCQ_JOB"), []
+    for mode, regex in MODES.items():
+        name, kind = f"TCQ_{mode.upper()}", type_of_url(options["url"])
+        marks_of = default_mark_table(kind, name)
+        tables = jobs.ResultTables(
+            macro=f"{name}_MACRO", detail=f"{name}_DETAIL", result=f"{name}_RESULT"
+        )
+        for old in (marks_of, tables.macro, tables.detail):
+            jdbc.drop_table(spark, options, old)
+        older = spark.createDataFrame([(JOB_ID, "{}", 0.0)], "spark_job_id string, result string, score double")
+        load(older, tables.result, key="spark_job_id")
+        jobs.regex_check_to_database(
+            jdbc.read_jdbc_partitioned(spark, options, "TCQ_JOB", "o_orderkey", PARTITIONS),
+            Rule("checked", regex=regex, mode=mode, message="bad priority"),
+            "o_orderkey",
+            options,
+            name,
+            tables,
+            job_id=JOB_ID,
+            task_name="regex check",
+            check_time=CHECK_TIME,
+        )
+        keys = {
+            "marks": (marks_of, "SOURCE_TABLE_PK"),
+            "macro": (tables.macro, "checktype"),
+            "detail": (tables.detail, "illgeadata"),
+            "result": (tables.result, "spark_job_id"),
+        }
+        found += [
+            _sink_rows(mode, n, jdbc.read_jdbc_hashed(spark, options, t, key, PARTITIONS))
+            for n, (t, key) in keys.items()
+        ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -731,8 +805,8 @@ def result_writeback(spark, sf):
     )
     old = new.select("spark_job_id", F.lit("").alias("result"), F.lit(0.0).alias("score"))
     options = load(old, "TCQ_RESULT", key="spark_job_id")
-    jdbc.merge_jdbc(new, options, "TCQ_RESULT", "spark_job_id", PARTITIONS, **text_types(new))
-    return jdbc.read_jdbc(spark, options, "TCQ_RESULT")
+    jdbc.merge_jdbc(new, options, "TCQ_RESULT", "spark_job_id", PARTITIONS)
+    return jdbc.read_jdbc_hashed(spark, options, "TCQ_RESULT", "spark_job_id", PARTITIONS)
 
 
 # Regression
