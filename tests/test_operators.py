@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tablecheck import Rule, rules_from_json
 from tablecheck.functions import predicates as P
 from tablecheck.operators import catalog, checks, marks, numbering, regression, state
-from tablecheck.operators.upsert import upsert_by_key
+from tablecheck.operators.upsert import upsert_by_key, upsert_partitions
 from tablecheck.rules import unquote
 from workload.tables import stateful_orders
 
@@ -311,3 +311,42 @@ def test_tuned_fit_tries_the_grid(spark):
     assert scored.columns == ["features", "label", "prediction"]
     plain = regression.fit_linear(data)
     assert abs(plain.coefficients[0] - 3) < 0.01
+
+
+def file_times(path):
+    return {
+        str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")
+    }
+
+
+def test_partitioned_upsert_leaves_other_files_alone(spark, tmp_path):
+    schema = "k long, v string, p string"
+    rows = [(i, "old", f"p{i % 5}/é") for i in range(50)] + [(99, "null", None)]
+    path = tmp_path / "table"
+    spark.createDataFrame(rows, schema).write.partitionBy("p").parquet(str(path))
+    before = file_times(path)
+    updates = [(0, "new", "p0/é"), (5, "moved", "fresh"), (100, "added", "p1/é"), (7, None, "p2/é")]
+    given = spark.createDataFrame(updates, schema)
+    touched = upsert_partitions(spark, str(path), given, "k", "p")
+    assert sorted(touched) == ["fresh", "p0/é", "p1/é", "p2/é"]
+    after = file_times(path)
+    same = [n for n in before if "p3" in n or "p4" in n or "__HIVE" in n]
+    assert len(same) >= 3 and all(after[n] == before[n] for n in same)
+    back = spark.read.schema(schema).parquet(str(path))
+    expected = {r[0]: r for r in rows} | {r[0]: r for r in updates}
+    assert {r.k: tuple(r) for r in back.collect()} == expected and back.count() == len(expected)
+    # the same run again changes nothing
+    upsert_partitions(spark, str(path), given, "k", "p")
+    back = spark.read.schema(schema).parquet(str(path))
+    assert {r.k: tuple(r) for r in back.collect()} == expected and back.count() == len(expected)
+
+
+def test_partitioned_upsert_drops_a_partition_without_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(1, 1, 2020), (2, 2, 2021), (3, 3, None)]
+    spark.createDataFrame(rows, "k int, v int, p int").write.partitionBy("p").parquet(path)
+    updates = spark.createDataFrame([(1, 9, 2021), (3, 9, 2021)], "k int, v int, p int")
+    upsert_partitions(spark, path, updates, ["k"], "p")
+    back = spark.read.schema("k int, v int, p int").parquet(path).collect()
+    assert sorted(map(tuple, back)) == [(1, 9, 2021), (2, 2, 2021), (3, 9, 2021)]
+    assert [f.name for f in (tmp_path / "table").iterdir() if f.is_dir()] == ["p=2021"]

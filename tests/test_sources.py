@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecheck import session
-from tablecheck.sources import dialects, files, jdbc, tables, unit
+from tablecheck.sources import dialects, files, jdbc, jsonlines, tables, unit
 from workload.database import database, load
 from workload.tables import dirty_customer
 
@@ -553,6 +556,88 @@ def test_generic_source(spark, sf_dir):
     assert files.read_source(spark, "parquet", path=path, schema="r_name string").columns == ["r_name"]
 
 
+def lines_of(spark, path, schema, size):
+    jsonlines.register(spark)
+    return files.read_source(spark, jsonlines.NAME, {"partitionBytes": str(size)}, path, schema)
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 1000, 10**6])
+def test_own_source_reads_every_line_once(spark, tmp_path, monkeypatch, size):
+    """Whatever bytes the partitions end at, with blank lines and no last line feed."""
+    lines = [json.dumps({"k": i, "t": "é" * (i % 40) + "x"}, ensure_ascii=False) for i in range(60)]
+    text = "\n\n".join(lines) + "\r\n" + json.dumps({"k": 60, "t": None, "more": 1})
+    path = tmp_path / "some.json"
+    path.write_bytes(text.encode())
+    # read as the tasks do, with small blocks too
+    schema = T.StructType.fromDDL("k long, t string")
+    for block in (3, 50, jsonlines.BLOCK_BYTES):
+        monkeypatch.setattr(jsonlines, "BLOCK_BYTES", block)
+        reader = jsonlines.JsonLinesReader(schema, {"path": str(path), "partitionbytes": str(size)})
+        got = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+        expected = [{"k": i, "t": "é" * (i % 40) + "x"} for i in range(60)] + [{"k": 60, "t": None}]
+        assert sorted(got, key=lambda r: r["k"]) == expected
+
+
+def test_own_source_in_partitions_with_pushed_filters(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "orders")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders.write.json(path)
+    got = lines_of(spark, path, orders.schema, 2**18)
+    assert got.rdd.getNumPartitions() >= 4
+    assert rows(got) == rows(orders)
+    chosen = got.where("o_orderstatus = 'F' AND o_custkey > 700 AND o_orderkey % 7 = 1")
+    text = chosen._jdf.queryExecution().executedPlan().toString()
+    left = next(line for line in text.splitlines() if "Filter" in line)
+    assert "o_orderkey" in left and "o_custkey" not in left and "o_orderstatus" not in left
+    same = orders.where("o_orderstatus = 'F' AND o_custkey > 700 AND o_orderkey % 7 = 1")
+    assert rows(chosen) == rows(same)
+
+
+@pytest.mark.parametrize(
+    "where",
+    [
+        "t = 'b'", "t <> 'b'", "t IS NULL", "t IS NOT NULL", "t <=> 'b'", "NOT (t <=> 'b')",
+        "t <=> NULL", "t IN ('a', 'b')", "t NOT IN ('a', 'b')", "t LIKE 'a%'", "k > 2", "k >= 2",
+        "k < 2", "k <= 2", "NOT k > 2", "k IN (1, NULL)", "f > 1.5", "f = double('NaN')",
+        "k = 1 OR t = 'b'", "d >= date'2024-01-02'", "n.x = 1",
+    ],
+)
+def test_own_source_filters_like_spark(spark, tmp_path, where):
+    data = spark.sql(
+        "SELECT * FROM VALUES (1, 'a', 1.0D, date'2024-01-01'), (2, 'b', 2.0D, date'2024-01-02'), "
+        "(3, NULL, NULL, NULL), (NULL, 'ab', 3.5D, date'2024-01-03') AS v(k, t, f, d)"
+    ).selectExpr("*", "named_struct('x', k) AS n")
+    path = str(tmp_path / "v")
+    data.coalesce(1).write.json(path)
+    got = lines_of(spark, path, data.schema, 10**6)
+    assert rows(got.where(where)) == rows(data.where(where))
+
+
+def test_own_source_needs_a_path(spark):
+    jsonlines.register(spark)
+    with pytest.raises(Exception, match="needs a path"):
+        spark.read.format(jsonlines.NAME).schema("k long").load().collect()
+
+
+def test_catalogue_table_is_pruned(spark, sf_dir):
+    """One filter skips partitions when the query is planned, a join while it runs."""
+    from workload.queries import QUERIES
+
+    found = QUERIES["metastore_scan"](spark, sf_dir)
+    found.collect()
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet spark_catalog.tablecheck_shop.orders_by_year" in text
+    scan = next(line for line in text.splitlines() if "tablecheck_shop.orders_by_year" in line)
+    assert "(o_year#" in scan and ">= 1993)" in scan and "dynamicpruningexpression" in scan
+
+
+def test_table_by_text_key_is_read_in_parallel(spark):
+    df = spark.range(400).selectExpr("'key ' || id AS k", "id")
+    options = load(df, "T_TEXT_KEY", types={})
+    got = tables.read_table(spark, "derby", "", "T_TEXT_KEY", options, "k", 3)
+    assert rows(got) == rows(df) and got.rdd.getNumPartitions() == 3
+
+
 # Session
 
 

@@ -60,6 +60,13 @@ FOUND = f"regexp_matches(checked, '{PRIORITY}')"
 # Sources
 
 ORACLE["scan_table"] = "SELECT * FROM orders"
+ORACLE["generic_source"] = """
+SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_custkey > 100 AND o_totalprice < 200000"""
+ORACLE["metastore_scan"] = """
+SELECT *, year(o_orderdate)::INTEGER AS o_year FROM orders
+WHERE year(o_orderdate) >= 1993 AND year(o_orderdate) % 2 = 0
+  AND year(o_orderdate) IN (SELECT year(l_shipdate) FROM lineitem)"""
+ORACLE["dispatched_copy"] = "SELECT o_orderkey, o_orderpriority FROM orders"
 ORACLE["incremental_scan"] = f"SELECT * FROM orders WHERE o_orderdate >= timestamp '{SINCE}'"
 ORACLE["partition_bounds"] = ORACLE["jdbc_bounds"] = """
 SELECT min(o_orderkey) AS lower_bound, max(o_orderkey) AS upper_bound, count(*) AS row_count
@@ -102,6 +109,12 @@ SELECT o_orderkey,
 FROM orders
 UNION ALL
 SELECT -o_orderkey - 1, o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'P'"""
+ORACLE["upsert_partitioned"] = """
+WITH o AS (
+  SELECT o_orderkey, o_orderpriority, o_orderstatus, year(o_orderdate)::INTEGER AS y FROM orders)
+SELECT o_orderkey, CASE WHEN y = 1996 THEN 'new' ELSE o_orderpriority END AS o_orderpriority,
+  o_orderstatus, CASE WHEN y = 1993 THEN 2030 ELSE y END::INTEGER AS o_year FROM o
+UNION ALL SELECT -o_orderkey - 1, o_orderpriority, o_orderstatus, y FROM o WHERE y = 1998"""
 ORACLE["invalid_marks"] = ORACLE["mark_table_roundtrip"] = f"""
 SELECT cast(o_orderkey AS varchar) AS "SOURCE_TABLE_PK", 'bad priority' AS "RESULT",
   'checked' AS "COLUMN_NAME", '{CHECK_TIME}' AS "CHECK_START_TIME"

@@ -14,11 +14,11 @@ from tablecheck.functions import masks, text
 from tablecheck.functions import predicates as P
 from tablecheck.functions.crypto import decrypt_text, encrypt_text
 from tablecheck.operators import catalog, checks, marks, numbering, regression, state
-from tablecheck.operators.upsert import upsert_by_key
+from tablecheck.operators.upsert import upsert_by_key, upsert_partitions
 from tablecheck.plans import jobs
 from tablecheck.rules import Rule, rules_from_json
 from tablecheck.session import scratch_path
-from tablecheck.sources import files, jdbc
+from tablecheck.sources import files, jdbc, jsonlines, tables
 from tablecheck.sources.dialects import default_mark_table, type_of_url
 from workload.database import PARTITIONS, database, load
 from workload.tables import (
@@ -56,6 +56,55 @@ def scan_table(spark, sf):
     return files.read_source(spark, "parquet", path=f"{sf}/orders.parquet")
 
 
+@query
+def generic_source(spark, sf):
+    """A source of the library's own; it takes the filters on status and key."""
+    path = scratch_path(spark, "lines")
+    orders = table(spark, sf, "orders")
+    orders.write.json(path, ignoreNullFields=False)
+    jsonlines.register(spark)
+    options = {"partitionBytes": str(2**20)}
+    lines = files.read_source(spark, jsonlines.NAME, options, path, orders.schema)
+    return lines.where("o_orderstatus = 'F' AND o_custkey > 100 AND o_totalprice < 200000")
+
+
+def _year_table(spark, sf, name):
+    """Orders as a catalogue table with a partition for each year; its files in scratch."""
+    orders = table(spark, sf, "orders").withColumn("o_year", F.year("o_orderdate"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS tablecheck_shop")
+    spark.sql(f"DROP TABLE IF EXISTS tablecheck_shop.{name}")
+    tables.write_table(
+        orders,
+        "hive",
+        "tablecheck_shop",
+        name,
+        "overwrite",
+        partition_by="o_year",
+        path=scratch_path(spark, name),
+    )
+    return tables.read_table(spark, "hive", "tablecheck_shop", name)
+
+
+@query
+def metastore_scan(spark, sf):
+    """Static pruning by a filter, dynamic pruning by the years that a join leaves."""
+    orders = _year_table(spark, sf, "orders_by_year")
+    busy = table(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("o_year"))
+    years = busy.agg(F.count("*").alias("lines")).where("o_year % 2 = 0")
+    return orders.where("o_year >= 1993").join(years, "o_year").drop("lines")
+
+
+@query
+def dispatched_copy(spark, sf):
+    """Catalogue table to database and back, source and sink chosen by the kind of database."""
+    orders = _year_table(spark, sf, "orders_to_copy").select("o_orderkey", "o_orderpriority")
+    options = load(orders.limit(0), "TCQ_COPY", key="o_orderkey")
+    kind = type_of_url(options["url"])
+    for mode in ("append", "update"):
+        tables.write_table(orders, kind, "", "TCQ_COPY", mode, options, "o_orderkey", PARTITIONS)
+    return tables.read_table(spark, kind, "", "TCQ_COPY", options, "o_orderkey", PARTITIONS)
+
+
 @query
 def incremental_scan(spark, sf):
     return files.rows_since(table(spark, sf, "orders"), "o_orderdate", SINCE)
@@ -260,6 +309,22 @@ def _upserted(spark, sf):
 QUERIES["upsert_by_key"] = _upserted
 
 
+@query
+def upsert_partitioned(spark, sf):
+    """A table of files with a partition for each year: changed, moved and new rows."""
+    path = scratch_path(spark, "years")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("o_year")
+    )
+    orders.hint("rebalance", "o_year").write.partitionBy("o_year").parquet(path)
+    changed = orders.where("o_year = 1996").withColumn("o_orderpriority", F.lit("new"))
+    moved = orders.where("o_year = 1993").withColumn("o_year", F.lit(2030))
+    added = orders.where("o_year = 1998").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    updates = changed.unionByName(moved).unionByName(added)
+    upsert_partitions(spark, path, updates, "o_orderkey", "o_year")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 @query
 def jdbc_merge(spark, sf):
     orders, updates = _orders_and_updates(spark, sf)
