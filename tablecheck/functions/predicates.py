@@ -30,8 +30,12 @@ def not_blank(c: Column | str) -> Column:
 
 
 def null_or_empty(c: Column | str) -> Column:
-    """NULL, the empty text, or a lone line end, which ``^$`` finds as well."""
-    return as_column(c).isNull() | as_text(c).rlike("^$")
+    """NULL, the empty text, or a lone line end, which ``^$`` finds as well.
+
+    A line end has at most three bytes; longer texts are not decoded for the pattern.
+    """
+    text = as_text(c)
+    return as_column(c).isNull() | ((F.octet_length(text) <= 3) & text.rlike("^$"))
 
 
 def regex_find(c: Column | str, regex: str) -> Column:

@@ -24,9 +24,19 @@ TIE_SEED = 7
 # ``monotonically_increasing_id`` holds the partition above so many bits of position.
 POSITION_BITS = 33
 
+#: Bytes of input for each partition of ordered rows, unless the session asks for more parts.
+PARTITION_BYTES = 256 * 2**20
+
 _TIE, _PLACE = "_tie", "_place"
 
 
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of what the plan reads, as far as its sources say."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 2**60)  # a source that does not know says more
+
+
 def number_rows(
     df: DataFrame,
     order_by: str | Sequence[str],
@@ -38,7 +48,8 @@ def number_rows(
 
     Rows with equal order keys get their numbers in any order. ``df`` is read twice, for
     the bounds of the partitions (order columns only) and for the shuffle into
-    ``partitions`` (default: the session's number of shuffle partitions). The ordered
+    ``partitions`` (default: the session's number of shuffle partitions, or as many as the
+    size of the input asks for, if that is more). The ordered
     rows are written to the shared folder, so that counts and numbers, and tasks that run
     again, agree on them; one count for each partition reaches the driver.
     """
@@ -47,7 +58,8 @@ def number_rows(
     taken = {name, _TIE, _PLACE}.intersection(columns)
     if taken:
         raise ValueError(f"column names that the numbering needs: {sorted(taken)}")
-    number = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = partitions or max(usual, _input_bytes(df) // PARTITION_BYTES + 1)
     path = scratch_path(spark, "ordered")
     (
         df.withColumn(_TIE, F.rand(TIE_SEED))

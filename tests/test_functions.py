@@ -244,3 +244,17 @@ def test_random_vectors_differ(spark):
 def test_key_size_is_checked():
     with pytest.raises(ValueError):
         encrypt_text("x", b"short")
+
+
+def test_timestamp_text_of_a_text(spark):
+    rows = [("2024-02-03 04:05:06.7",), ("2024-02-03",), ("no time",), ("",), (None,)]
+    got = spark.createDataFrame(rows, "t string").select(text.timestamp_text("t")).collect()
+    assert [r[0] for r in got] == ["2024-02-03 04:05:06", "2024-02-03 00:00:00", None, None, None]
+
+
+def test_null_or_empty_takes_every_line_end(spark):
+    ends = ["", "\n", "\r", "\r\n", "\u0085", "\u2028", "\u2029"]
+    others = [" ", "\n\n", "x", "\n\r", "\n ", "x" * 5000, "\v"]
+    df = spark.createDataFrame([(t,) for t in [None, *ends, *others]], "x string")
+    found = df.where(predicates.null_or_empty("x")).collect()
+    assert {r.x for r in found} == {None, *ends}

@@ -350,3 +350,73 @@ def test_partitioned_upsert_drops_a_partition_without_rows(spark, tmp_path):
     back = spark.read.schema("k int, v int, p int").parquet(path).collect()
     assert sorted(map(tuple, back)) == [(1, 9, 2021), (2, 2, 2021), (3, 9, 2021)]
     assert [f.name for f in (tmp_path / "table").iterdir() if f.is_dir()] == ["p=2021"]
+
+
+def test_more_input_gives_more_partitions(spark, sf_dir, monkeypatch):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    monkeypatch.setattr(numbering, "PARTITION_BYTES", 10_000)
+    numbered = numbering.number_rows(orders, "o_orderkey")
+    parts = numbered.select(F.input_file_name()).distinct().count()
+    assert parts > 8 and numbered.where("rownum = 15000").count() == 1
+
+
+def regression_rows(spark, rows=3000):
+    return spark.range(rows).selectExpr(
+        "id", "id % 50 AS a", "hash(id) % 100 / 10.0 AS b", "CAST(id % 7 + id % 50 AS double) AS c",
+        "3.0 AS same",
+    ).selectExpr("*", "2 * a - 3 * b + 0.5 * c + 7 + hash(id, 1) % 1000 / 300.0 AS y")
+
+
+@pytest.mark.parametrize("setting", regression.GRID)
+def test_moments_solve_what_spark_ml_solves(spark, setting):
+    from pyspark.ml.regression import LinearRegression
+
+    columns, rows = ["a", "b", "c"], regression_rows(spark)
+    moments = regression.moments_by_part(rows, columns, "y", F.lit(True))[True]
+    mine = regression.solve(moments, setting)
+    data = regression.with_features(rows, columns, "y")
+    model = LinearRegression(
+        maxIter=100_000, tol=1e-15, regParam=setting.reg_param,
+        elasticNetParam=setting.elastic_net, fitIntercept=setting.fit_intercept,
+    ).fit(data)
+    assert mine.coefficients == pytest.approx(model.coefficients.toArray(), abs=1e-5)
+    assert mine.intercept == pytest.approx(model.intercept, abs=1e-4)
+    assert regression.rmse(moments, mine) == pytest.approx(model.summary.rootMeanSquaredError, abs=1e-6)
+    predicted = rows.select(F.sum(mine.predict(columns))).first()[0]
+    assert predicted == pytest.approx(model.transform(data).select(F.sum("prediction")).first()[0])
+
+
+def test_tuning_reads_its_rows_once_and_judges_by_the_rest(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "rows")
+    regression_rows(spark).write.parquet(path)
+    rows = spark.read.parquet(path)
+    spark.sparkContext.setJobGroup("tuning", "")
+    tuned = regression.tune(rows, ["a", "b"], "y", "id")
+    spark.sparkContext.setJobGroup("other", "")
+    store, tracker = spark._jsc.sc().statusStore(), spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("tuning") for s in tracker.getJobInfo(j).stageIds]
+    read = 0
+    for stage in set(stages):
+        read += store.lastStageAttempt(stage).inputRecords()
+    assert read == 3000
+    judged = rows.where(regression.split_slot(["id"], regression.VALIDATION_SEED) >= 0.8)
+    fitted = rows.where(regression.split_slot(["id"], regression.VALIDATION_SEED) < 0.8)
+    moments = regression.moments_by_part(fitted, ["a", "b"], "y", F.lit(1))[1]
+    for setting, error in tuned.errors:
+        model = regression.solve(moments, setting)
+        off = F.col("y") - model.predict(["a", "b"])
+        assert error == pytest.approx(judged.select(F.sqrt(F.avg(off * off))).first()[0])
+    assert dict(tuned.errors)[tuned.setting] == min(e for _, e in tuned.errors)
+
+
+def test_tuning_of_odd_columns(spark):
+    rows = regression_rows(spark)
+    tuned = regression.tune(rows, ["same", "a"], "y", "id")
+    assert tuned.model.coefficients[0] == 0
+    with_null = rows.unionByName(rows.withColumn("y", F.lit(None).cast(rows.schema["y"].dataType)))
+    plain, more = (regression.tune(r, ["a"], "y", "id").errors for r in (rows, with_null))
+    assert [e for _, e in more] == pytest.approx([e for _, e in plain])
+    flat = regression.tune(rows.withColumn("y", F.lit(4.0)), ["a"], "y", "id")
+    assert flat.model.coefficients == (0.0,)
+    with pytest.raises(ValueError, match="too few"):
+        regression.tune(rows.limit(0), ["a"], "y", "id")

@@ -357,3 +357,76 @@ FROM parts, model WHERE NOT training"""
 ORACLE["linreg_fit"] = """
 SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
   round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem"""
+
+# The tuned fit: moments of the fitting and the judging rows and of both, then coordinate
+# descent, one sweep over the three coefficients for each step of the recursion.
+X = ("l_quantity", "l_discount", "l_tax")
+
+
+def _soft(value: str, limit: str) -> str:
+    return f"sign({value}) * greatest(abs({value}) - {limit}, 0)"
+
+
+def _sweep() -> str:
+    """Nested selects: each coefficient is made of the newest values of the others."""
+    sql = "SELECT *, b1 AS n1, b2 AS n2, b3 AS n3 FROM cd JOIN grams USING (part, intercept)"
+    for j in (1, 2, 3):
+        others = " - ".join(f"g{min(i, j)}{max(i, j)} * n{i}" for i in (1, 2, 3) if i != j)
+        new = f"{_soft(f'(g{j}4 - {others})', 'lasso')} / (g{j}{j} + ridge)"
+        sql = f"SELECT * REPLACE ({new} AS n{j}) FROM ({sql})"
+    return sql
+
+
+PAIRS = [(i, j) for i in (1, 2, 3, 4) for j in (1, 2, 3, 4) if i <= j]
+TUNING = f"""
+WITH RECURSIVE parts AS (
+  SELECT *, {in_training('l_orderkey', 'l_linenumber', 'l_partkey')} AS training,
+    {in_training('l_orderkey', 'l_linenumber', 'l_partkey').replace("'12345'", "'12346'").replace('0.9', '0.8')}
+      AS fits FROM lineitem
+), x AS (
+  SELECT training, fits, {', '.join(f'{c}::DOUBLE AS x{i}' for i, c in enumerate((*X, 'l_extendedprice'), 1))}
+  FROM parts
+), moments AS (
+  SELECT part, count(*)::DOUBLE AS n, {', '.join(f'sum(x{i}) AS s{i}' for i in (1, 2, 3, 4))},
+    {', '.join(f'sum(x{i} * x{j}) AS p{i}{j}' for i, j in PAIRS)}
+  FROM x, (VALUES ('fit'), ('judge'), ('all')) AS names(part)
+  WHERE training AND (part = 'all' OR fits = (part = 'fit')) GROUP BY part
+), spreads AS (
+  SELECT *, {', '.join(f'sqrt(p{i}{i} / n - (s{i} / n) * (s{i} / n)) AS d{i}' for i in (1, 2, 3, 4))}
+  FROM moments
+), grams AS (
+  SELECT part, intercept, n, s1, s2, s3, s4, d1, d2, d3, d4, {', '.join(
+      f'(p{i}{j} / n - CASE WHEN intercept THEN s{i} / n * s{j} / n ELSE 0 END) / (d{i} * d{j}) AS g{i}{j}'
+      for i, j in PAIRS)}
+  FROM spreads, (VALUES (true), (false)) AS forms(intercept)
+), settings AS (
+  SELECT * FROM (VALUES (0.1::DOUBLE), (0.01::DOUBLE)) AS r(reg),
+    (VALUES (false), (true)) AS i(intercept), (VALUES (0::DOUBLE), (0.5::DOUBLE), (1::DOUBLE)) AS e(net)
+), cd AS (
+  SELECT part, reg, intercept, net, 0 AS step, 0::DOUBLE AS b1, 0::DOUBLE AS b2, 0::DOUBLE AS b3,
+    reg / d4 * net AS lasso, reg / d4 * (1 - net) AS ridge
+  FROM settings JOIN grams USING (intercept) WHERE part <> 'judge'
+  UNION ALL
+  SELECT part, reg, intercept, net, step + 1, n1, n2, n3, lasso, ridge FROM ({_sweep()})
+  WHERE step < 400
+), models AS (
+  SELECT part, reg, intercept, net, c1, c2, c3,
+    CASE WHEN intercept THEN s4 / n - s1 / n * c1 - s2 / n * c2 - s3 / n * c3 ELSE 0 END AS c0
+  FROM (SELECT *, b1 * d4 / d1 AS c1, b2 * d4 / d2 AS c2, b3 * d4 / d3 AS c3
+        FROM cd JOIN grams USING (part, intercept) WHERE step = 400)
+), errors AS (
+  SELECT reg, intercept, net, sqrt(avg((x4 - c0 - c1 * x1 - c2 * x2 - c3 * x3) ** 2)) AS rmse
+  FROM models, x WHERE part = 'fit' AND training AND NOT fits GROUP BY ALL
+), winner AS (
+  SELECT reg, intercept, net FROM errors ORDER BY rmse, reg DESC, intercept, net LIMIT 1
+)"""
+ORACLE["linreg_grid"] = f"""{TUNING}
+SELECT reg AS reg_param, intercept AS fit_intercept, net AS elastic_net, round(rmse, 4) AS rmse,
+  EXISTS (SELECT 1 FROM winner w WHERE w.reg = e.reg AND w.intercept = e.intercept AND w.net = e.net)
+    AS wins
+FROM errors e"""
+ORACLE["linreg_tuned"] = f"""{TUNING}
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS label,
+  round(c1 * l_quantity + c2 * l_discount + c3 * l_tax + c0, 2) AS prediction
+FROM parts, models JOIN winner USING (reg, intercept, net)
+WHERE NOT training AND part = 'all'"""

@@ -911,12 +911,29 @@ def linreg_scored(spark, sf):
     return scored.select(*LINE_KEY, "label", F.round("prediction", 2).alias("prediction"))
 
 
+FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _tuned(spark, sf):
+    train, test = regression.split_by_key(table(spark, sf, "lineitem"), LINE_KEY)
+    return regression.tune(train, FEATURES, "l_extendedprice", LINE_KEY), test
+
+
+@query
+def linreg_grid(spark, sf):
+    """The validation error of every setting, all from one aggregation."""
+    tuned, _ = _tuned(spark, sf)
+    rows = [
+        (s.reg_param, s.fit_intercept, s.elastic_net, round(error, 4), s == tuned.setting)
+        for s, error in tuned.errors
+    ]
+    schema = "reg_param double, fit_intercept boolean, elastic_net double, rmse double, wins boolean"
+    return spark.createDataFrame(rows, schema)
+
+
 @query
 def linreg_tuned(spark, sf):
-    rows = regression.with_features(
-        table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"
-    ).select(*LINE_KEY, "features", "label")
-    train, test = regression.split_by_key(rows, LINE_KEY)
-    model = regression.fit_tuned(train.select("features", "label"), parallelism=4)
-    scored = regression.score(model, test, ["l_orderkey", "l_linenumber"])
-    return scored.withColumn("features", vector_to_array("features"))
+    """Held-out rows scored by the winner, fitted on all training rows."""
+    tuned, test = _tuned(spark, sf)
+    prediction = F.round(tuned.model.predict(FEATURES), 2).alias("prediction")
+    return test.select(*LINE_KEY, F.col("l_extendedprice").alias("label"), prediction)
