@@ -45,6 +45,8 @@ SCALE = 1_000_000
 AHEAD = 2
 #: Bits of a bit map; a multiple of 32,768.
 SLOTS = 2**24
+#: Tasks that order a part of each language.
+PARTS = 32
 #: Bytes of text taken at a time.
 CHUNK = 4_000_000
 NO_LANGUAGE = "und"
@@ -313,9 +315,17 @@ def _surviving(pairs: DataFrame, triples: DataFrame, threshold: DataFrame) -> Da
 
 
 def _ranked(rows: DataFrame, most: int, *order: Column) -> DataFrame:
-    """The first ``most`` rows of each language; tasks keep no more than that of theirs."""
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    return rows.withColumn("rank", place).where(F.col("rank") <= most)
+    """The first ``most`` rows of each language.
+
+    In two steps: a language is dealt over ``PARTS`` tasks, each of which keeps its first
+    rows, so that the task that orders a language sees a bounded number of rows.
+    """
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS)).alias("part")
+    dealt = rows.select("*", part)
+    for keys in (("lang", "part"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        dealt = dealt.withColumn("rank", place).where(F.col("rank") <= most)
+    return dealt.drop("part")
 
 
 def _threshold(pairs: DataFrame, langs: DataFrame, rank: int) -> DataFrame:
