@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.session import scratch_root
+from tablecheck.session import scratch_path, scratch_root
 
 #: Fixed value: the characters that separate words, space and \t to \r.
 SPACES = " \t\n\v\f\r"
@@ -26,6 +26,18 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the folder all executors share.
+
+    Unlike a checkpoint, a table has a size of its own. What a checkpoint says of its size is
+    the product of all the tables joined so far, and in a loop of joins that number doubles its
+    digits each time until planning does nothing but multiply.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_bytes(column: str):
     """UTF-8 bytes of a text column, empty for NULL."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

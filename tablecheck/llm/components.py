@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.common import staged
+from tablecheck.llm.common import written
 
 
 def _star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both directions of all edges, and the smallest neighbour (or self) of each node."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("least"))
-    # staged, so that the join can be split where one node has a large part of the links
-    return both, staged(least.select("u", F.least("u", "least").alias("least")))
+    # written first, so that the join can be split where one node has a large part of the links
+    return both, written(least.select("u", F.least("u", "least").alias("least")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = staged(down.groupBy("u").agg(F.min("v").alias("least")))
+    least = written(down.groupBy("u").agg(F.min("v").alias("least")))
     tied = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     own = least.select("u", F.col("least").alias("v"))
     return tied.unionByName(own).where("u <> v").distinct()
@@ -39,10 +39,10 @@ def components(links: DataFrame) -> DataFrame:
     at least, with one aggregation and one join for either star; joins on a centre with
     many links are split by the adaptive skew join. Ends when a round changes nothing.
     """
-    edges = staged(links.select("u", "v").where("u <> v").distinct())
+    edges = written(links.select("u", "v").where("u <> v").distinct())
     before = None
     while True:
-        edges = staged(_small_star(staged(_large_star(edges))))
+        edges = written(_small_star(written(_large_star(edges))))
         state = edges.agg(
             F.count("*").alias("rows"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
         ).first()

@@ -5,23 +5,36 @@ from the start. In each of a number of trees the classes branch by the minimum h
 chosen coordinates: a node picks one coordinate by its own hash, and with a chance of a
 third a second one (4/3 on average, the inverse of the similarity 0.75), and its members
 fall into a child for each value. Nodes of at most ``SMALL_NODE`` members are compared
-exhaustively by their signatures; larger ones are compared with one member and branch
-again. Links are confirmed on full sets in two rounds: first the likeliest ones, a spanning
-forest of every small node, then all pairs that may be similar enough and could still join
-two components. So a large group of copies costs pairs in proportion to its members once
-its links hold it together.
+exhaustively by their signatures; larger ones branch again.
+
+Links are confirmed on full sets, and only where they can join two components of those
+confirmed before:
+
+1. Large groups. Nodes of the first level that are too large to compare are compared with
+   one member, again with another one that is not in their main component, and so on while
+   this at least halves the members outside of it. Each round costs a node one pair for a
+   member. A group of copies is one component then and its nodes are closed.
+2. Forests. Every small node gives the likeliest links of a spanning forest.
+3. The rest. Every pair of a small node that may be similar enough and has its ends in two
+   components. A pair that several nodes hold is given by one of them.
+
+A large node whose members outside its main component are few enough for one task is not
+branched: these are compared with all its members, in blocks. So is a node that is still
+large after ``MOST_LEVELS`` levels, block by block, each pair of blocks in a task of its own
+with a bounded number of rows. Blocks miss no pair, so no depth needs more trees than
+``MOST_LEVELS`` does.
 
 Recall: ``missed`` is the chance that a pair with the least similarity is not confirmed,
 by the levels its nodes needed and the number of trees; what a signature of 128 values
 leaves out is in it. ``TREES`` trees come first. Where they needed more levels than that
 number is good for, more trees follow for the classes that went so deep, until the chance is
-at most ``MOST_MISSED`` at the depth reached; nodes inside one component are left out of
-them, as no pair of theirs can change a component.
+at most ``MOST_MISSED`` at ``MOST_LEVELS``; nodes inside one component are left out of them,
+as no pair of theirs can change a component.
 
 Rules for odd input: NULL and texts without words have no shingles and link with nothing;
-texts of one to four words are one shingle of that length; rows that repeat an identifier
-are copies or near copies like any others and get one result each; rows with a NULL
-identifier are left out; an empty table gives an empty result.
+texts of one to four words are one shingle of that length; rows that repeat an identifier,
+with equal or with different texts, are copies or near copies like any others and get one
+result each; rows with a NULL identifier are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.common import staged
+from tablecheck.llm.common import written
 from tablecheck.llm.components import components
 from tablecheck.llm.words import WordHashes, mixed, run_hashes
 
@@ -49,15 +62,13 @@ COORDINATES = 128
 TREES = 10
 #: Chance to miss a pair of the least similarity that is accepted.
 MOST_MISSED = 0.001
-#: Levels after which large nodes are an error.
-MOST_LEVELS = 64
+#: Levels after which large nodes are compared in blocks.
+MOST_LEVELS = 8
 SMALL_NODE = 1024
 #: Pairs whose signatures agree in a smaller share of places are not confirmed.
 LEAST_ESTIMATE = 0.6
-#: From this share on, a member of a large node counts as like the one compared.
-SURE = 0.9
-#: A large node ends when at most so many of its members are unlike the one compared.
-MOST_UNLIKE = 16
+#: Trees whose first level shows the large groups.
+FIRST_TREES = 3
 #: More candidate documents than this are found by a shuffle (8 bytes each).
 MOST_BROADCAST = 2_000_000
 
@@ -102,9 +113,9 @@ def shingle_table(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 found = shingles.of(text)
                 sizes.append(len(found))
-                keys.append(xxhash.xxh3_128_digest(found.tobytes()))
+                keys.append(set_key(found))
                 signatures.append(signature(found).view(np.int32))
-            halves = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+            halves = np.array(keys, np.int64).reshape(-1, 2)
             flat = np.concatenate(signatures) if signatures else np.empty(0, np.int32)
             offsets = np.arange(0, len(flat) + 1, COORDINATES, dtype=np.int32)
             columns = [
@@ -139,7 +150,7 @@ def missed(depth: int, trees: int) -> float:
 
 
 def trees_for(depth: int) -> int:
-    """Trees that a depth needs."""
+    """Trees that a depth needs; asked for ``MOST_LEVELS`` at most."""
     trees = TREES
     while missed(depth, trees) > MOST_MISSED:
         trees += 1
@@ -164,12 +175,15 @@ def _branch(members: DataFrame) -> DataFrame:
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    # staged, so that the join can be split where one node has a large part of the rows
-    sizes = rows.groupBy("node").agg(
-        F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("open")
+    """Rows (node, rep, label) of the nodes whose members have more than one label, with the
+    size of the node, its main label and the number of members that have another one."""
+    # written first, so that the join can be split where one node has a large part of the rows
+    labels = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
+    sizes = labels.groupBy("node").agg(
+        F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top")
     )
-    sizes = staged(sizes.where("open").drop("open"))
-    return staged(rows.join(sizes.hint("merge"), "node").select("node", "rep", "label", "size"))
+    sizes = sizes.where("top.n < size").selectExpr("node", "size", "size - top.n AS others", "top.label AS main")
+    return written(rows.join(written(sizes).hint("merge"), "node"))
 
 
 def _roots(classes: DataFrame, trees: range) -> DataFrame:
@@ -182,25 +196,25 @@ def _roots(classes: DataFrame, trees: range) -> DataFrame:
     return _sized(classes.select("rep", "label", F.explode(F.array(*keys)).alias("node")))
 
 
-def _node_pairs(
-    reps: np.ndarray, signatures: np.ndarray, labels: np.ndarray, forest: bool
-) -> list[tuple[int, int]]:
-    """Pairs of a small node that could join two components (``labels``) of the links so far.
-
-    All of them, or those of a spanning forest, the likeliest links first.
-    """
-    count, signatures = len(reps), signatures.astype(np.uint16)
-    rows, columns, shares = [], [], []
-    for i in range(count - 1):
-        open_ = signatures[i + 1 :]
-        share = (open_ == signatures[i]).mean(axis=1)
-        near = np.flatnonzero((share >= LEAST_ESTIMATE) & (labels[i + 1 :] != labels[i]))
-        rows.append(np.full(len(near), i))
-        columns.append(near + i + 1)
-        shares.append(share[near])
-    first, second, share = map(np.concatenate, (rows, columns, shares))
-    if not forest:
-        return list(zip(reps[first].tolist(), reps[second].tolist()))
+def _near_places(
+    signatures: np.ndarray, labels: np.ndarray, sides: np.ndarray
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each row that others are compared with, the places and shares of those that may be
+    similar enough and have another label: all later rows of a whole node, the rows of the
+    second block where a cell has one."""
+    signatures = signatures.astype(np.uint16)
+    second = np.flatnonzero(sides)
+    for i in np.flatnonzero(sides == 0).tolist():
+        open_ = second if len(second) else np.arange(i + 1, len(labels))
+        open_ = open_[labels[open_] != labels[i]]
+        if len(open_):
+            share = (signatures[open_] == signatures[i]).mean(axis=1)
+            near = share >= LEAST_ESTIMATE
+            yield i, open_[near], share[near]
+
+
+def _forest(reps: np.ndarray, labels: np.ndarray, found: list) -> list[tuple[int, int]]:
+    """Of the pairs found, those of a spanning forest of the labels, the likeliest first."""
     names, own = np.unique(labels, return_inverse=True)
     parent = list(range(len(names)))
 
@@ -210,88 +224,138 @@ def _node_pairs(
             x = parent[x]
         return x
 
-    pairs, left = [], len(names) - 1
+    first = np.concatenate([np.full(len(near), i) for i, near, _ in found])
+    second, share = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+    pairs = []
     for k in np.argsort(-share, kind="stable").tolist():
         a, b = root(own[first[k]]), root(own[second[k]])
         if a != b:
             pairs.append((int(reps[first[k]]), int(reps[second[k]])))
             parent[a] = b
-            left -= 1
-            if not left:
-                break
     return pairs
 
 
-def _compare_small(members: DataFrame, forest: bool) -> DataFrame:
-    """Comparison inside every node; members arrive node by node."""
+def _told_here(cell: int, own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether ``cell`` is the least of the cells that a row shares with each other row; rows
+    of ``others`` are the cells of a row, padded with 0."""
+    shared = np.isin(others, own[own != 0])
+    least = np.where(shared, others, np.iinfo(np.int64).max).min(axis=1)
+    return least == cell
 
-    def flush(node: list[pd.DataFrame]) -> list[tuple[int, int]]:
-        rows = pd.concat(node) if len(node) > 1 else node[0]
-        signatures = np.stack(rows["signature"].to_numpy())
-        return _node_pairs(rows["rep"].to_numpy(), signatures, rows["label"].to_numpy(), forest)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, held = None, []
+def _compare(members: DataFrame, forest: bool) -> DataFrame:
+    """Pairs of every cell that could join two components (``label``) of the links so far:
+    those of a spanning forest, or all of them. Members arrive cell by cell.
+
+    A pair that several small nodes hold is given by the least of them (``cells``).
+    """
+
+    def pairs_of(cell: int, held: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+        table = pa.Table.from_batches(held)
+        reps, labels, sides = (table.column(c).to_numpy() for c in ("rep", "label", "side"))
+        flat = table.column("signature").combine_chunks().flatten().to_numpy()
+        signatures = flat.view(np.uint32).reshape(len(reps), -1)
+        found = list(_near_places(signatures, labels, sides))
+        if not found:
+            return []
+        if forest:
+            return _forest(reps, labels, found)
+        lists = table.column("cells").to_pylist()
+        cells = np.zeros((len(reps), max(map(len, lists), default=0)), np.int64)
+        for row, values in enumerate(lists):
+            cells[row, : len(values)] = values
+        pairs = []
+        for i, near, _ in found:
+            if cell in lists[i]:
+                near = near[_told_here(cell, cells[i], cells[near])]
+            pairs += zip([int(reps[i])] * len(near), reps[near].tolist())
+        return pairs
+
+    def packed(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        ends = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
         for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            edges = np.r_[0, np.flatnonzero(cells[1:] != cells[:-1]) + 1, len(cells)].tolist()
             pairs = []
-            for node, part in batch.groupby("node", sort=False):
-                if node != current and held:
-                    pairs += flush(held)
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if held and cells[a] != last:
+                    pairs += pairs_of(last, held)
                     held = []
-                current = node
-                held.append(part)
-            yield pd.DataFrame(pairs, columns=["u", "v"], dtype="int64")
+                last = int(cells[a])
+                held.append(batch.slice(a, b - a))
+            if pairs:
+                yield packed(pairs)
         if held:
-            yield pd.DataFrame(flush(held), columns=["u", "v"], dtype="int64")
+            yield packed(pairs_of(last, held))
 
-    dealt = members.select("node", "rep", "label", "signature").repartition("node")
-    return dealt.sortWithinPartitions("node", "rep").mapInPandas(run, "u long, v long")
+    columns = ["cell", "rep", "label", "side", "cells", "signature"]
+    dealt = members.select(*columns).repartition("cell").sortWithinPartitions("cell", "rep")
+    return dealt.mapInArrow(run, "u long, v long")
 
 
-def _agreement(a: str, b: str) -> Column:
-    """Share of equal places of two signatures."""
-    same = F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0))
-    return F.aggregate(same, F.lit(0), lambda total, x: total + x) / F.lit(COORDINATES)
-
-
-def _compare_large(large: DataFrame, signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of large nodes, and the members of those that have to branch.
+def _blocks(large: DataFrame) -> DataFrame:
+    """(cell, rep, side): large nodes cut into blocks, one cell for each pair of blocks.
 
-    One member of each node, another one in every tree, is compared with all. If nearly
-    all are surely linked with it or in its component, the few others are compared with
-    everyone and the node is done; no group is gathered anywhere.
+    Members outside the main label and those inside are dealt to blocks of their own; a pair
+    of blocks of the main label holds no pair that is open, and is left out.
     """
-    order = F.xxhash64("rep", "node")
-    pivot = large.groupBy("node").agg(F.min(F.struct(order.alias("o"), "rep")).alias("p"))
-    pivot = pivot.select("node", F.col("p.rep").alias("pivot"))
-    own = signatures.select(
-        F.col("rep").alias("pivot"),
-        F.col("label").alias("pivot_label"),
-        F.col("signature").alias("pivot_signature"),
+    half = max(1, SMALL_NODE // 2)
+    h = F.xxhash64("rep", "node")
+    outside = F.ceil(F.col("others") / half)
+    inside = F.ceil((F.col("size") - F.col("others")) / half)
+    own = F.when(F.col("label") != F.col("main"), F.pmod(h, outside)).otherwise(
+        outside + F.pmod(h, inside)
     )
-    pivot = pivot.join(own.hint("merge"), "pivot")
-    members = large.select("node", "rep").join(signatures.hint("merge"), "rep")
-    laid = members.join(pivot.hint("merge"), "node").withColumn(
-        "share", _agreement("signature", "pivot_signature")
+    rows = large.select("node", "rep", outside.alias("outside"), (outside + inside - 1).alias("last"), own.alias("own"))
+
+    def cells(ends: Column, pair, side: int) -> Column:
+        return F.transform(
+            ends, lambda i: F.struct(F.xxhash64(*pair(i)).alias("cell"), F.lit(side).alias("side"))
+        )
+
+    none = F.array().cast("array<struct<cell:bigint,side:int>>")
+    node, mine = F.col("node"), F.col("own")
+    leads = cells(F.sequence(mine, F.col("last")), lambda i: (node, mine, i), 0)
+    follows = cells(
+        F.sequence(F.lit(0).cast("long"), F.least(mine, F.col("outside")) - 1), lambda i: (node, i, mine), 1
     )
-    laid = staged(laid.drop("pivot_signature"))
-    other = (F.col("share") < SURE) & (F.col("label") != F.col("pivot_label"))
-    done = laid.groupBy("node").agg(F.sum(other.cast("int")).alias("unlike"))
-    done = staged(done.withColumn("done", F.col("unlike") <= MOST_UNLIKE))
-    state = laid.join(done.select("node", "done").hint("merge"), "node")
-    near = laid.where(F.col("share") >= LEAST_ESTIMATE).where("label <> pivot_label")
-    pairs = near.select(F.col("pivot").alias("u"), F.col("rep").alias("v"))
-    ended = state.where("done")
-    others = ended.where(other).select(
-        "node",
-        F.col("rep").alias("other"),
-        F.col("label").alias("other_label"),
-        F.col("signature").alias("other_signature"),
+    both = F.concat(
+        F.when(mine < F.col("outside"), leads).otherwise(none),
+        F.when(mine > 0, follows).otherwise(none),
     )
-    crossed = ended.join(others.hint("merge"), "node").where("label <> other_label")
-    close = crossed.where(_agreement("signature", "other_signature") >= LEAST_ESTIMATE)
-    pairs = pairs.unionByName(close.select(F.col("other").alias("u"), F.col("rep").alias("v")))
-    return pairs, state.where("NOT done").select("node", "rep", "label", "signature")
+    return rows.select("rep", F.inline(both)).select("cell", "rep", "side")
+
+
+def _pivot_pairs(large: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs of one member of each large node, outside its main label where there is a choice
+    of pairs left, with all members that may be similar enough and have another label."""
+    order = F.struct((F.col("label") == F.col("main")).alias("m"), F.xxhash64("rep", "node").alias("o"), "rep", "label")
+    pivot = large.groupBy("node").agg(F.min(order).alias("p"))
+    pivot = pivot.select("node", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
+    own = signatures.select(F.col("rep").alias("pivot"), F.col("signature").alias("pivot_signature"))
+    pivot = written(pivot.join(own.hint("merge"), "pivot"))
+    open_ = large.select("node", "rep", "label").join(
+        pivot.select("node", "pivot", "pivot_label").hint("merge"), "node"
+    )
+    # of one class and pivot once, however many nodes hold both
+    open_ = open_.where("label <> pivot_label").select("rep", "pivot").distinct()
+    laid = open_.join(signatures.select("rep", "signature").hint("merge"), "rep").join(
+        own.hint("merge"), "pivot"
+    )
+    near = laid.where(_agreement("signature", "pivot_signature") >= LEAST_ESTIMATE)
+    return near.select(F.col("pivot").alias("u"), F.col("rep").alias("v"))
+
+
+def _agreement(a: str, b: str) -> Column:
+    """Share of equal places of two signatures."""
+    same = F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0))
+    return F.aggregate(same, F.lit(0), lambda total, x: total + x) / F.lit(COORDINATES)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -302,107 +366,171 @@ def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(rep, signature, label): the component of every class, itself where it has no link."""
     label = F.coalesce("component", "rep").alias("label")
     known = classes.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left")
-    return staged(known.select("rep", "signature", label))
-
-
-def candidate_pairs(
-    classes: DataFrame, trees: range
-) -> tuple[DataFrame, list[DataFrame], DataFrame]:
-    """Pairs of classes (rep, signature, label) to confirm first, the small nodes of every
-    level, and the classes that went deeper than so many trees are good for."""
-    found, nodes = [], []
-    members = _roots(classes, trees)
-    signatures = classes
-    deep = classes.select("rep")
-    if missed(1, len(trees)) <= MOST_MISSED:
-        deep = deep.limit(0)
-    # joins by merging and a staged result for each level keep the driver out of it
+    return written(known.select("rep", "signature", label))
+
+
+def candidate_cells(known: DataFrame, trees: range) -> tuple[DataFrame, DataFrame, int]:
+    """(cell, rep, side, small): what has to be compared of classes (rep, signature, label);
+    the classes that went deeper than so many trees are good for; the levels needed."""
+    cells, signatures = [], known
+    members, deep = _roots(known, trees), known.select("rep").limit(0)
     for depth in range(1, MOST_LEVELS + 1):
+        # joins by merging and a staged result for each level keep the driver out of it
         largest = members.agg(F.max("size")).first()[0] or 0
-        if not largest and nodes:
-            return _ordered(reduce(DataFrame.unionByName, found)), nodes, deep
         small = members.where(F.col("size") <= SMALL_NODE)
-        nodes.append(small.select("node", "rep"))
-        laid = small.select("node", "rep").join(signatures.hint("merge"), "rep")
-        found.append(staged(_compare_small(laid, True).distinct()))
-        large = members.where(F.col("size") > SMALL_NODE)
+        whole = small.select(F.col("node").alias("cell"), "rep", F.lit(0).alias("side"))
+        cells.append(whole.withColumn("small", F.lit(True)))
         if largest <= SMALL_NODE:
-            return _ordered(reduce(DataFrame.unionByName, found)), nodes, deep
+            break
+        large = members.where(F.col("size") > SMALL_NODE)
+        ends = F.lit(depth == MOST_LEVELS) | (F.col("others") <= SMALL_NODE)
+        cells.append(_blocks(large.where(ends)).withColumn("small", F.lit(False)))
+        rest = large.where(~ends).select("node", "rep")
+        if rest.isEmpty():
+            break
         # what goes on needs the signatures of ever fewer classes
-        wanted = large.select("rep").distinct().hint("merge")
-        signatures = staged(signatures.join(wanted, "rep", "left_semi"))
-        pairs, rest = _compare_large(large, signatures)
-        found.append(staged(pairs.distinct()))
-        members = _branch(rest)
+        wanted = rest.select("rep").distinct().hint("merge")
+        signatures = written(signatures.join(wanted, "rep", "left_semi"))
+        members = _branch(rest.join(signatures.hint("merge"), "rep"))
         if missed(depth, len(trees)) <= MOST_MISSED < missed(depth + 1, len(trees)):
-            deep = staged(members.select("rep").distinct())
-    raise RuntimeError(f"nodes of more than {SMALL_NODE} members after {MOST_LEVELS} levels")
-
+            deep = written(members.select("rep").distinct())
+    return written(reduce(DataFrame.unionByName, cells)), deep, depth
+
+
+def _laid(cells: DataFrame, known: DataFrame, forest: bool) -> DataFrame:
+    """Cells that hold more than one label, with label and signature of their members and, for
+    the pairs that are left after the forest, the small nodes each member is in."""
+    labels = known.select("rep", "label")
+    rows = cells.join(labels.hint("merge"), "rep")
+    open_ = rows.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+    rows = rows.join(written(open_.where("a < b").select("cell")).hint("merge"), "cell")
+    rows = written(rows.select("cell", "rep", "label", "side", "small"))
+    sides = known.select("rep", "signature").withColumn("cells", F.array().cast("array<long>"))
+    if not forest:
+        lists = rows.where("small").groupBy("rep").agg(F.collect_set("cell").alias("cells"))
+        sides = sides.drop("cells").join(lists.hint("merge"), "rep", "left")
+        sides = sides.withColumn("cells", F.coalesce("cells", F.array().cast("array<long>")))
+    return rows.drop("small").join(sides.hint("merge"), "rep")
 
-def remaining_pairs(nodes: list[DataFrame], known: DataFrame) -> DataFrame:
-    """Pairs of the small nodes that could still join two components."""
-    found = [_compare_small(x.join(known.hint("merge"), "rep"), False) for x in nodes]
-    return _ordered(reduce(DataFrame.unionByName, found))
 
+def confirmed(
+    pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
+) -> DataFrame:
+    """The pairs whose full sets are similar enough. Texts travel, not their sets.
 
-def confirmed(pairs: DataFrame, df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The pairs whose full sets are similar enough. Texts travel, not their sets."""
-    ends = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id")))
-    wanted = staged(ends.distinct())
-    side = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+    ``classes`` (rep, doc, key1, key2) says which document has the set of a class; the key of
+    the set tells its text from other texts of the same identifier.
+    """
+    ends = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep")))
+    ends = ends.distinct().join(classes.select("rep", "doc", "key1", "key2").hint("merge"), "rep")
+    wanted = written(ends.withColumnRenamed("doc", "id"))
+    ids = wanted.select("id").distinct()
+    side = F.broadcast(ids) if wanted.count() <= MOST_BROADCAST else ids
     texts = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    texts = texts.join(side, "id", "left_semi").dropDuplicates(["id"])
-    first = texts.select(F.col("id").alias("u"), F.col("text").alias("u_text"))
-    second = texts.select(F.col("id").alias("v"), F.col("text").alias("v_text"))
+    texts = texts.join(side, "id", "left_semi").dropDuplicates(["id", "text"])
+    held = wanted.join(texts.hint("merge"), "id").drop("id")
+
+    def of(end: str) -> DataFrame:
+        return held.toDF(end, f"{end}_key1", f"{end}_key2", f"{end}_text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles()
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[tuple, np.ndarray | None] = {}
+
+        def set_of(key1: int, key2: int, text: str) -> np.ndarray | None:
+            """The set of a text if it has that key."""
+            if (key1, key2, text) not in sets:
+                found = shingles.of(text)
+                same = set_key(found) == (key1, key2)
+                sets[key1, key2, text] = found if same else None
+            return sets[key1, key2, text]
+
         for batch in batches:
             keep = []
-            for u, v, u_text, v_text in batch[["u", "v", "u_text", "v_text"]].itertuples(index=False):
+            columns = ("u_key1", "u_key2", "u_text", "v_key1", "v_key2", "v_text")
+            for values in batch[list(columns)].itertuples(index=False):
                 if len(sets) > 200:
                     sets.clear()
-                a = sets[u] if u in sets else sets.setdefault(u, shingles.of(u_text))
-                b = sets[v] if v in sets else sets.setdefault(v, shingles.of(v_text))
+                a, b = set_of(*values[:3]), set_of(*values[3:])
+                if a is None or b is None:
+                    keep.append(False)
+                    continue
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= LEAST_PERCENT * (len(a) + len(b) - both))
             yield batch.loc[keep, ["u", "v"]]
 
-    joined = pairs.join(first.hint("merge"), "u").join(second.hint("merge"), "v")
+    joined = pairs.join(of("u").hint("merge"), "u").join(of("v").hint("merge"), "v")
     return joined.mapInPandas(run, "u long, v long")
 
 
+def set_key(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two signed numbers."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), "<i8").tolist())
+
+
+class _Links:
+    """Links confirmed so far, the pairs tried, and the component of every class."""
+
+    def __init__(self, classes: DataFrame, df: DataFrame, id_column: str, text_column: str):
+        self.source = classes, df, id_column, text_column
+        self.found = classes.selectExpr("rep AS u", "rep AS v").limit(0)
+        self.tried = self.found
+        self.labels = self.found.toDF("node", "component")
+
+    def add(self, pairs: DataFrame) -> None:
+        pairs = written(_ordered(pairs).join(self.tried.hint("merge"), ["u", "v"], "left_anti"))
+        if pairs.isEmpty():
+            return
+        self.tried = self.tried.unionByName(pairs)
+        found = written(confirmed(pairs, *self.source))
+        if not found.isEmpty():
+            self.found = self.found.unionByName(found)
+            self.labels = written(components(self.found))
+
+
+def _join_large_groups(signatures: DataFrame, links: _Links) -> None:
+    """Link the members of large nodes with one of them, while that closes the nodes."""
+    left = None
+    while True:
+        members = _roots(_labelled(signatures, links.labels), range(FIRST_TREES))
+        large = members.where(F.col("size") > SMALL_NODE)
+        outside = large.select("node", "others").distinct().agg(F.sum("others")).first()[0]
+        if not outside or (left is not None and 2 * outside > left):
+            return
+        left = outside
+        links.add(_pivot_pairs(large, signatures))
+
+
 def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    documents = staged(shingle_table(df, id_column, text_column))
+    documents = written(shingle_table(df, id_column, text_column))
     own = documents.where("n_shingles > 0")
-    classes = own.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"))
-    classes = staged(classes)
-    members = own.select(F.col("doc_id").alias("rep"), "key1", "key2", "signature")
-    signatures = members.join(classes, ["rep", "key1", "key2"]).dropDuplicates(["rep"])
-    signatures = staged(signatures.select("rep", "signature"))
-    links = signatures.selectExpr("rep AS u", "rep AS v").limit(0)
-    labels = links.toDF("node", "component")
-    tested, subset, trees, needed = links, signatures, 0, TREES
+    # the signature is a function of the set, so any member of a class has it
+    classes = own.groupBy("key1", "key2").agg(
+        F.min("doc_id").alias("doc"), F.any_value("signature").alias("signature")
+    )
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
+    signatures = classes.select("rep", "signature")
+    links = _Links(classes.drop("signature"), df, id_column, text_column)
+    _join_large_groups(signatures, links)
+    subset, trees, needed = signatures, 0, TREES
     while trees < needed:
-        known = _labelled(subset, labels)
-        pairs, nodes, deep = candidate_pairs(known, range(trees, needed))
-        for second in (False, True):
-            if second:
-                pairs = remaining_pairs(nodes, _labelled(subset, labels))
-            pairs = staged(pairs.join(tested.hint("merge"), ["u", "v"], "left_anti"))
-            tested = tested.unionByName(pairs)
-            links = links.unionByName(staged(confirmed(pairs, df, id_column, text_column)))
-            labels = staged(components(links))
+        known = _labelled(subset, links.labels)
+        cells, deep, depth = candidate_cells(known, range(trees, needed))
+        links.add(_compare(_laid(cells, known, True), True))
+        known = _labelled(subset, links.labels)
+        links.add(_compare(_laid(cells, known, False), False))
         if not trees:
-            subset = staged(signatures.join(deep.hint("merge"), "rep", "left_semi"))
-        trees, needed = needed, max(needed, trees_for(len(nodes)))
-    classes = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "key1", "key2", F.coalesce("component", "rep").alias("component_id")
+            subset = written(signatures.join(deep.hint("merge"), "rep", "left_semi"))
+        trees, needed = needed, max(needed, trees_for(depth))
+    named = classes.select("rep", "key1", "key2", "doc").join(
+        links.labels.hint("merge"), F.col("rep") == F.col("node"), "left"
     )
+    named = written(named.select("key1", "key2", "doc", F.coalesce("component", "rep").alias("component")))
+    least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
+    named = named.join(least.hint("merge"), "component").select("key1", "key2", "component_id")
     sized = documents.select("doc_id", "n_shingles", "key1", "key2")
-    full = sized.where("n_shingles > 0").join(classes, ["key1", "key2"])
+    full = sized.where("n_shingles > 0").join(named, ["key1", "key2"])
     empty = sized.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
     return full.select(*columns).unionByName(empty.select(*columns))

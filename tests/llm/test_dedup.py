@@ -189,8 +189,57 @@ def test_more_trees_follow_where_few_are_not_enough(spark, monkeypatch):
 
 
 def test_trees_hold_the_recall_at_every_depth():
-    for depth in range(1, 20):
+    for depth in range(1, near_dedup.MOST_LEVELS + 1):
         assert near_dedup.missed(depth, near_dedup.trees_for(depth)) <= near_dedup.MOST_MISSED
+    assert near_dedup.trees_for(near_dedup.MOST_LEVELS) < 30
+
+
+@pytest.mark.parametrize("levels", [1, 3])
+def test_family_without_links_is_compared_in_blocks(spark, monkeypatch, levels):
+    """Texts that share two thirds of their words, some linked pairs hidden among them: nodes
+    hardly shrink, and every link has to be found."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 16)
+    monkeypatch.setattr(near_dedup, "MOST_LEVELS", levels)
+    pick, rows = random.Random(3), []
+    shared = [f"b{i}" for i in range(200)]
+    for doc in range(150):
+        own = [f"o{doc}x{i}" for i in range(45)]
+        rows.append((doc, " ".join(shared + own)))
+        if doc % 10 == 0:
+            own[pick.randrange(45)] = "changed"
+            rows.append((1000 + doc, " ".join(shared + own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(frame, "doc_id", "text").collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
+
+
+def test_blocks_hold_every_open_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 10)
+    labels = [min(i % 60, 30) for i in range(200)]
+    rows = [(7, i, label, 200, sum(x != 30 for x in labels), 30) for i, label in enumerate(labels)]
+    frame = spark.createDataFrame(
+        rows, "node long, rep long, label long, size long, others long, main long"
+    )
+    cells = {}
+    for r in near_dedup._blocks(frame).collect():
+        cells.setdefault(r.cell, []).append((r.rep, r.side))
+    held = []
+    for members in cells.values():
+        first = [rep for rep, side in members if not side]
+        second = [rep for rep, side in members if side]
+        pairs = [(a, b) for a in first for b in second] or [(a, b) for a in first for b in first if a < b]
+        held += [tuple(sorted(p)) for p in pairs if labels[p[0]] != labels[p[1]]]
+        assert len(members) < 40
+    assert len(held) == len(set(held))
+    assert set(held) == {(a, b) for b in range(200) for a in range(b) if labels[a] != labels[b]}
+
+
+def test_identifier_with_several_texts_keeps_all_links(spark):
+    one, other = ("word%d " * 12 % tuple(range(k, k + 12)) * 3 for k in (0, 100))
+    rows = [(1, one), (1, other), (2, one + "end"), (3, other + "end"), (4, "alone in here with words")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(frame, "doc_id", "text").collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
 
 
 @pytest.mark.parametrize("shape", ["chain", "star", "mixed", "none"])
