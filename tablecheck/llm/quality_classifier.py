@@ -1,8 +1,9 @@
 """Quality classifier by positive-unlabelled learning.
 
 A linear model over text statistics is trained from trusted positives and unlabelled
-text. The class prior of the unlabelled text is estimated first; the training minimises
-the non-negative unbiased risk
+text, which is all learnable text as it comes, whatever labels some or all of it has. The
+class prior of the unlabelled text is estimated first; the training minimises the
+non-negative unbiased risk
 
     prior * R(positives as +) + max(0, R(unlabelled as -) - prior * R(positives as -))
 
@@ -10,9 +11,10 @@ with the logistic loss, by full-batch steps on a bounded sample of rows. Labels,
 source and identifier are never inputs of a score.
 
 Rules for odd input: NULL text is empty and gets a score too; a document whose labels
-contradict each other is unlabelled; without any positive, or without unlabelled text,
-every score is the estimated prior (1 if there is nothing to estimate it from); rows with
-a NULL identifier are scored and never learnt from.
+contradict each other is no positive; without any positive every score is nearly 1; a
+table that is labelled throughout, and a small one, are learnt from like any other; rows
+that repeat an identifier are all learnt from or all not; rows with a NULL identifier are
+scored and never learnt from; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -158,15 +160,14 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     prior = estimate_prior(*seen)
 
     def risk(w: np.ndarray) -> np.ndarray:
-        """Gradient of the non-negative risk; where the part for negatives falls below
-        zero, the step goes back up, as the correction asks."""
+        """Gradient of the non-negative risk: the part for negatives counts while it is above
+        zero, so few rows cannot push it below by giving up the positives."""
         xp, xu = p @ w, u @ w
         sp, su = _sigmoid(xp), _sigmoid(xu)
         negative = np.logaddexp(0, xu).mean() - prior * np.logaddexp(0, xp).mean()
         of_negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
-        if negative < 0:
-            return -of_negative
-        return prior * (p.T @ (sp - 1)) / len(p) + of_negative + 2 * penalty * w
+        of_positive = prior * (p.T @ (sp - 1)) / len(p) + 2 * penalty * w
+        return of_positive + of_negative if negative > 0 else of_positive
 
     w = _descend(risk, 3 * size + 1)
     return Model(centre, spread, w[:-1], float(w[-1]), prior)
@@ -218,8 +219,8 @@ def train(
     joined = known.distinct().join(marks, F.col("id") == F.col("marked_id"), "left")
     order = F.xxhash64("id", F.lit("fit"))
     positive = joined.where("least = 1").orderBy(order, "id").limit(fit_rows)
-    unlabelled = joined.where("marked_id IS NULL OR least <> most")
-    unlabelled = unlabelled.orderBy(order, "id").limit(fit_rows)
+    # the web as it comes, whatever marks some of it has: a table may be marked throughout
+    unlabelled = joined.orderBy(order, "id").limit(fit_rows)
     samples = []
     for sample in (positive, unlabelled):
         # at most ``fit_rows`` identifiers

@@ -217,6 +217,41 @@ def test_held_out_labels_have_no_say(spark, sf_dir):
     assert np.array_equal(models[0].weights, models[1].weights)
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("every_row_labelled", [False, True])
+def test_classifier_on_small_and_fully_labelled_tables(spark, size, every_row_labelled):
+    documents = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    if every_row_labelled:
+        documents = documents.join(labels.select("doc_id"), "doc_id", "left_semi")
+    model = quality_classifier.train(documents, labels)
+    scored = quality_classifier.score(documents, "text", model).join(labels, "doc_id")
+    held = scored.where(quality_classifier.held_out("doc_id")).select("quality", "score").collect()
+    assert np.mean([x.score >= 0.5 for x in held if x.quality == 1]) > 0.9
+    assert np.mean([x.score < 0.5 for x in held if x.quality == 0]) > 0.9
+
+
+def test_risk_is_minimised(spark):
+    """The fitted weights against small steps to all sides, by the risk written out."""
+    draw = np.random.default_rng(5)
+    size = quality_classifier.N_FEATURES
+    positive, negative = draw.normal(1, 1, (300, size)), draw.normal(-1, 1, (300, size))
+    unlabelled = np.r_[draw.normal(1, 1, (500, size)), negative]
+    model = quality_classifier.fit(positive, unlabelled)
+
+    def risk(weights, bias):
+        p, u = (model.expand(x) @ weights + bias for x in (positive, unlabelled))
+        loss = lambda z: np.log1p(np.exp(-z)).mean()
+        rest = loss(-u) - model.prior * loss(-p)
+        penalty = max(quality_classifier.PENALTY, 1 / 300) * (weights @ weights + bias**2)
+        return model.prior * loss(p) + max(0.0, rest) + penalty
+
+    best = risk(model.weights, model.bias)
+    for _ in range(200):
+        step = draw.normal(0, 0.05, len(model.weights) + 1)
+        assert risk(model.weights + step[:-1], model.bias + step[-1]) > best - 2e-3
+
+
 def test_prior_of_a_known_mixture():
     pick = np.random.default_rng(2)
     good, bad = pick.normal(2, 1, 30_000), pick.normal(-2, 1, 30_000)
