@@ -7,15 +7,17 @@ all copies alike.
    two places has its anchor's hash in both. Anchors whose hash comes once are done.
 2. The windows that have an anchor in common make a block. Where a whole block comes more
    than once, all of it repeats; copies of documents end here, as hashes.
-3. Where an anchor has several blocks, their bytes go to shards by its hash. Each shard gets a suffix array by Larsson-Sadakane refinement and Kasai's
-   common prefixes; windows that share ``WINDOW`` bytes with a neighbour repeat.
-4. An anchor with more blocks than ``PIECE`` is spread over shards by their hash. Such shards hand on one digest for each of their different windows; these lists are
-   dealt by digest, and each is looked up in the union of all by binary search.
+3. Where an anchor has several blocks, the bytes of one copy of each go to shards by its
+   hash. Each shard gets a suffix array by Larsson-Sadakane refinement and Kasai's common
+   prefixes; windows that share ``WINDOW`` bytes with a neighbour repeat.
+4. An anchor with more blocks than ``PIECE`` is spread over shards by their hash. Such
+   shards hand on one digest for each of their different windows; these lists are dealt by
+   digest, and each is looked up in the union of all by binary search.
 
 Rules for odd input: NULL and empty texts have no bytes; texts shorter than a window lose
-nothing; matches never cross documents; repeated rows with one identifier are copies of
-each other, and what is found in any of them is removed from each; rows with a NULL
-identifier are returned whole; an empty table gives an empty result.
+nothing; matches never cross documents; rows that repeat an identifier are texts like any
+others, copies of each other where they are equal; rows with a NULL identifier are returned
+whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -123,8 +125,11 @@ def chunks(texts: list[bytes]) -> Iterator[slice]:
 
 
 def _texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, text, doc): ``doc`` stands for an identifier and its text, so that another text of
+    the same identifier is another one; equal rows share it."""
     data = F.coalesce(F.col(text_column).cast("string").cast("binary"), F.lit(b""))
-    return df.select(F.col(id_column).cast("long").alias("doc"), data.alias("text"))
+    rows = df.select(F.col(id_column).cast("long").alias("id"), data.alias("text"))
+    return rows.withColumn("doc", F.when(F.col("id").isNotNull(), F.xxhash64("id", "text")))
 
 
 ANCHORS = "hash long, block long, doc long, start int, end int"
@@ -147,7 +152,8 @@ def _anchor_rows(texts: DataFrame, only_hashes: bool) -> DataFrame:
                 count = 1 if only_hashes else len(names)
                 yield pa.RecordBatch.from_arrays(columns[:count], names[:count])
 
-    return texts.mapInArrow(run, "hash long" if only_hashes else ANCHORS)
+    chosen = texts.select("doc", "text")
+    return chosen.mapInArrow(run, "hash long" if only_hashes else ANCHORS)
 
 
 FOUND = "doc long, start int, end int, key1 long, key2 long, alone boolean"
@@ -223,7 +229,11 @@ def _merge_shards(digests: DataFrame) -> DataFrame:
     """Windows that no other in their shard equals, but one in another shard does."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat([pd.DataFrame({x.split()[0]: [] for x in FOUND.split(", ")}), *batches])
+        # without an empty frame among them, which would turn whole numbers into floats
+        parts = [batch for batch in batches if len(batch)]
+        if not parts:
+            return
+        rows = pd.concat(parts)
         keys = np.empty(len(rows), [("a", "<i8"), ("b", "<i8")])
         keys["a"], keys["b"] = rows["key1"].to_numpy("i8"), rows["key2"].to_numpy("i8")
         merged = np.sort(keys)
@@ -238,14 +248,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """(doc, start, end) in bytes of what also starts elsewhere; spans may overlap."""
     known = texts.where("doc IS NOT NULL")
     anchors = written(shared(_anchor_rows(known, False), _anchor_rows(known, True)), "anchors")
-    groups = anchors.groupBy("hash", "block").agg(F.count("*").alias("n"), F.min("doc").alias("d"))
+    groups = anchors.groupBy("hash", "block").agg(
+        F.count("*").alias("n"), F.min(F.struct("doc", "start", "end")).alias("one")
+    )
     groups = written(groups, "groups")
     variants = groups.groupBy("hash").agg(F.count("*").alias("variants")).where("variants > 1")
     variants = written(variants, "variants")
-    marked = anchors.join(groups, ["hash", "block"])
-    spans = marked.where("n > 1").select("doc", "start", "end")
-    # of equal blocks those in one document stand for all
-    chosen = marked.where("n = 1 OR doc = d").join(variants, "hash")
+    several = groups.where("n > 1").select("hash", "block")
+    spans = anchors.join(several, ["hash", "block"]).select("doc", "start", "end")
+    # of equal blocks one stands for all
+    chosen = groups.join(variants, "hash").select("hash", "block", "n", "variants", "one.*")
     pieces = F.ceil(F.col("variants") / PIECE).cast("int")
     open_ = chosen.select(
         "doc",
@@ -260,7 +272,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     by_doc = written(open_.groupBy("doc").agg(F.collect_list("open").alias("open")), "open")
     near, _ = split_touched(known, by_doc.select("doc"))
-    cut = near.join(by_doc, "doc").select("doc", "text", F.explode("open").alias("open"))
+    # equal rows have one text
+    once = near.select("doc", "text").join(by_doc, "doc").dropDuplicates(["doc"])
+    cut = once.select("doc", "text", F.explode("open").alias("open"))
     length = F.col("open.end") - F.col("open.start")
     data = F.substring(F.col("text"), F.col("open.start") + 1, length)
     blocks = cut.select(
@@ -300,12 +314,12 @@ def remove_repeats(
     spans = written(spans, "spans")
     touched, untouched = split_touched(texts, spans.select("doc"))
     key = F.xxhash64("text").alias("text_key")
-    joined = touched.join(spans, "doc", "left").select("*", key)
+    joined = touched.join(spans, "doc", "left").select("id", "text", "starts", "ends", key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            columns = (batch[c] for c in ("doc", "text", "starts", "ends", "text_key"))
+            columns = (batch[c] for c in ("id", "text", "starts", "ends", "text_key"))
             for doc, data, starts, ends, key in zip(*columns):
                 starts, ends = ((() if x is None else x) for x in (starts, ends))
                 own = merged_spans(np.asarray(starts, np.int64), np.asarray(ends, np.int64), len(data))
@@ -326,7 +340,7 @@ def remove_repeats(
     zero = F.lit(0).cast("long")
     return removed.unionByName(
         untouched.select(
-            "doc",
+            F.col("id").alias("doc"),
             F.octet_length("text").cast("long").alias("n_bytes"),
             zero.alias("n_removed"),
             zero.alias("n_spans"),

@@ -291,3 +291,34 @@ def test_kept_text_of_queries_is_hashed_whole(spark, odd_documents):
     found = substring_dedup.remove_repeats(odd_documents, "doc_id", "text").where("doc = 5")
     row = found.select("kept", F.sha2(F.col("kept").cast("binary"), 256).alias("h")).first()
     assert row.h == hashlib.sha256(row.kept.encode()).hexdigest()
+
+
+def test_bytes_of_one_identifier_with_several_texts(spark):
+    """Texts of different lengths under one identifier, equal rows, a long text that repeats a
+    line: every row like brute force over all rows."""
+    pick = random.Random(6)
+    line = "".join(pick.choices("abcdefg hij", k=260))
+    other = "".join(pick.choices("klmnop qr", k=900))
+    rows = [(1, line + "x"), (1, other), (1, other[300:]), (2, "y" + line), (2, "y" + line)]
+    rows += [(3, "\n".join(f"{line}{k}" for k in range(40))), (4, other[:150]), (5, line[:205])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.remove_repeats(frame, "doc_id", "text").collect()
+    texts = brute_bytes(list(enumerate(text for _, text in rows)))
+    expected = sorted((doc, *texts[k]) for k, (doc, _) in enumerate(rows))
+    assert sorted((r.doc, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == expected
+
+
+def test_a_repeated_block_goes_to_a_shard_once(spark, monkeypatch):
+    line = "".join(random.Random(8).choices("abcdefgh", k=300))
+    rows = [(1, "\n".join([line] * 500)), (2, line + "z"), (3, "z" + line)]
+    held = []
+    real = suffix_dedup._sort_shards
+
+    def counted(blocks):
+        held.append(blocks.count())
+        return real(blocks)
+
+    monkeypatch.setattr(suffix_dedup, "_sort_shards", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert suffix_dedup.remove_repeats(frame, "doc_id", "text").count() == 3
+    assert held[0] < 50
