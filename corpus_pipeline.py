@@ -75,10 +75,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     side = F.broadcast(keys) if small else keys
     same_key = (docs["doc_id"] == side[names[0]]) & (key == side[names[1]])
     touched = docs.join(side, same_key, "left_semi")
-    changed = {
-        "text": F.col(names[2]),
-        "n_chars": F.char_length(names[2]).cast(docs.schema["n_chars"].dataType),
-    }
+    changed = {"text": F.col(names[2])}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.char_length(names[2]).cast(docs.schema["n_chars"].dataType)
     joined = touched.join(cut, same).withColumns(changed).select(*docs.columns)
     return joined.unionByName(docs.join(side, same_key, "left_anti"))
 
