@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.llm.common import written
 from tablecheck.llm.components import components
-from tablecheck.llm.words import WordHashes, mixed, run_hashes
+from tablecheck.llm.words import WordHashes, run_hashes
 
 SHINGLE = 5
 #: Links need 100 * intersection >= LEAST_PERCENT * union.
