@@ -15,8 +15,10 @@ confirmed before:
    this at least halves the members outside of it. Each round costs a node one pair for a
    member. A group of copies is one component then and its nodes are closed.
 2. Forests. Every small node gives the likeliest links of a spanning forest.
-3. The rest. Every pair of a small node that may be similar enough and has its ends in two
-   components. A pair that several nodes hold is given by one of them.
+3. The rest. Every pair of a node that may be similar enough and has its ends in two
+   components. Pairs are not given on: their members get their texts and the task of the node
+   compares the full sets, so that only links leave it, fewer than the node has members. A
+   pair that several nodes hold is compared in one of them.
 
 A large node whose members outside its main component are few enough for one task is not
 branched: these are compared with all its members, in blocks. So is a node that is still
@@ -39,7 +41,7 @@ result each; rows with a NULL identifier are left out; an empty table gives an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from math import comb
 
@@ -235,72 +237,152 @@ def _forest(reps: np.ndarray, labels: np.ndarray, found: list) -> list[tuple[int
     return pairs
 
 
-def _told_here(cell: int, own: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Whether ``cell`` is the least of the cells that a row shares with each other row; rows
-    of ``others`` are the cells of a row, padded with 0."""
+def _told_here(node: int, own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether ``node`` is the least of the nodes that a row shares with each other row; rows
+    of ``others`` are the nodes of a row, padded with 0."""
     shared = np.isin(others, own[own != 0])
     least = np.where(shared, others, np.iinfo(np.int64).max).min(axis=1)
-    return least == cell
+    return least == node
 
 
-def _compare(members: DataFrame, forest: bool) -> DataFrame:
-    """Pairs of every cell that could join two components (``label``) of the links so far:
-    those of a spanning forest, or all of them. Members arrive cell by cell.
+def _padded(lists: list[list[int]]) -> np.ndarray:
+    """Lists of numbers as rows, padded with 0."""
+    rows = np.zeros((len(lists), max(map(len, lists), default=0)), np.int64)
+    for row, values in enumerate(lists):
+        rows[row, : len(values)] = values
+    return rows
 
-    A pair that several small nodes hold is given by the least of them (``cells``).
-    """
 
-    def pairs_of(cell: int, held: list[pa.RecordBatch]) -> list[tuple[int, int]]:
-        table = pa.Table.from_batches(held)
-        reps, labels, sides = (table.column(c).to_numpy() for c in ("rep", "label", "side"))
-        flat = table.column("signature").combine_chunks().flatten().to_numpy()
-        signatures = flat.view(np.uint32).reshape(len(reps), -1)
-        found = list(_near_places(signatures, labels, sides))
-        if not found:
-            return []
-        if forest:
-            return _forest(reps, labels, found)
-        lists = table.column("cells").to_pylist()
-        cells = np.zeros((len(reps), max(map(len, lists), default=0)), np.int64)
-        for row, values in enumerate(lists):
-            cells[row, : len(values)] = values
-        pairs = []
-        for i, near, _ in found:
-            if cell in lists[i]:
-                near = near[_told_here(cell, cells[i], cells[near])]
-            pairs += zip([int(reps[i])] * len(near), reps[near].tolist())
-        return pairs
-
-    def packed(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-        ends = np.array(pairs, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["u", "v"])
+def _signatures(table: pa.Table) -> np.ndarray:
+    flat = table.column("signature").combine_chunks().flatten().to_numpy()
+    return flat.view(np.uint32).reshape(table.num_rows, -1)
+
+
+def _pairs_table(pairs: list[tuple[int, int]]) -> pa.Table:
+    ends = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.table({"u": ends[:, 0], "v": ends[:, 1]})
+
+
+def _cell_by_cell(
+    members: DataFrame, columns: list[str], handle: Callable[[pa.Table], pa.Table | None], schema: str
+) -> DataFrame:
+    """What ``handle`` gives for all rows of every cell; cells are dealt to tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
         for batch in batches:
             cells = batch.column("cell").to_numpy()
             edges = np.r_[0, np.flatnonzero(cells[1:] != cells[:-1]) + 1, len(cells)].tolist()
-            pairs = []
+            found = []
             for a, b in zip(edges, edges[1:]):
                 if a == b:
                     continue
                 if held and cells[a] != last:
-                    pairs += pairs_of(last, held)
+                    found.append(handle(pa.Table.from_batches(held)))
                     held = []
                 last = int(cells[a])
                 held.append(batch.slice(a, b - a))
-            if pairs:
-                yield packed(pairs)
+            yield from packed(found)
         if held:
-            yield packed(pairs_of(last, held))
+            yield from packed([handle(pa.Table.from_batches(held))])
+
+    def packed(found: list[pa.Table | None]) -> Iterator[pa.RecordBatch]:
+        tables = [x for x in found if x is not None]
+        if tables:
+            yield from pa.concat_tables(tables).combine_chunks().to_batches()
 
-    columns = ["cell", "rep", "label", "side", "cells", "signature"]
     dealt = members.select(*columns).repartition("cell").sortWithinPartitions("cell", "rep")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, schema)
+
+
+def _forest_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of every cell that could join two components (``label``) of the links so far,
+    those of a spanning forest."""
+
+    def pairs_of(table: pa.Table) -> pa.Table | None:
+        reps, labels, sides = (table.column(c).to_numpy() for c in ("rep", "label", "side"))
+        found = list(_near_places(_signatures(table), labels, sides))
+        return _pairs_table(_forest(reps, labels, found)) if found else None
+
+    columns = ["cell", "rep", "label", "side", "signature"]
+    return _cell_by_cell(members, columns, pairs_of, "u long, v long")
+
+
+OPEN = "cell long, node long, rep long, label long, side int, nodes array<long>"
+
+
+def _open_members(members: DataFrame) -> DataFrame:
+    """The members of every cell that are in a pair that could join two components and that
+    this cell has to compare."""
+    columns = [x.split()[0] for x in OPEN.split(", ")]
+
+    def open_of(table: pa.Table) -> pa.Table | None:
+        labels, sides = (table.column(c).to_numpy() for c in ("label", "side"))
+        node, nodes = table.column("node")[0].as_py(), _padded(table.column("nodes").to_pylist())
+        keep = np.zeros(len(labels), bool)
+        for i, near, _ in _near_places(_signatures(table), labels, sides):
+            near = near[_told_here(node, nodes[i], nodes[near])]
+            keep[near] = True
+            keep[i] |= len(near) > 0
+        return table.select(columns).filter(pa.array(keep)) if keep.any() else None
+
+    return _cell_by_cell(members, [*columns, "signature"], open_of, OPEN)
+
+
+def _node_links(
+    reps: np.ndarray, labels: np.ndarray, sides: np.ndarray, node: int, nodes: np.ndarray, sets: list
+) -> list[tuple[int, int]]:
+    """Links of a cell by the full sets, one for each two components that it joins."""
+    labels, sizes = labels.copy(), np.array([len(x) for x in sets])
+    names = np.unique(np.concatenate(sets))
+    places = [np.searchsorted(names, x).astype(np.int32) for x in sets]
+    marked = np.zeros(len(names), bool)
+    second, links = np.flatnonzero(sides), []
+    for i in np.flatnonzero(sides == 0).tolist():
+        open_ = second if len(second) else np.arange(i + 1, len(labels))
+        open_ = open_[labels[open_] != labels[i]]
+        least, most = np.minimum(sizes[open_], sizes[i]), np.maximum(sizes[open_], sizes[i])
+        open_ = open_[100 * least >= LEAST_PERCENT * most]
+        open_ = open_[_told_here(node, nodes[i], nodes[open_])] if len(open_) else open_
+        if not len(open_):
+            continue
+        marked[places[i]] = True
+        both = np.array([np.count_nonzero(marked[places[j]]) for j in open_.tolist()])
+        marked[places[i]] = False
+        linked = open_[100 * both >= LEAST_PERCENT * (sizes[open_] + sizes[i] - both)]
+        joined, first = np.unique(labels[linked], return_index=True)
+        links += [(int(reps[i]), int(reps[j])) for j in linked[first].tolist()]
+        labels[np.isin(labels, joined)] = labels[i]
+    return links
+
+
+def _full_links(
+    members: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
+) -> DataFrame:
+    """Links (u, v) of the rest: the members of every cell compared by their full sets."""
+
+    def links_of(table: pa.Table) -> pa.Table | None:
+        shingles = Shingles()
+        wanted = zip(table.column("key1").to_pylist(), table.column("key2").to_pylist())
+        sets = [shingles.of(text) for text in table.column("text").to_pylist()]
+        # an identifier may have other texts too
+        own = np.flatnonzero([set_key(x) == key for x, key in zip(sets, wanted)])
+        if len(own) < 2:
+            return None
+        reps, labels, sides = (table.column(c).to_numpy()[own] for c in ("rep", "label", "side"))
+        nodes = _padded(table.column("nodes").to_pylist())[own]
+        node = table.column("node")[0].as_py()
+        links = _node_links(reps, labels, sides, node, nodes, [sets[i] for i in own])
+        return _pairs_table(links) if links else None
+
+    held = _texts_of(members.select("rep").distinct(), classes, df, id_column, text_column)
+    rows = members.join(held.hint("merge"), "rep")
+    columns = [x.split()[0] for x in OPEN.split(", ")]
+    return _cell_by_cell(rows, [*columns, "key1", "key2", "text"], links_of, "u long, v long")
 
 
 def _blocks(large: DataFrame) -> DataFrame:
-    """(cell, rep, side): large nodes cut into blocks, one cell for each pair of blocks.
+    """(cell, node, rep, side): large nodes cut into blocks, one cell for each pair of blocks.
 
     Members outside the main label and those inside are dealt to blocks of their own; a pair
     of blocks of the main label holds no pair that is open, and is left out.
@@ -329,7 +411,7 @@ def _blocks(large: DataFrame) -> DataFrame:
         F.when(mine < F.col("outside"), leads).otherwise(none),
         F.when(mine > 0, follows).otherwise(none),
     )
-    return rows.select("rep", F.inline(both)).select("cell", "rep", "side")
+    return rows.select("node", "rep", F.inline(both)).select("cell", "node", "rep", "side")
 
 
 def _pivot_pairs(large: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -370,7 +452,7 @@ def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def candidate_cells(known: DataFrame, trees: range) -> tuple[DataFrame, DataFrame, int]:
-    """(cell, rep, side, small): what has to be compared of classes (rep, signature, label);
+    """(cell, node, rep, side): what has to be compared of classes (rep, signature, label);
     the classes that went deeper than so many trees are good for; the levels needed."""
     cells, signatures = [], known
     members, deep = _roots(known, trees), known.select("rep").limit(0)
@@ -378,13 +460,12 @@ def candidate_cells(known: DataFrame, trees: range) -> tuple[DataFrame, DataFram
         # joins by merging and a staged result for each level keep the driver out of it
         largest = members.agg(F.max("size")).first()[0] or 0
         small = members.where(F.col("size") <= SMALL_NODE)
-        whole = small.select(F.col("node").alias("cell"), "rep", F.lit(0).alias("side"))
-        cells.append(whole.withColumn("small", F.lit(True)))
+        cells.append(small.select(F.col("node").alias("cell"), "node", "rep", F.lit(0).alias("side")))
         if largest <= SMALL_NODE:
             break
         large = members.where(F.col("size") > SMALL_NODE)
         ends = F.lit(depth == MOST_LEVELS) | (F.col("others") <= SMALL_NODE)
-        cells.append(_blocks(large.where(ends)).withColumn("small", F.lit(False)))
+        cells.append(_blocks(large.where(ends)))
         rest = large.where(~ends).select("node", "rep")
         if rest.isEmpty():
             break
@@ -399,36 +480,43 @@ def candidate_cells(known: DataFrame, trees: range) -> tuple[DataFrame, DataFram
 
 def _laid(cells: DataFrame, known: DataFrame, forest: bool) -> DataFrame:
     """Cells that hold more than one label, with label and signature of their members and, for
-    the pairs that are left after the forest, the small nodes each member is in."""
+    the pairs that are left after the forest, the nodes each member is in."""
     labels = known.select("rep", "label")
     rows = cells.join(labels.hint("merge"), "rep")
     open_ = rows.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
     rows = rows.join(written(open_.where("a < b").select("cell")).hint("merge"), "cell")
-    rows = written(rows.select("cell", "rep", "label", "side", "small"))
-    sides = known.select("rep", "signature").withColumn("cells", F.array().cast("array<long>"))
+    rows = written(rows.select("cell", "node", "rep", "label", "side"))
+    sides = known.select("rep", "signature")
     if not forest:
-        lists = rows.where("small").groupBy("rep").agg(F.collect_set("cell").alias("cells"))
-        sides = sides.drop("cells").join(lists.hint("merge"), "rep", "left")
-        sides = sides.withColumn("cells", F.coalesce("cells", F.array().cast("array<long>")))
-    return rows.drop("small").join(sides.hint("merge"), "rep")
+        # two members of an open pair meet in one cell of every node that has both
+        lists = rows.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
+        sides = sides.join(lists.hint("merge"), "rep")
+    return rows.join(sides.hint("merge"), "rep")
 
 
-def confirmed(
-    pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
+def _texts_of(
+    reps: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
 ) -> DataFrame:
-    """The pairs whose full sets are similar enough. Texts travel, not their sets.
+    """(rep, key1, key2, text): texts of the documents that stand for classes (rep).
 
     ``classes`` (rep, doc, key1, key2) says which document has the set of a class; the key of
     the set tells its text from other texts of the same identifier.
     """
-    ends = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep")))
-    ends = ends.distinct().join(classes.select("rep", "doc", "key1", "key2").hint("merge"), "rep")
-    wanted = written(ends.withColumnRenamed("doc", "id"))
+    known = reps.join(classes.select("rep", "doc", "key1", "key2").hint("merge"), "rep")
+    wanted = written(known.withColumnRenamed("doc", "id"))
     ids = wanted.select("id").distinct()
     side = F.broadcast(ids) if wanted.count() <= MOST_BROADCAST else ids
     texts = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     texts = texts.join(side, "id", "left_semi").dropDuplicates(["id", "text"])
-    held = wanted.join(texts.hint("merge"), "id").drop("id")
+    return wanted.join(texts.hint("merge"), "id").drop("id")
+
+
+def confirmed(
+    pairs: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
+) -> DataFrame:
+    """The pairs whose full sets are similar enough. Texts travel, not their sets."""
+    ends = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep")))
+    held = _texts_of(ends.distinct(), classes, df, id_column, text_column)
 
     def of(end: str) -> DataFrame:
         return held.toDF(end, f"{end}_key1", f"{end}_key2", f"{end}_text")
@@ -482,7 +570,9 @@ class _Links:
         if pairs.isEmpty():
             return
         self.tried = self.tried.unionByName(pairs)
-        found = written(confirmed(pairs, *self.source))
+        self.learn(written(confirmed(pairs, *self.source)))
+
+    def learn(self, found: DataFrame) -> None:
         if not found.isEmpty():
             self.found = self.found.unionByName(found)
             self.labels = written(components(self.found))
@@ -517,9 +607,10 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
     while trees < needed:
         known = _labelled(subset, links.labels)
         cells, deep, depth = candidate_cells(known, range(trees, needed))
-        links.add(_compare(_laid(cells, known, True), True))
+        links.add(_forest_pairs(_laid(cells, known, True)))
         known = _labelled(subset, links.labels)
-        links.add(_compare(_laid(cells, known, False), False))
+        left = written(_open_members(_laid(cells, known, False)))
+        links.learn(written(_full_links(left, *links.source)))
         if not trees:
             subset = written(signatures.join(deep.hint("merge"), "rep", "left_semi"))
         trees, needed = needed, max(needed, trees_for(depth))

@@ -213,6 +213,29 @@ def test_family_without_links_is_compared_in_blocks(spark, monkeypatch, levels):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
 
 
+def test_unlike_copies_are_not_given_as_pairs(spark, monkeypatch):
+    """Copies that nearly reach the least similarity: what is confirmed grows with the members,
+    not with their pairs, and the links among them are found."""
+    rows, shared = [], [f"b{i}" for i in range(200)]
+    for doc in range(120):
+        own = [f"o{doc}x{i}" for i in range(40)]
+        rows.append((doc, " ".join(shared + own)))
+        if doc % 20 == 0:
+            rows.append((1000 + doc, " ".join(shared + own[:-1] + ["changed"])))
+    given = []
+    real = near_dedup.confirmed
+
+    def counted(pairs, *source):
+        given.append(pairs.count())
+        return real(pairs, *source)
+
+    monkeypatch.setattr(near_dedup, "confirmed", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_dedup.near_duplicates(frame, "doc_id", "text").collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == brute_components(rows)
+    assert 0 < sum(given) < 20 * len(rows)
+
+
 def test_blocks_hold_every_open_pair_once(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL_NODE", 10)
     labels = [min(i % 60, 30) for i in range(200)]
