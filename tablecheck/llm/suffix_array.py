@@ -3,6 +3,8 @@
 Larsson-Sadakane refinement: suffixes are sorted by their first eight bytes, then groups
 that still tie are refined by the rank of the suffix twice as far on, and singletons are
 never touched again. Kasai's common prefixes run over many stretches of the text at once.
+Places and ranks are 32-bit numbers, half of what a task would hold otherwise: a share of the
+data has less than 2^31 bytes.
 """
 
 from __future__ import annotations
@@ -23,33 +25,41 @@ def eight_bytes(data: np.ndarray, margin: int = 8) -> np.ndarray:
     return value
 
 
+def _firsts(new: np.ndarray) -> np.ndarray:
+    """The place of the first member of the group that each place is in."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new), dtype=np.int32), np.int32(0)))
+
+
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Starts of all suffixes in their order; a suffix that ends first goes first."""
     size = len(data)
     if size == 0:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     keys = eight_bytes(data)[:size]
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys, kind="stable").astype(np.int32)
     keys = keys[order]
     new = np.r_[True, keys[1:] != keys[:-1]]
-    numbers = np.arange(size)
+    del keys
     # the rank of a group is the place of its first member, from 1; what ends before the
     # place to compare is below 1, the lower the sooner
-    rank = np.empty(size, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, numbers, 0)) + 1
-    tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
+    rank = np.empty(size, np.int32)
+    rank[order] = _firsts(new) + 1
+    tied = np.flatnonzero(~(new & np.r_[new[1:], True])).astype(np.int32)
     step = 8
     while len(tied):
         suffixes = order[tied]
         beyond = suffixes + step
         follow = np.where(beyond < size, rank[np.minimum(beyond, size - 1)], size - beyond)
-        keys = rank[suffixes] * (size + step + 1) + (follow + step)
-        sorted_ = np.argsort(keys, kind="stable")
+        keys = rank[suffixes].astype(np.int64)
+        keys *= size + step + 1
+        keys += follow + step
+        del beyond, follow
+        sorted_ = np.argsort(keys, kind="stable").astype(np.int32)
         suffixes, keys = suffixes[sorted_], keys[sorted_]
         order[tied] = suffixes
         new = np.r_[True, keys[1:] != keys[:-1]]
-        first = np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))
-        rank[suffixes] = tied[first] + 1
+        del keys, sorted_
+        rank[suffixes] = tied[_firsts(new)] + 1
         tied = tied[~(new & np.r_[new[1:], True])]
         step *= 2
     return order
@@ -63,11 +73,11 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     """
     size = len(data)
     if size == 0:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     words = eight_bytes(data, most + 16)
-    before = np.full(size, -1, np.int64)
+    before = np.full(size, -1, np.int32)
     before[order[1:]] = order[:-1]
-    found = np.zeros(size, np.int64)
+    found = np.zeros(size, np.int32)
     starts = np.arange(0, size, STRETCH)
     length = np.zeros(len(starts), np.int64)
     for offset in range(min(STRETCH, size)):

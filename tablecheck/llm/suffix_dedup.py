@@ -159,20 +159,28 @@ def _anchor_rows(texts: DataFrame, only_hashes: bool) -> DataFrame:
 FOUND = "doc long, start int, end int, key1 long, key2 long, alone boolean"
 
 
+def _window_classes(data: np.ndarray) -> np.ndarray:
+    """For every place a number that places with the same ``WINDOW`` bytes share."""
+    order = suffix_array(data)
+    prefixes = common_prefixes(data, order, WINDOW)
+    classes = np.empty(len(data), np.int32)
+    classes[order] = np.cumsum(prefixes < WINDOW)
+    return classes
+
+
 def _shard(blocks: pd.DataFrame) -> pd.DataFrame:
     """Repeated windows of one shard, as spans, and digests for the merge of split groups."""
     data = np.frombuffer(b"".join(blocks["data"]), np.uint8)
     lengths = blocks["data"].str.len().to_numpy()
     begins = np.cumsum(lengths) - lengths
     counts = lengths - WINDOW + 1
-    owner = np.repeat(np.arange(len(blocks)), counts)
-    inside = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-    windows = begins[owner] + inside
-    order = suffix_array(data)
-    prefixes = common_prefixes(data, order, WINDOW)
-    classes = np.empty(len(data), np.int64)
-    classes[order] = np.cumsum(prefixes < WINDOW)
-    own = classes[windows]
+    # the largest arrays come and go before those of the windows are made
+    own = _window_classes(data)
+    owner = np.repeat(np.arange(len(blocks), dtype=np.int32), counts)
+    inside = np.arange(len(owner), dtype=np.int32)
+    inside -= np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)
+    windows = begins.astype(np.int32)[owner] + inside
+    own = own[windows]
     repeated = np.bincount(own, minlength=len(data) + 1)[own] > 1
 
     alone = blocks["alone"].to_numpy(bool)[owner]

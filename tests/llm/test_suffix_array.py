@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tablecheck.llm import suffix_dedup
 from tablecheck.llm.suffix_array import common_prefixes, suffix_array
 
 
@@ -29,3 +33,18 @@ def test_random_bytes(size, letters):
 @settings(max_examples=150, deadline=None)
 def test_repeats(data, times, most):
     check(data * times, most)
+
+
+def test_a_shard_holds_few_bytes_for_each_of_its_own():
+    """Two tasks of an executor sort shards at once: the arrays of one stay small."""
+    pick = np.random.default_rng(4)
+    line = pick.integers(0, 256, 230, np.uint8).tobytes()
+    parts = [line + pick.integers(0, 256, 90, np.uint8).tobytes() for _ in range(1_500)]
+    blocks = pd.DataFrame({"hash": 0, "piece": 0, "pieces": 1, "alone": True, "doc": range(1_500)})
+    blocks = blocks.assign(start=0, data=parts)
+    tracemalloc.start()
+    found = suffix_dedup._shard(blocks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1_500 and found["end"].min() == 230
+    assert peak < 50 * sum(map(len, parts))
