@@ -71,6 +71,8 @@ SMALL_NODE = 1024
 LEAST_ESTIMATE = 0.6
 #: Trees whose first level shows the large groups.
 FIRST_TREES = 3
+#: Pairs, or members of a cell with their texts, that are worth a task of their own.
+TEXTS_A_TASK = 2_000
 #: More candidate documents than this are found by a shuffle (8 bytes each).
 MOST_BROADCAST = 2_000_000
 
@@ -159,7 +161,7 @@ def trees_for(depth: int) -> int:
     return trees
 
 
-def _branch(members: DataFrame) -> DataFrame:
+def _branch(members: DataFrame, most: int | None = None) -> DataFrame:
     """(node, rep, label, size) of the children of all nodes that can still join two components.
 
     A node takes one coordinate by its own hash, and in a third of the cases another one too.
@@ -173,29 +175,31 @@ def _branch(members: DataFrame) -> DataFrame:
     both = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(3)) == 0
     keys = F.array(child(first), F.when(both, child((first + step) % COORDINATES)))
     rows = members.select("rep", "label", F.explode(keys).alias("node"))
-    return _sized(rows.where("node IS NOT NULL"))
+    return _sized(rows.where("node IS NOT NULL"), most and 2 * most)
 
 
-def _sized(rows: DataFrame) -> DataFrame:
+def _sized(rows: DataFrame, most: int | None) -> DataFrame:
     """Rows (node, rep, label) of the nodes whose members have more than one label, with the
-    size of the node, its main label and the number of members that have another one."""
+    size of the node, its main label and the number of members that have another one. There
+    are ``most`` rows at most."""
     # written first, so that the join can be split where one node has a large part of the rows
     labels = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
     sizes = labels.groupBy("node").agg(
         F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top")
     )
     sizes = sizes.where("top.n < size").selectExpr("node", "size", "size - top.n AS others", "top.label AS main")
-    return written(rows.join(written(sizes).hint("merge"), "node"))
+    return written(rows.join(written(sizes, most).hint("merge"), "node"), most)
 
 
-def _roots(classes: DataFrame, trees: range) -> DataFrame:
-    """The first level: children of the root of every tree."""
+def _roots(classes: DataFrame, trees: range, count: int) -> DataFrame:
+    """The first level: children of the root of every tree, of ``count`` classes."""
     keys = []
     for tree in trees:
         pick = np.random.default_rng([20240607, tree])
         for c in pick.choice(COORDINATES, 2 if tree % 3 == 0 else 1, replace=False).tolist():
             keys.append(F.xxhash64(F.lit(tree), F.lit(c), F.get("signature", F.lit(c))))
-    return _sized(classes.select("rep", "label", F.explode(F.array(*keys)).alias("node")))
+    nodes = classes.select("rep", "label", F.explode(F.array(*keys)).alias("node"))
+    return _sized(nodes, count * len(keys))
 
 
 def _near_places(
@@ -375,7 +379,8 @@ def _full_links(
         links = _node_links(reps, labels, sides, node, nodes, [sets[i] for i in own])
         return _pairs_table(links) if links else None
 
-    held = _texts_of(members.select("rep").distinct(), classes, df, id_column, text_column)
+    reps, most = members.select("rep").distinct(), members.count()
+    held = _texts_of(reps, most, classes, df, id_column, text_column)
     rows = members.join(held.hint("merge"), "rep")
     columns = [x.split()[0] for x in OPEN.split(", ")]
     return _cell_by_cell(rows, [*columns, "key1", "key2", "text"], links_of, "u long, v long")
@@ -414,14 +419,15 @@ def _blocks(large: DataFrame) -> DataFrame:
     return rows.select("node", "rep", F.inline(both)).select("cell", "node", "rep", "side")
 
 
-def _pivot_pairs(large: DataFrame, signatures: DataFrame) -> DataFrame:
+def _pivot_pairs(large: DataFrame, signatures: DataFrame, count: int) -> DataFrame:
     """Pairs of one member of each large node, outside its main label where there is a choice
     of pairs left, with all members that may be similar enough and have another label."""
     order = F.struct((F.col("label") == F.col("main")).alias("m"), F.xxhash64("rep", "node").alias("o"), "rep", "label")
     pivot = large.groupBy("node").agg(F.min(order).alias("p"))
     pivot = pivot.select("node", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
     own = signatures.select(F.col("rep").alias("pivot"), F.col("signature").alias("pivot_signature"))
-    pivot = written(pivot.join(own.hint("merge"), "pivot"))
+    # a node has more than SMALL_NODE members
+    pivot = written(pivot.join(own.hint("merge"), "pivot"), count)
     open_ = large.select("node", "rep", "label").join(
         pivot.select("node", "pivot", "pivot_label").hint("merge"), "node"
     )
@@ -444,21 +450,23 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def _labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(rep, signature, label): the component of every class, itself where it has no link."""
+def _labelled(classes: DataFrame, labels: DataFrame, count: int) -> DataFrame:
+    """(rep, signature, label): the component of every one of ``count`` classes, itself where it
+    has no link."""
     label = F.coalesce("component", "rep").alias("label")
     known = classes.join(labels.hint("merge"), F.col("rep") == F.col("node"), "left")
-    return written(known.select("rep", "signature", label))
+    return written(known.select("rep", "signature", label), count)
 
 
 def candidate_cells(known: DataFrame, trees: range) -> tuple[DataFrame, DataFrame, int]:
     """(cell, node, rep, side): what has to be compared of classes (rep, signature, label);
     the classes that went deeper than so many trees are good for; the levels needed."""
-    cells, signatures = [], known
-    members, deep = _roots(known, trees), known.select("rep").limit(0)
+    cells, signatures, count = [], known, known.count()
+    members, deep = _roots(known, trees, count), known.select("rep").limit(0)
     for depth in range(1, MOST_LEVELS + 1):
         # joins by merging and a staged result for each level keep the driver out of it
-        largest = members.agg(F.max("size")).first()[0] or 0
+        largest, most = members.agg(F.max("size"), F.count("*")).first()
+        largest = largest or 0
         small = members.where(F.col("size") <= SMALL_NODE)
         cells.append(small.select(F.col("node").alias("cell"), "node", "rep", F.lit(0).alias("side")))
         if largest <= SMALL_NODE:
@@ -471,21 +479,21 @@ def candidate_cells(known: DataFrame, trees: range) -> tuple[DataFrame, DataFram
             break
         # what goes on needs the signatures of ever fewer classes
         wanted = rest.select("rep").distinct().hint("merge")
-        signatures = written(signatures.join(wanted, "rep", "left_semi"))
-        members = _branch(rest.join(signatures.hint("merge"), "rep"))
+        signatures = written(signatures.join(wanted, "rep", "left_semi"), min(most, count))
+        members = _branch(rest.join(signatures.hint("merge"), "rep"), most)
         if missed(depth, len(trees)) <= MOST_MISSED < missed(depth + 1, len(trees)):
-            deep = written(members.select("rep").distinct())
+            deep = written(members.select("rep").distinct(), count)
     return written(reduce(DataFrame.unionByName, cells)), deep, depth
 
 
 def _laid(cells: DataFrame, known: DataFrame, forest: bool) -> DataFrame:
     """Cells that hold more than one label, with label and signature of their members and, for
     the pairs that are left after the forest, the nodes each member is in."""
-    labels = known.select("rep", "label")
+    labels, count = known.select("rep", "label"), cells.count()
     rows = cells.join(labels.hint("merge"), "rep")
     open_ = rows.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-    rows = rows.join(written(open_.where("a < b").select("cell")).hint("merge"), "cell")
-    rows = written(rows.select("cell", "node", "rep", "label", "side"))
+    rows = rows.join(written(open_.where("a < b").select("cell"), count).hint("merge"), "cell")
+    rows = written(rows.select("cell", "node", "rep", "label", "side"), count)
     sides = known.select("rep", "signature")
     if not forest:
         # two members of an open pair meet in one cell of every node that has both
@@ -495,15 +503,16 @@ def _laid(cells: DataFrame, known: DataFrame, forest: bool) -> DataFrame:
 
 
 def _texts_of(
-    reps: DataFrame, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
+    reps: DataFrame, most: int, classes: DataFrame, df: DataFrame, id_column: str, text_column: str
 ) -> DataFrame:
-    """(rep, key1, key2, text): texts of the documents that stand for classes (rep).
+    """(rep, key1, key2, text): texts of the documents that stand for ``most`` classes (rep) at
+    most.
 
     ``classes`` (rep, doc, key1, key2) says which document has the set of a class; the key of
     the set tells its text from other texts of the same identifier.
     """
     known = reps.join(classes.select("rep", "doc", "key1", "key2").hint("merge"), "rep")
-    wanted = written(known.withColumnRenamed("doc", "id"))
+    wanted = written(known.withColumnRenamed("doc", "id"), most)
     ids = wanted.select("id").distinct()
     side = F.broadcast(ids) if wanted.count() <= MOST_BROADCAST else ids
     texts = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
@@ -516,7 +525,7 @@ def confirmed(
 ) -> DataFrame:
     """The pairs whose full sets are similar enough. Texts travel, not their sets."""
     ends = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep")))
-    held = _texts_of(ends.distinct(), classes, df, id_column, text_column)
+    held = _texts_of(ends.distinct(), 2 * pairs.count(), classes, df, id_column, text_column)
 
     def of(end: str) -> DataFrame:
         return held.toDF(end, f"{end}_key1", f"{end}_key2", f"{end}_text")
@@ -565,30 +574,34 @@ class _Links:
         self.tried = self.found
         self.labels = self.found.toDF("node", "component")
 
-    def add(self, pairs: DataFrame) -> None:
-        pairs = written(_ordered(pairs).join(self.tried.hint("merge"), ["u", "v"], "left_anti"))
-        if pairs.isEmpty():
+    def add(self, pairs: DataFrame, most: int) -> None:
+        """Confirm ``most`` pairs at most."""
+        new = _ordered(pairs).join(self.tried.hint("merge"), ["u", "v"], "left_anti")
+        pairs = written(new, most)
+        count = pairs.count()
+        if not count:
             return
         self.tried = self.tried.unionByName(pairs)
-        self.learn(written(confirmed(pairs, *self.source)))
+        self.learn(written(confirmed(pairs, *self.source), count, TEXTS_A_TASK))
 
     def learn(self, found: DataFrame) -> None:
         if not found.isEmpty():
             self.found = self.found.unionByName(found)
-            self.labels = written(components(self.found))
+            self.labels = components(self.found)
 
 
-def _join_large_groups(signatures: DataFrame, links: _Links) -> None:
+def _join_large_groups(signatures: DataFrame, links: _Links, count: int) -> None:
     """Link the members of large nodes with one of them, while that closes the nodes."""
     left = None
     while True:
-        members = _roots(_labelled(signatures, links.labels), range(FIRST_TREES))
-        large = members.where(F.col("size") > SMALL_NODE)
-        outside = large.select("node", "others").distinct().agg(F.sum("others")).first()[0]
+        known = _labelled(signatures, links.labels, count)
+        large = _roots(known, range(FIRST_TREES), count).where(F.col("size") > SMALL_NODE)
+        nodes = large.groupBy("node").agg(F.max("others").alias("others"), F.count("*").alias("n"))
+        outside, most = nodes.agg(F.sum("others"), F.sum("n")).first()
         if not outside or (left is not None and 2 * outside > left):
             return
         left = outside
-        links.add(_pivot_pairs(large, signatures))
+        links.add(_pivot_pairs(large, signatures, most), most)
 
 
 def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -599,25 +612,27 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
     classes = own.groupBy("key1", "key2").agg(
         F.min("doc_id").alias("doc"), F.any_value("signature").alias("signature")
     )
-    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
+    total = documents.count()
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), total)
     signatures = classes.select("rep", "signature")
     links = _Links(classes.drop("signature"), df, id_column, text_column)
-    _join_large_groups(signatures, links)
+    _join_large_groups(signatures, links, total)
     subset, trees, needed = signatures, 0, TREES
     while trees < needed:
-        known = _labelled(subset, links.labels)
+        known = _labelled(subset, links.labels, total)
         cells, deep, depth = candidate_cells(known, range(trees, needed))
-        links.add(_forest_pairs(_laid(cells, known, True)))
-        known = _labelled(subset, links.labels)
-        left = written(_open_members(_laid(cells, known, False)))
-        links.learn(written(_full_links(left, *links.source)))
+        most = cells.count()
+        links.add(_forest_pairs(_laid(cells, known, True)), most)
+        known = _labelled(subset, links.labels, total)
+        left = written(_open_members(_laid(cells, known, False)), most)
+        links.learn(written(_full_links(left, *links.source), left.count(), TEXTS_A_TASK))
         if not trees:
-            subset = written(signatures.join(deep.hint("merge"), "rep", "left_semi"))
+            subset = written(signatures.join(deep.hint("merge"), "rep", "left_semi"), total)
         trees, needed = needed, max(needed, trees_for(depth))
     named = classes.select("rep", "key1", "key2", "doc").join(
         links.labels.hint("merge"), F.col("rep") == F.col("node"), "left"
     )
-    named = written(named.select("key1", "key2", "doc", F.coalesce("component", "rep").alias("component")))
+    named = written(named.select("key1", "key2", "doc", F.coalesce("component", "rep").alias("component")), total)
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     named = named.join(least.hint("merge"), "component").select("key1", "key2", "component_id")
     sized = documents.select("doc_id", "n_shingles", "key1", "key2")

@@ -8,7 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablecheck.llm import near_dedup, substring_dedup, suffix_dedup
+from tablecheck.llm import common, near_dedup, substring_dedup, suffix_dedup
+from tablecheck.llm import components as component_module
 from tablecheck.llm.components import components
 
 
@@ -283,6 +284,36 @@ def test_components(spark, shape):
     assert {x.node: x.component for x in found} == expected and len(found) == len(expected)
 
 
+@pytest.mark.parametrize("block", [3, 40, 100_000])
+def test_components_of_blocks(spark, monkeypatch, block):
+    """Whatever the block: links of one are contracted without a round of stars."""
+    draw, rounds = random.Random(block), []
+    links = [(draw.randrange(300), draw.randrange(300)) for _ in range(220)]
+    links += [(500, 501), (502, 501), (503, 502), (None, 4), (900, None)]
+    stars = component_module._large_star
+    monkeypatch.setattr(component_module, "LINKS_A_BLOCK", block)
+    monkeypatch.setattr(component_module, "_large_star", lambda *x: rounds.append(1) or stars(*x))
+    parent = {x: x for pair in links if None not in pair for x in pair}
+    for _ in parent:
+        for a, b in links:
+            if a is not None and b is not None:
+                parent[a] = parent[b] = min(parent[a], parent[b])
+    linked = {x for a, b in links if None not in (a, b) and a != b for x in (a, b)}
+    found = components(spark.createDataFrame(links, "u long, v long")).collect()
+    assert {x.node: x.component for x in found} == {x: parent[x] for x in linked}
+    assert len(found) == len(linked) and bool(rounds) == (block < len(links))
+
+
+def test_few_rows_are_written_by_few_tasks(spark):
+    """A table in a loop has files by its rows, not one for each partition of a shuffle."""
+    cores = spark.sparkContext.defaultParallelism
+    spread = spark.range(5_000).repartition(97, "id")
+    assert len(common.written(spread).inputFiles()) == 97
+    table = common.written(spread, 5_000)
+    assert len(table.inputFiles()) <= cores and table.distinct().count() == 5_000
+    assert len(common.written(spread, 5_000, 100).inputFiles()) == max(50, cores)
+
+
 def test_odd_documents(spark, odd_documents, no_documents):
     words = substring_dedup.remove_repeats(odd_documents, "doc_id", "text").collect()
     assert len(words) == 12
